@@ -17,7 +17,7 @@ loses the item); numeric dates are not, they are rejected at the write
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import WS_CLASS
@@ -68,58 +68,79 @@ def _pad2(c: Column) -> Column:
     return F.lpad(c, 2, "0")
 
 
-def _parts(y: Column, m: Column, d: Column) -> Column:
-    return F.struct(y.alias("y"), m.alias("m"), d.alias("d"))
-
-
-def _alpha(s: Column) -> Column:
-    """Alphabetic branch -> struct(text, reason)."""
+def _pick(s: Column) -> Column:
+    """struct(alpha, y, m, d) from the first matching pattern of the branch
+    chosen by the lowercase test; y is null when nothing matched (or when
+    the literal-'P<Year>' pattern matched, which loses the item too)."""
     one = F.lit("01")
-    picked = (
-        F.when(s.rlike(ALPHA_MDY), _parts(_x(s, ALPHA_MDY, 3), _x(s, ALPHA_MDY, 1), _x(s, ALPHA_MDY, 2)))
-        .when(s.rlike(ALPHA_DMY), _parts(_x(s, ALPHA_DMY, 3), _x(s, ALPHA_DMY, 2), _x(s, ALPHA_DMY, 1)))
-        .when(s.rlike(ALPHA_YMD_LITERAL), _parts(*[F.lit(None).cast("string")] * 3))
-        .when(s.rlike(ALPHA_YM), _parts(_x(s, ALPHA_YM, 1), _x(s, ALPHA_YM, 2), one))
-        .when(s.rlike(ALPHA_MY), _parts(_x(s, ALPHA_MY, 2), _x(s, ALPHA_MY, 1), one))
+    none = F.lit(None).cast("string")
+
+    def parts(alpha: bool, y, m, d):
+        return F.struct(F.lit(alpha).alias("alpha"), y.alias("y"), m.alias("m"), d.alias("d"))
+
+    alpha = (
+        F.when(s.rlike(ALPHA_MDY), parts(True, _x(s, ALPHA_MDY, 3), _x(s, ALPHA_MDY, 1), _x(s, ALPHA_MDY, 2)))
+        .when(s.rlike(ALPHA_DMY), parts(True, _x(s, ALPHA_DMY, 3), _x(s, ALPHA_DMY, 2), _x(s, ALPHA_DMY, 1)))
+        .when(s.rlike(ALPHA_YMD_LITERAL), parts(True, none, none, none))
+        .when(s.rlike(ALPHA_YM), parts(True, _x(s, ALPHA_YM, 1), _x(s, ALPHA_YM, 2), one))
+        .when(s.rlike(ALPHA_MY), parts(True, _x(s, ALPHA_MY, 2), _x(s, ALPHA_MY, 1), one))
+        .otherwise(parts(True, none, none, none))
     )
-    text = F.concat_ws(" ", picked["m"], _pad2(picked["d"]), picked["y"])
-    parsed = F.coalesce(*[F.try_to_date(text, fmt) for fmt in MONTH_FORMATS])
-    # Year 0 parses in Spark's calendar but not in Python's.
-    parsed = F.when(picked["y"] != "0000", parsed)
-    matched = picked.isNotNull() & picked["y"].isNotNull()
-    return F.struct(
-        F.date_format(parsed, "yyyy-MM-dd").alias("text"),
-        F.when(picked.isNull() | picked["y"].isNull(), F.lit(REASON_UNMATCHED))
-        .when(matched & parsed.isNull(), F.lit(REASON_BAD_WORD_OR_DAY))
-        .alias("reason"),
+    numeric = (
+        F.when(s.rlike(NUM_YMD), parts(False, _x(s, NUM_YMD, 1), _x(s, NUM_YMD, 2), _x(s, NUM_YMD, 3)))
+        .when(s.rlike(NUM_YM), parts(False, _x(s, NUM_YM, 1), _x(s, NUM_YM, 2), one))
+        .when(s.rlike(NUM_MY), parts(False, _x(s, NUM_MY, 2), _x(s, NUM_MY, 1), one))
+        .when(s.rlike(NUM_Y), parts(False, _x(s, NUM_Y, 1), one, one))
+        .otherwise(parts(False, none, none, none))
     )
+    return F.when(s.rlike("[a-z]"), alpha).otherwise(numeric)
 
 
-def _numeric(s: Column) -> Column:
-    """Numeric branch -> struct(text, reason); no calendar check."""
-    one = F.lit("01")
-    picked = (
-        F.when(s.rlike(NUM_YMD), _parts(_x(s, NUM_YMD, 1), _x(s, NUM_YMD, 2), _x(s, NUM_YMD, 3)))
-        .when(s.rlike(NUM_YM), _parts(_x(s, NUM_YM, 1), _x(s, NUM_YM, 2), one))
-        .when(s.rlike(NUM_MY), _parts(_x(s, NUM_MY, 2), _x(s, NUM_MY, 1), one))
-        .when(s.rlike(NUM_Y), _parts(_x(s, NUM_Y, 1), one, one))
+def _alpha_date(p: Column) -> Column:
+    """Month-word parse of a picked alphabetic date: full name, else the
+    3-letter abbreviation; null for any other word or an impossible day.
+    Year 0 parses in Spark's calendar but not in Python's."""
+    text = F.concat_ws(" ", p["m"], _pad2(p["d"]), p["y"])
+    parsed = F.coalesce(*[F.try_to_date(text, fmt) for fmt in MONTH_FORMATS])
+    return F.when(p["alpha"] & p["y"].isNotNull() & (p["y"] != "0000"), parsed)
+
+
+def _outcome(raw: Column, p: Column, alpha_date: Column) -> tuple[Column, Column]:
+    missing = raw.isNull() | (raw == "")
+    text = (
+        F.when(missing, F.lit(None).cast("string"))
+        .when(p["alpha"], F.date_format(alpha_date, "yyyy-MM-dd"))
+        .when(p["y"].isNotNull(), F.concat_ws("-", p["y"], _pad2(p["m"]), _pad2(p["d"])))
     )
-    text = F.concat_ws("-", picked["y"], _pad2(picked["m"]), _pad2(picked["d"]))
-    return F.struct(
-        F.when(picked.isNotNull(), text).alias("text"),
-        F.when(picked.isNull(), F.lit(REASON_UNMATCHED)).alias("reason"),
+    reason = (
+        F.when(missing, F.lit(REASON_MISSING))
+        .when(p["y"].isNull(), F.lit(REASON_UNMATCHED))
+        .when(p["alpha"] & alpha_date.isNull(), F.lit(REASON_BAD_WORD_OR_DAY))
     )
+    return text, reason
+
+
+def with_release_date(df: DataFrame, raw: str, text_col: str, reason_col: str) -> DataFrame:
+    """Add the cleaned date text and the loss reason as columns.
+
+    Staged as separate projections (parenthesis removal, pattern pick,
+    month-word parse), each referenced by column: every regex runs once per
+    row and the generated code stays small enough for whole-stage codegen."""
+    s, p, a = "__rd_s", "__rd_p", "__rd_a"
+    out = df.withColumn(s, F.regexp_replace(F.col(raw), PAREN_PATTERN, ""))
+    out = out.withColumn(p, _pick(F.col(s)))
+    out = out.withColumn(a, _alpha_date(F.col(p)))
+    text, reason = _outcome(F.col(raw), F.col(p), F.col(a))
+    return out.withColumn(text_col, text).withColumn(reason_col, reason).drop(s, p, a)
 
 
 def clean_release_date(raw: Column) -> Column:
-    """struct(text string, reason string) for one raw release-date text."""
-    s = F.regexp_replace(raw, PAREN_PATTERN, "")
-    missing = raw.isNull() | (raw == "")
-    return (
-        F.when(missing, F.struct(F.lit(None).cast("string").alias("text"), F.lit(REASON_MISSING).alias("reason")))
-        .when(s.rlike("[a-z]"), _alpha(s))
-        .otherwise(_numeric(s))
-    )
+    """struct(text, reason) for one raw release-date text, as one
+    expression (convenient for small inputs; `with_release_date` is the
+    staged form used on large tables)."""
+    p = _pick(F.regexp_replace(raw, PAREN_PATTERN, ""))
+    text, reason = _outcome(raw, p, _alpha_date(p))
+    return F.struct(text.alias("text"), reason.alias("reason"))
 
 
 def to_date_checked(text: Column) -> Column:

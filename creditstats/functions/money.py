@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY_TYPE = "decimal(12,6)"
@@ -39,27 +39,30 @@ _THOUSAND = Decimal("1000")
 _MICRO = Decimal("0.000001")
 
 
-def money_amount(raw: Column) -> Column:
-    """Raw money text -> decimal(30,10)-ish amount in millions, before the
-    width check. Null only for null/empty input or unreadable numbers."""
-    s = F.regexp_replace(raw, NOISE_PATTERN, "")
+def _amount_from_clean(s: Column) -> Column:
+    """Amount in millions from noise-free text `s` (decimal, unbounded)."""
     has_range = s.rlike(RANGE_PATTERN)
     lo = F.regexp_extract(s, RANGE_PATTERN, 1).try_cast(WORK_TYPE)
     hi = F.regexp_extract(s, RANGE_PATTERN, 2).try_cast(WORK_TYPE)
-    single = F.nullif(F.regexp_extract(s, NUMBER_PATTERN, 0), F.lit(""))
+    single = F.regexp_extract(s, NUMBER_PATTERN, 0)
     # No number at all counts as 1; a number too long for the work type
     # stays null (unreadable), which later fails the width check.
     number = (
         F.when(has_range, (lo + hi) * F.lit(_HALF))
-        .when(single.isNull(), F.lit(Decimal(1)).cast(WORK_TYPE))
+        .when(single == "", F.lit(Decimal(1)).cast(WORK_TYPE))
         .otherwise(single.try_cast(WORK_TYPE))
     )
-    scaled = (
+    return (
         F.when(s.rlike(MILLION_PATTERN), number)
         .when(s.rlike(BILLION_PATTERN), number * F.lit(_THOUSAND))
         .otherwise(number * F.lit(_MICRO))
     )
-    return F.when(raw.isNotNull() & (raw != ""), scaled)
+
+
+def money_amount(raw: Column) -> Column:
+    """Raw money text -> amount in millions before the width check; null
+    for null/empty input (not cleaned) or an unreadable number."""
+    return F.when(raw.isNotNull() & (raw != ""), _amount_from_clean(F.regexp_replace(raw, NOISE_PATTERN, "")))
 
 
 def clean_money(raw: Column) -> Column:
@@ -73,3 +76,14 @@ def money_out_of_domain(raw: Column) -> Column:
     An empty string is present too: the reference skips cleaning it and
     the DECIMAL column refuses it."""
     return raw.isNotNull() & clean_money(raw).isNull()
+
+
+def with_money(df: DataFrame, raw: str, value_col: str, bad_col: str) -> DataFrame:
+    """Staged form of clean_money + money_out_of_domain: the noise removal
+    runs once per row and is referenced by column."""
+    s = f"__m_{value_col}"
+    r = F.col(raw)
+    out = df.withColumn(s, F.regexp_replace(r, NOISE_PATTERN, ""))
+    out = out.withColumn(value_col, F.when(r.isNotNull() & (r != ""), _amount_from_clean(F.col(s)))
+                         .try_cast(MONEY_TYPE))
+    return out.withColumn(bad_col, r.isNotNull() & F.col(value_col).isNull()).drop(s)

@@ -71,8 +71,87 @@ FROM cte
 GROUP BY ROLLUP (entity, release_year)"""
 
 
+# Items rendered from the driver tables (plans.driver_items), stated by
+# their known clean values: box office = o_totalprice unless the order is
+# pending; release date = o_orderdate, first of the month for the
+# 'Month yyyy' style (Thursdays).
+ITEM_FILMS = """films AS (
+  SELECT o_orderkey AS movie_id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS movie,
+         CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(12,6)) END AS box_office,
+         CASE WHEN dayofweek(o_orderdate) = 4 THEN CAST(date_trunc('month', o_orderdate) AS DATE)
+              ELSE CAST(o_orderdate AS DATE) END AS release_date
+  FROM orders)"""
+
+ITEM_LINES = """lines AS (
+  SELECT l.l_orderkey, l.l_linenumber, s.s_name, n.n_name, p.p_name, p.p_size
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+
+def _varied(col: str) -> str:
+    return (f"CASE l_linenumber WHEN 2 THEN upper({col}) WHEN 3 THEN {col} || '  ' "
+            f"WHEN 4 THEN lower({col}) ELSE {col} END")
+
+
+def _item_credits(kind: str) -> str:
+    if kind == "actor":
+        return (f"SELECT l_orderkey AS movie_id, lower(s_name) AS k, l_orderkey * 64 + l_linenumber * 8 + 1 AS seq, "
+                f"{_varied('s_name')} AS v FROM lines")
+    if kind == "director":
+        return ("SELECT o.o_orderkey AS movie_id, lower(c.c_name) AS k, o.o_orderkey * 64 + 2 AS seq, "
+                "CASE WHEN o.o_orderstatus = 'O' THEN upper(c.c_name) ELSE c.c_name END AS v "
+                "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey")
+    if kind == "distributor":
+        return (f"SELECT l_orderkey AS movie_id, lower(n_name) AS k, l_orderkey * 64 + l_linenumber * 8 + 3 AS seq, "
+                f"{_varied('n_name')} AS v FROM lines")
+    return ("SELECT l_orderkey AS movie_id, CASE WHEN p_size <= 6 THEN ' ' || p_name ELSE p_name END AS k, "
+            "l_orderkey * 64 + l_linenumber * 8 + 4 AS seq, "
+            "CASE WHEN p_size <= 6 THEN ' ' || p_name ELSE p_name END AS v FROM lines WHERE p_size > 3")
+
+
+def _item_report(kind: str, name: str) -> str:
+    return f"""
+WITH {ITEM_FILMS}, {ITEM_LINES},
+credits AS ({_item_credits(kind)}),
+names AS (SELECT k, arg_min(v, seq) AS {name} FROM credits GROUP BY k),
+bridge AS (SELECT DISTINCT movie_id, k FROM credits)
+SELECT n.{name},
+       MAX(box_office) AS box_office_max,
+       MIN(box_office) AS box_office_min,
+       {avg6('box_office')} AS box_office_avg,
+       {std6('box_office')} AS box_office_std,
+       COUNT(movie) AS film_count
+FROM bridge b JOIN films f ON b.movie_id = f.movie_id JOIN names n ON b.k = n.k
+WHERE f.box_office IS NOT NULL
+GROUP BY n.{name}"""
+
+
+def _item_rollup(kind: str, name: str, label: str) -> str:
+    return f"""
+WITH {ITEM_FILMS}, {ITEM_LINES},
+credits AS ({_item_credits(kind)}),
+names AS (SELECT k, arg_min(v, seq) AS nm FROM credits GROUP BY k),
+bridge AS (SELECT DISTINCT movie_id, k FROM credits),
+cte AS (SELECT n.nm AS {name}, YEAR(f.release_date) AS release_year, f.box_office, f.movie
+        FROM bridge b JOIN films f ON b.movie_id = f.movie_id JOIN names n ON b.k = n.k
+        WHERE f.box_office IS NOT NULL)
+SELECT CASE WHEN GROUPING({name}) = 1 THEN '{label}' ELSE {name} END AS {name},
+       CASE WHEN GROUPING(release_year) = 1 THEN 'All years' ELSE CAST(release_year AS VARCHAR) END AS release_year,
+       MAX(box_office) AS box_office_max,
+       MIN(box_office) AS box_office_min,
+       COUNT(movie) AS film_count,
+       {avg6('box_office')} AS box_office_avg,
+       {std6('box_office')} AS box_office_std
+FROM cte
+GROUP BY ROLLUP ({name}, release_year)"""
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["film_actor_report"] = _item_report("actor", "actor")
+    q["film_director_report"] = _item_report("director", "director")
+    q["film_distributor_rollup"] = _item_rollup("distributor", "distributor", "All distributors")
+    q["film_prodco_rollup"] = _item_rollup("prod_co", "prod_co", "All production companies")
     q["entity_stats"] = _entity_stats_sql()
     q["entity_stats_sorted"] = f"""
 SELECT *, ROW_NUMBER() OVER (ORDER BY box_office_max DESC, box_office_avg DESC, film_count DESC, entity ASC) AS rank

@@ -13,7 +13,8 @@ from ..operators import reports
 from ..operators.ordering import row_number_global
 from ..sinks.csv_report import ENTITY_HEADERS
 from ..sources.tables import table
-from . import roles
+from . import roles, star
+from .driver_items import driver_items
 
 
 # --- reports (R1-R4) and their relational pieces (Q1-Q17) ------------------
@@ -93,7 +94,33 @@ def bridge_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.supplier_credits(spark, sf_dir)
 
 
+# --- end to end: driver items -> cleaning -> star schema -> R1..R4 ---------
+
+def _star(spark: SparkSession, sf_dir: str) -> star.Star:
+    return star.build_star(*driver_items(spark, sf_dir))
+
+
+def film_actor_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.actor_report(_star(spark, sf_dir))
+
+
+def film_director_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.director_report(_star(spark, sf_dir))
+
+
+def film_distributor_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.distributor_report(_star(spark, sf_dir))
+
+
+def film_prodco_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.prodco_report(_star(spark, sf_dir))
+
+
 REGISTRY = {
+    "film_actor_report": film_actor_report,
+    "film_director_report": film_director_report,
+    "film_distributor_rollup": film_distributor_rollup,
+    "film_prodco_rollup": film_prodco_rollup,
     "entity_stats": entity_stats,
     "entity_stats_sorted": entity_stats_sorted,
     "entity_stats_by_part_name": entity_stats_by_part_name,

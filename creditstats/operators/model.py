@@ -116,3 +116,21 @@ def dq_id_collisions(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
 def dq_orphans(child: DataFrame, parent: DataFrame, on: list[str] | str) -> DataFrame:
     """Child rows whose parent key is missing (a FOREIGN KEY violation)."""
     return child.join(parent.select(on if isinstance(on, list) else [on]).distinct(), on, "left_anti")
+
+
+# --- generic ordered picks (L2, L6) -------------------------------------------
+
+def latest_by(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
+    """Last write wins: per key, the values of the row with the greatest
+    `order` (compared as a struct, i.e. lexicographically). The values are
+    picked together as one struct, so a null in the winning row stays null.
+    One shuffle of partial (max order, values) states on the keys: a hot
+    key is reduced map-side before the shuffle."""
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_v"))
+    return picked.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
+
+
+def first_by(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
+    """First spelling wins: the mirror of latest_by with min_by."""
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_v"))
+    return picked.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])

@@ -51,7 +51,9 @@ NUM_YMD = r"([0-9]{4})[/\- ]([0-1][0-9]|[0-9])[/\- ]([0-3][0-9]|[0-9])"
 NUM_YM = r"([0-9]{4})[/\- ]([0-1][0-9]|[0-9])"
 NUM_MY = r"([0-1][0-9]|[0-9])[/\- ]([0-9]{4})"
 NUM_Y = r"([0-9]{4})"
-MONTH_FORMATS = ("MMMM dd yyyy", "MMM dd yyyy")
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September",
+          "October", "November", "December")
+MONTH_ABBREVIATIONS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 # ---------------------------------------------------------------------------
 
 REASON_MISSING = "release_date_missing"
@@ -96,20 +98,30 @@ def _pick(s: Column) -> Column:
     return F.when(s.rlike("[a-z]"), alpha).otherwise(numeric)
 
 
+def _month_number(word: Column) -> Column:
+    """Full English month name, else its 3-letter abbreviation -> 1..12;
+    null for any other word."""
+    m = F.lit(None).cast("int")
+    for i in range(12, 0, -1):
+        m = F.when(word.isin(MONTHS[i - 1], MONTH_ABBREVIATIONS[i - 1]), F.lit(i)).otherwise(m)
+    return m
+
+
 def _alpha_date(p: Column) -> Column:
-    """Month-word parse of a picked alphabetic date: full name, else the
-    3-letter abbreviation; null for any other word or an impossible day.
-    Year 0 parses in Spark's calendar but not in Python's."""
-    text = F.concat_ws(" ", p["m"], _pad2(p["d"]), p["y"])
-    parsed = F.coalesce(*[F.try_to_date(text, fmt) for fmt in MONTH_FORMATS])
-    return F.when(p["alpha"] & p["y"].isNotNull() & (p["y"] != "0000"), parsed)
+    """Month-word parse of a picked alphabetic date; null for an unknown
+    word or an impossible day. A table lookup and a date cast: no
+    formatter and no exceptions on the failure path. Year 0 is a date in
+    Spark's calendar but not in Python's."""
+    # concat (not concat_ws): an unknown month word must null the text
+    iso = F.concat(p["y"], F.lit("-"), _pad2(_month_number(p["m"]).cast("string")), F.lit("-"), _pad2(p["d"]))
+    return F.when(p["alpha"] & p["y"].isNotNull() & (p["y"] != "0000"), iso.try_cast("date"))
 
 
 def _outcome(raw: Column, p: Column, alpha_date: Column) -> tuple[Column, Column]:
     missing = raw.isNull() | (raw == "")
     text = (
         F.when(missing, F.lit(None).cast("string"))
-        .when(p["alpha"], F.date_format(alpha_date, "yyyy-MM-dd"))
+        .when(p["alpha"], alpha_date.cast("string"))
         .when(p["y"].isNotNull(), F.concat_ws("-", p["y"], _pad2(p["m"]), _pad2(p["d"])))
     )
     reason = (
@@ -134,20 +146,7 @@ def with_release_date(df: DataFrame, raw: str, text_col: str, reason_col: str) -
     return out.withColumn(text_col, text).withColumn(reason_col, reason).drop(s, p, a)
 
 
-def clean_release_date(raw: Column) -> Column:
-    """struct(text, reason) for one raw release-date text, as one
-    expression (convenient for small inputs; `with_release_date` is the
-    staged form used on large tables)."""
-    p = _pick(F.regexp_replace(raw, PAREN_PATTERN, ""))
-    text, reason = _outcome(raw, p, _alpha_date(p))
-    return F.struct(text.alias("text"), reason.alias("reason"))
-
-
 def to_date_checked(text: Column) -> Column:
-    """The DATE column's domain check: null for impossible dates."""
-    return F.try_to_date(text, "yyyy-MM-dd")
-
-
-def parse_release_date(raw: Column) -> Column:
-    """Convenience: raw text -> DATE (null when lost or out of domain)."""
-    return to_date_checked(clean_release_date(raw)["text"])
+    """The DATE column's domain check: null for impossible dates. The text
+    is always zero-padded yyyy-MM-dd here, so a cast reads it."""
+    return text.try_cast("date")

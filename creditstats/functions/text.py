@@ -44,10 +44,21 @@ def nonempty(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+BRACKETS = r"[\[\](){}]"
+PUNCT_ONLY = r"^[,;!:()+\-/{}]+\z"
+
+
 def is_junk_name(c: Column) -> Column:
     """True when nothing is left after removing bracketed parts and
-    punctuation runs (the value itself is never altered by this test)."""
-    return F.regexp_replace(c, JUNK_PATTERN, "") == ""
+    punctuation runs (the value itself is never altered by this test).
+
+    Three of the four alternatives need a bracket character, and their
+    backtracking '.*' makes the replacement quadratic in the value length.
+    Without any of ()[]{} only the punctuation-run alternative can match,
+    so the value is junk exactly when it is all punctuation: a linear
+    test. The full replacement runs only on values with brackets."""
+    return (F.when(c.rlike(BRACKETS), F.regexp_replace(c, JUNK_PATTERN, "") == "")
+            .otherwise(c.rlike(PUNCT_ONLY)))
 
 
 def strip_leading_punct(c: Column) -> Column:

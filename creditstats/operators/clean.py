@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, money, text
 from ..schema import CHILD_KINDS, MOVIE
+from .partitioning import spread
 
 FILM_MISSING = "film_missing"
 NAME_JUNK = "name_junk"
@@ -45,7 +46,7 @@ def split_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
 def clean_film_items(films: DataFrame) -> DataFrame:
     """schema.FILM_ITEMS -> seq, page_id, film, movie_key, budget,
     box_office (decimal(12,6) millions), release_date (date), reason, raw."""
-    staged = dates.with_release_date(films, "release_date", "__date_text", "__date_reason")
+    staged = dates.with_release_date(spread(films), "release_date", "__date_text", "__date_reason")
     staged = staged.withColumn("__date", dates.to_date_checked(F.col("__date_text")))
     staged = money.with_money(staged, "budget", "__budget", "__budget_bad")
     staged = money.with_money(staged, "box_office", "__box", "__box_bad")
@@ -77,7 +78,7 @@ def _width(kind):
 def clean_credit_items(credits: DataFrame) -> DataFrame:
     """schema.CREDIT_ITEMS -> seq, page_id, kind, film, movie_key, value,
     entity_key, reason, raw."""
-    staged = credits.withColumn("__value", text.strip_leading_punct(F.col("value")))
+    staged = spread(credits).withColumn("__value", text.strip_leading_punct(F.col("value")))
     film, raw_value, value, kind = F.col("film"), F.col("value"), F.col("__value"), F.col("kind")
     reason = (
         F.when(~text.nonempty(film), F.lit(FILM_MISSING))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, money, text
 from ..operators import clean
+from ..operators.partitioning import spread
 from ..sources.tables import table
 from .driver_items import render_box_office
 
@@ -21,8 +22,8 @@ DOW_ORACLE = "dayofweek(o_orderdate)"  # DuckDB: Sunday = 0; Spark's dayofweek:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                 "o_orderpriority").withColumn("d", F.to_date("o_orderdate"))
+    return spread(table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                        "o_orderpriority")).withColumn("d", F.to_date("o_orderdate"))
 
 
 def _film_items(df: DataFrame, release_date: Column, box_office: Column | None = None,
@@ -128,7 +129,8 @@ def strip_parens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders(spark, sf_dir)
     raw = F.when(F.col("o_orderstatus") != "P", render_box_office(F.col("o_totalprice"), F.col("o_orderpriority")))
-    return o.select("o_orderkey", money.clean_money(raw).alias("box_office"))
+    return money.with_money(o.select("o_orderkey", raw.alias("raw")), "raw", "box_office", "_bad").select(
+        "o_orderkey", "box_office")
 
 
 def parse_money_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +149,8 @@ def parse_money_range(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("$"), F.format_number((p - 1) * 1000000, 0), F.lit("–"),
                             F.format_number((p + 1) * 1000000, 0)))
     )
-    return o.select("o_orderkey", money.clean_money(raw).alias("box_office"))
+    return money.with_money(o.select("o_orderkey", raw.alias("raw")), "raw", "box_office", "_bad").select(
+        "o_orderkey", "box_office")
 
 
 def domain_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +188,7 @@ def require_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- names (C2, C3, X11) -------------------------------------------------------
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
+    return spread(table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size"))
 
 
 def decorate_junk(name: Column, size: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import clean, model
+from ..operators.partitioning import spread
 from ..schema import ACTOR, PROD_CO
 from ..sources.tables import table
 from .driver_items import driver_items
@@ -34,7 +35,7 @@ def item_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: every word of every document under the canonical key
     (trailing spaces, case and accents ignored): occurrences and spellings."""
-    docs = table(spark, sf_dir, "documents", "text")
+    docs = spread(table(spark, sf_dir, "documents", "text"))
     words = docs.select(F.explode(F.split("text", r"[^\p{L}]+")).alias("w")).where(F.col("w") != "")
     return words.groupBy(text.name_key(F.col("w")).alias("name_key")).agg(
         F.count("*").alias("n_words"), F.countDistinct("w").alias("n_spellings"))

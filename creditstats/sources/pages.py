@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO
+from ..operators.partitioning import spread
 from .html_tree import Node, parse
 
 # ---------------------------------------------------------------------------
@@ -237,7 +238,7 @@ def _extract_batches(batches):
 def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) -> one row of raw candidates per page
     (schema EXTRACTED). Narrow: runs inside each partition of `pages`."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extract_batches, EXTRACTED)
+    return spread(pages.select("page_id", "url", "html")).mapInArrow(_extract_batches, EXTRACTED)
 
 
 # --- DataFrame side -----------------------------------------------------------

@@ -93,10 +93,8 @@ DATE_CASES = [
 
 
 def test_dates(spark):
-    df = _one_col(spark, [c[0] for c in DATE_CASES])
-    st = dates.clean_release_date(F.col("v"))
-    out = df.select("i", st["text"].alias("t"), st["reason"].alias("r"),
-                    dates.to_date_checked(st["text"]).alias("d")).orderBy("i").collect()
+    df = dates.with_release_date(_one_col(spark, [c[0] for c in DATE_CASES]), "v", "t", "r")
+    out = df.select("i", "t", "r", dates.to_date_checked(F.col("t")).alias("d")).orderBy("i").collect()
     for (raw, exp), r in zip(DATE_CASES, out):
         if isinstance(exp, date):
             assert r.d == exp and r.r is None, (raw, r)

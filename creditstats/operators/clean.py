@@ -96,8 +96,20 @@ def clean_credit_items(credits: DataFrame) -> DataFrame:
     )
 
 
+def rows_where(df: DataFrame, cond, *cols) -> DataFrame:
+    """The rows of `df` where `cond` holds, projected to `cols`, without a
+    Filter node. A Filter on a cleaning result would be pushed down through
+    the staged cleaning projections, inlining every regex into the
+    predicate (computed twice, and large enough to fall out of whole-stage
+    codegen). Exploding a one-element array that is null when `cond` fails
+    yields the same rows and keeps the stages intact."""
+    picked = F.when(cond, F.array(F.struct(*cols)))
+    return df.select(F.explode(picked).alias("_r")).select("_r.*")
+
+
 def rejects(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
     """Every item the reference drops or loses, with why (schema.REJECTS)."""
-    f = films_clean.where(F.col("reason").isNotNull()).select("seq", F.lit(MOVIE).alias("kind"), "reason", "raw")
-    c = credits_clean.where(F.col("reason").isNotNull()).select("seq", "kind", "reason", "raw")
+    bad = F.col("reason").isNotNull()
+    f = rows_where(films_clean, bad, "seq", F.lit(MOVIE).alias("kind"), "reason", "raw")
+    c = rows_where(credits_clean, bad, "seq", "kind", "reason", "raw")
     return f.unionByName(c)

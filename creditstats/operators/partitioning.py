@@ -20,3 +20,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once as a parquet table in the session's checkpoint folder
+    (on a cluster: the shared folder named by spark.checkpoint.dir) and
+    return a DataFrame that reads it.
+
+    Used where one expensive result feeds several aggregations: Spark
+    would otherwise recompute it per consumer (column pruning makes the
+    consumers' subtrees differ, so no exchange is reused). It also cuts
+    the lineage: a lost executor recomputes from the written table."""
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, model, reports
 from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO
+from ..operators.partitioning import materialize
 from ..sinks import csv_report
 
 
@@ -29,9 +30,18 @@ class Star:
     rejects: DataFrame | None = None  # absent when read back from written tables
 
 
-def build_star(film_items: DataFrame, credit_items: DataFrame) -> Star:
+def build_star(film_items: DataFrame, credit_items: DataFrame, materialize_cleaned: bool = False) -> Star:
+    """Lazy star schema. With materialize_cleaned, the cleaned items are
+    written once (checkpoint folder) and the four aggregations read them,
+    instead of each re-running the cleaning. That is the choice for the
+    persisted runs below; for a single lazy report on small inputs,
+    recomputing is cheaper (measured at sf0.1: 8 s recompute, 10.8 s
+    persisted in memory, 14 s written)."""
     films = clean.clean_film_items(film_items)
     credits = clean.clean_credit_items(credit_items)
+    if materialize_cleaned:
+        films = materialize(films, "films-clean")
+        credits = materialize(credits, "credits-clean")
     return Star(model.build_movies(films, credits), model.build_dimensions(credits),
                 model.build_bridges(credits), clean.rejects(films, credits))
 
@@ -96,7 +106,7 @@ def run_reports(spark: SparkSession, film_items: DataFrame, credit_items: DataFr
                 out_dir: str) -> dict[str, str]:
     """K4: build and persist the star schema once, then write the four
     CSV reports from the persisted tables. Returns report -> path."""
-    write_star(build_star(film_items, credit_items), os.path.join(out_dir, "tables"))
+    write_star(build_star(film_items, credit_items, materialize_cleaned=True), os.path.join(out_dir, "tables"))
     star = read_star(spark, os.path.join(out_dir, "tables"))
     paths = {}
     for name, (fn, headers, entity_col) in REPORTS.items():
@@ -107,3 +117,12 @@ def run_reports(spark: SparkSession, film_items: DataFrame, credit_items: DataFr
         csv_report.write_report_csv(df, path, headers=headers, sort_cols=order)
         paths[name] = path
     return paths
+
+
+def run_from_pages(spark: SparkSession, pages: DataFrame, out_dir: str) -> dict[str, str]:
+    """Pages -> reports. The HTML extraction (the costliest step) runs once
+    and is written; film and credit items are two projections of it."""
+    from ..sources import pages as P
+
+    extracted = materialize(P.extract(pages), "pages-extracted")
+    return run_reports(spark, P.film_items(extracted), P.credit_items(extracted), out_dir)

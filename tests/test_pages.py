@@ -122,3 +122,13 @@ def test_pages_to_reports(spark, pages):
     assert movies["Gamma Film"].release_date.isoformat() == "2007-05-01"
     dists = S.distributor_report(st).collect()
     assert {r.distributor for r in dists} >= {"Dist Co", "Other Dist", "All distributors"}
+
+
+def test_run_from_pages_writes_reports(spark, pages):
+    import glob
+    import tempfile
+    out = tempfile.mkdtemp(prefix="cs-pages-")
+    paths = S.run_from_pages(spark, pages, out)
+    text = open(glob.glob(f"{paths['actors']}/part-*.csv")[0], encoding="utf-8").read()
+    assert text.splitlines()[0].startswith("actor,box office max (in millions)")
+    assert "Beyoncé,300.000000,0.045000" in text

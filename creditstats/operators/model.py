@@ -72,6 +72,20 @@ def build_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
     )
 
 
+def build_facts(films_clean: DataFrame) -> DataFrame:
+    """Films with their latest accepted facts, from film items alone:
+    movie_key, movie, budget, box_office, release_date. Every film with a
+    known box office has an accepted film item, so for the reports (which
+    keep only those films) this equals `build_movies` without reading the
+    credit items; stub films and first spellings are left to build_movies."""
+    r = F.col("reason")
+    picked = films_clean.groupBy("movie_key").agg(
+        F.max_by(F.struct("film", "budget", "box_office", "release_date"),
+                 F.when(r.isNull(), F.col("seq"))).alias("_f"))
+    return picked.select("movie_key", F.col("_f.film").alias("movie"), F.col("_f.budget").alias("budget"),
+                         F.col("_f.box_office").alias("box_office"), F.col("_f.release_date").alias("release_date"))
+
+
 def _accepted(credits_clean: DataFrame) -> DataFrame:
     return credits_clean.where(F.col("reason").isNull())
 

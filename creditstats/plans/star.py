@@ -28,6 +28,7 @@ class Star:
     dimensions: DataFrame
     bridges: DataFrame
     rejects: DataFrame | None = None  # absent when read back from written tables
+    facts: DataFrame | None = None    # films with accepted facts, from film items only (reports)
 
 
 def build_star(film_items: DataFrame, credit_items: DataFrame, materialize_cleaned: bool = False) -> Star:
@@ -43,13 +44,14 @@ def build_star(film_items: DataFrame, credit_items: DataFrame, materialize_clean
         films = materialize(films, "films-clean")
         credits = materialize(credits, "credits-clean")
     return Star(model.build_movies(films, credits), model.build_dimensions(credits),
-                model.build_bridges(credits), clean.rejects(films, credits))
+                model.build_bridges(credits), clean.rejects(films, credits), model.build_facts(films))
 
 
 def _report_inputs(star: Star, kind: str, name_col: str):
     bridge = model.bridge(star.bridges, kind).select(
         F.col("movie_key").alias("movie_id"), F.col("entity_key").alias("entity_id"))
-    movies = star.movies.select(F.col("movie_key").alias("movie_id"), "movie", "box_office", "release_date")
+    films = star.facts if star.facts is not None else star.movies
+    movies = films.select(F.col("movie_key").alias("movie_id"), "movie", "box_office", "release_date")
     names = model.dimension(star.dimensions, kind).select(
         F.col("entity_key").alias("entity_id"), F.col("entity").alias(name_col))
     return bridge, movies, names

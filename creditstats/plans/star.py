@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import clean, model, reports
@@ -29,6 +29,7 @@ class Star:
     bridges: DataFrame
     rejects: DataFrame | None = None  # absent when read back from written tables
     facts: DataFrame | None = None    # films with accepted facts, from film items only (reports)
+    credits: DataFrame | None = None  # cleaned credit items (one-pass reports)
 
 
 def build_star(film_items: DataFrame, credit_items: DataFrame, materialize_cleaned: bool = False) -> Star:
@@ -44,7 +45,7 @@ def build_star(film_items: DataFrame, credit_items: DataFrame, materialize_clean
         films = materialize(films, "films-clean")
         credits = materialize(credits, "credits-clean")
     return Star(model.build_movies(films, credits), model.build_dimensions(credits),
-                model.build_bridges(credits), clean.rejects(films, credits), model.build_facts(films))
+                model.build_bridges(credits), clean.rejects(films, credits), model.build_facts(films), credits)
 
 
 def _report_inputs(star: Star, kind: str, name_col: str):
@@ -57,24 +58,81 @@ def _report_inputs(star: Star, kind: str, name_col: str):
     return bridge, movies, names
 
 
+def _one_pass_pairs(star: Star, kind: str, with_year: bool) -> DataFrame:
+    """Distinct credited (film, entity) pairs of one kind, each with its
+    first spelling and seq, left-joined to the films with a known box
+    office. Films without one keep the pair (it still counts for the first
+    spelling) with null facts."""
+    acc = star.credits.where(F.col("reason").isNull() & (F.col("kind") == kind))
+    pairs = acc.groupBy("movie_key", "entity_key").agg(
+        F.min_by("value", "seq").alias("_v"), F.min("seq").alias("_s"))
+    cols = [F.col("movie_key"), F.col("movie"), F.col("box_office")]
+    if with_year:
+        cols.append(F.year("release_date").alias("release_year"))
+    facts = star.facts.where(F.col("box_office").isNotNull()).select(*cols)
+    return pairs.join(facts, "movie_key", "left")
+
+
+def _one_pass_stats(star: Star, kind: str, name_col: str) -> DataFrame:
+    """R1/R2 in one aggregation: stats over pairs with a box office (nulls
+    are ignored by every aggregate; count(movie) counts only those), first
+    spelling over all pairs; entities without a box-office film drop out."""
+    stats = reports._stats(F.col("box_office"), F.col("movie"))
+    agg = _one_pass_pairs(star, kind, False).groupBy("entity_key").agg(
+        F.min_by("_v", "_s").alias(name_col), *stats.values())
+    return agg.where(F.col("film_count") > 0).select(name_col, *reports.ENTITY_STATS_COLUMNS)
+
+
+def _one_pass_rollup(star: Star, kind: str, name_col: str, label: str) -> DataFrame:
+    """R3/R4 in one rollup. The first spelling of an entity is the one of
+    its (entity) subtotal row, which covers all its pairs; detail rows take
+    it through a window partitioned by entity over the aggregated rows
+    (one row per year, so the partition size is bounded)."""
+    stats = reports._stats(F.col("box_office"), F.col("movie"))
+    agg = _one_pass_pairs(star, kind, True).rollup("entity_key", "release_year").agg(
+        F.min_by("_v", "_s").alias("_nm"), *stats.values(),
+        F.grouping("entity_key").alias("_g_entity"), F.grouping("release_year").alias("_g_year"))
+    by_entity = Window.partitionBy("entity_key", "_g_entity")
+    named = agg.withColumn("_name", F.first(F.when(F.col("_g_year") == 1, F.col("_nm")), ignorenulls=True)
+                           .over(by_entity))
+    return named.where(F.col("film_count") > 0).select(
+        F.when(F.col("_g_entity") == 1, F.lit(label)).otherwise(F.col("_name")).alias(name_col),
+        F.when(F.col("_g_year") == 1, F.lit(reports.ALL_YEARS))
+        .otherwise(F.col("release_year").cast("string")).alias("release_year"),
+        *reports.ROLLUP_COLUMNS[1:],
+    )
+
+
+def _one_pass(star: Star) -> bool:
+    return star.credits is not None and star.facts is not None
+
+
 def actor_report(star: Star) -> DataFrame:
     """Per actor."""
+    if _one_pass(star):
+        return _one_pass_stats(star, ACTOR, "actor")
     return reports.entity_stats(*_report_inputs(star, ACTOR, "actor"), entity_col="actor")
 
 
 def director_report(star: Star) -> DataFrame:
     """R2: per director."""
+    if _one_pass(star):
+        return _one_pass_stats(star, DIRECTOR, "director")
     return reports.entity_stats(*_report_inputs(star, DIRECTOR, "director"), entity_col="director")
 
 
 def distributor_report(star: Star) -> DataFrame:
     """Per distributor and year, with rollup subtotals."""
+    if _one_pass(star):
+        return _one_pass_rollup(star, DISTRIBUTOR, "distributor", reports.ALL_DISTRIBUTORS)
     return reports.entity_year_rollup(*_report_inputs(star, DISTRIBUTOR, "distributor"),
                                       entity_col="distributor", all_label=reports.ALL_DISTRIBUTORS)
 
 
 def prodco_report(star: Star) -> DataFrame:
     """Per production company and year, with rollup subtotals."""
+    if _one_pass(star):
+        return _one_pass_rollup(star, PROD_CO, "prod_co", reports.ALL_PRODUCTION_COMPANIES)
     return reports.entity_year_rollup(*_report_inputs(star, PROD_CO, "prod_co"),
                                       entity_col="prod_co", all_label=reports.ALL_PRODUCTION_COMPANIES)
 

@@ -25,6 +25,18 @@ from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO
 from ..operators.partitioning import spread
 from .html_tree import Node, parse
 
+# The extraction function runs in Python workers, which may not have this
+# package on their path (a driver started elsewhere, executors without it
+# installed). Pickling the package's code by value ships what the task
+# needs with the task itself.
+try:
+    import creditstats as _pkg
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_pkg)
+except (ImportError, AttributeError):  # older cloudpickle: rely on the workers' path
+    pass
+
 # ---------------------------------------------------------------------------
 # The reference's lookup rules.
 # List pages: films of 2003..2022 inclusive, under the quarter headings

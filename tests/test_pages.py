@@ -55,14 +55,14 @@ LIST_PAGE = """<html><body><div>
 <table><tbody><tr><td><i><a href="/wiki/Zeta">Zeta</a></i></td></tr></tbody></table>
 </div></body></html>"""
 
-LIST_URL = "https://en.wikipedia.org/wiki/List_of_American_films_of_2005"
+LIST_URL = "https://films.example.org/wiki/List_of_American_films_of_2005"
 
 
 @pytest.fixture(scope="module")
 def pages(spark):
     return spark.createDataFrame(
-        [(1, "https://en.wikipedia.org/wiki/Alpha", FILM_A), (2, "https://en.wikipedia.org/wiki/Beta", FILM_B),
-         (3, "https://en.wikipedia.org/wiki/Gamma", FILM_C), (4, LIST_URL, LIST_PAGE)],
+        [(1, "https://films.example.org/wiki/Alpha", FILM_A), (2, "https://films.example.org/wiki/Beta", FILM_B),
+         (3, "https://films.example.org/wiki/Gamma", FILM_C), (4, LIST_URL, LIST_PAGE)],
         "page_id long, url string, html string")
 
 
@@ -97,10 +97,10 @@ def test_credit_items(spark, pages):
 def test_list_links(spark, pages):
     links = P.list_links(P.extract(pages)).where(F.col("page_id") == 4).orderBy("ord").collect()
     hrefs = [r.href for r in links]
-    assert hrefs == ["https://en.wikipedia.org/wiki/Alpha", LIST_URL, "https://en.wikipedia.org/wiki/Beta",
-                     "https://en.wikipedia.org/wiki/Alpha"]
+    assert hrefs == ["https://films.example.org/wiki/Alpha", LIST_URL, "https://films.example.org/wiki/Beta",
+                     "https://films.example.org/wiki/Alpha"]
     distinct = sorted(r.href for r in P.distinct_links(P.list_links(P.extract(pages))).collect())
-    assert distinct == ["https://en.wikipedia.org/wiki/Alpha", "https://en.wikipedia.org/wiki/Beta"]
+    assert distinct == ["https://films.example.org/wiki/Alpha", "https://films.example.org/wiki/Beta"]
 
 
 def test_page_scan(spark, pages):

@@ -13,7 +13,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned untouched, so no shuffle is added at scale. A small file with
     a single row group scans into one partition and would keep all but one
     core idle; only then is it round-robined. Streaming frames are left as
-    they are (their partitioning is the source's)."""
+    they are (their partitioning is the source's).
+
+    Call it on a table scan (no shuffle or broadcast below): counting the
+    partitions of such a plan only lists files. On a plan with exchanges
+    Spark's adaptive execution would run those stages to answer."""
     if df.isStreaming:
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, MOVIE, PROD_CO
+from ..operators.partitioning import spread
 from ..sources.tables import table
 
 KIND_INDEX = {MOVIE: 0, ACTOR: 1, DIRECTOR: 2, DISTRIBUTOR: 3, PROD_CO: 4}
@@ -88,10 +89,11 @@ def _credit(seq: Column, film: Column, kind: str, value: Column) -> list[Column]
 def driver_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(film items, credit items) (schema.FILM_ITEMS, schema.CREDIT_ITEMS)
     over whole driver tables."""
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                   "o_orderdate", "o_orderpriority")
+    # the two large inputs are spread before the CPU-heavy rendering and cleaning
+    orders = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate", "o_orderpriority"))
     customer = table(spark, sf_dir, "customer", "c_custkey", "c_name")
-    lineitem = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    lineitem = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     supplier = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")

@@ -86,7 +86,7 @@ def stub_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _actor_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber")
+    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber"))
     sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     lines = li.join(sup, li.l_suppkey == sup.s_suppkey)
     return _credits(lines, F.col("l_orderkey") * 64 + F.col("l_linenumber") * 8 + 1, _title(F.col("l_orderkey")),
@@ -104,7 +104,7 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def width_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L10 (with C2/C3 before it): conversation texts as cast names; names
     over 100 characters are rejected, junk-only ones dropped."""
-    conv = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    conv = spread(table(spark, sf_dir, "conversations", "conv_id", "turn", "text"))
     items = _credits(conv, F.col("conv_id") * 100000 + F.col("turn"),
                      F.concat(F.lit("Conversation "), F.col("conv_id").cast("string")), ACTOR, F.col("text"))
     return clean.clean_credit_items(items).select("seq", "reason")

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators.partitioning import spread
 from ..sources import pages as P
 from ..sources.tables import table
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return P.extract(spread(table(spark, sf_dir, "pages", "page_id", "url", "html")))
 
 
 def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,18 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe as _bpe
 from . import exact_dedup as _exact
 from . import mixing as _mixing
+from . import toxicity as _toxicity
 from . import url_reputation as _url
 from . import warc_zip as _warc
 from .common import read
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 # The rules of the URL query, host and path.
 URL_RULES = [_url.Rule("com", "/", "allow"), _url.Rule("example.com", "/en/", "block"),
              _url.Rule("www.example.com", "/en/", "allow"), _url.Rule("net", "/es/", "block"),
              _url.Rule("net", "/fr/", "block")]
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    made = _bpe.decode(_bpe.encode(read(spark, sf_dir, "documents"), path), path)
+    listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return _toxicity.score(docs, _toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(read(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -40,4 +62,4 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-REGISTRY = {f.__name__: f for f in (op5_exact_dedup, op6_url_filter, op8_source_mix, op9_warc_zip)}
+REGISTRY = {f.__name__: f for f in (op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op8_source_mix, op9_warc_zip)}

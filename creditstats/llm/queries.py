@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import bpe as _bpe
 from . import exact_dedup as _exact
 from . import mixing as _mixing
+from . import spotsigs as _spots
 from . import toxicity as _toxicity
 from . import url_reputation as _url
 from . import warc_zip as _warc
@@ -52,6 +53,16 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "bad_rate", "bad_bound")
 
 
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _spots.neighbours(read(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        _spots.fingerprint_text(F.col("spots")).alias("fingerprint"),
+        _spots.fingerprint_text(F.col("edited_spots")).alias("edited_fingerprint"),
+        _spots.likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
+        _spots.likeness(F.col("spots"), F.col("next_spots")).alias("near_next"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = _mixing.mix(read(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", F.col("pattern_size").alias("source_size"), "target", "taken", "repeats")
@@ -62,4 +73,4 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-REGISTRY = {f.__name__: f for f in (op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op8_source_mix, op9_warc_zip)}
+REGISTRY = {f.__name__: f for f in (op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip)}

@@ -3,7 +3,8 @@
 A spot is a common word (an article, a preposition, or one of the SPAREth
 part of all words that stands in for them in lists); its signature is the
 chain of the next `chain` content words after it. The set of a text's
-signature hashes is its fingerprint. Two fingerprints are compared by
+signature hashes is its fingerprint; a signature's second, third, ...
+occurrence is an element of its own, so repeated passages keep their weight. Two fingerprints are compared by
 Jaccard likeness; sets are partitioned by length, and a pair is only counted
 through when its lengths allow the likeness asked for.
 
@@ -43,7 +44,7 @@ COMMON = tuple("a an the of to in is it and for on that with as was by this be a
                "der die das ein eine und ist von zu den im mit auf "
                "el los las una y es por con para en".split())
 # One word of so many, by its hash, also counts as common, for tables and lists without articles.
-SPARE = 8
+SPARE = 4
 COARSE = 64
 
 
@@ -58,7 +59,7 @@ def _let(value: Column, body) -> Column:
 
 
 def spots_of(text: Column, chain: int = 2) -> Column:
-    """The fingerprint set of a text: sorted distinct int hashes."""
+    """The fingerprint set of a text: sorted int hashes."""
     def common(x: Column) -> Column:
         return x.isin(*COMMON) | (F.pmod(F.hash(x), F.lit(SPARE)) == 0)
 
@@ -74,7 +75,15 @@ def spots_of(text: Column, chain: int = 2) -> Column:
         at = F.filter(F.transform(w, lambda x, i: F.when(common(x), i)), lambda i: i.isNotNull())
         return _let(at, lambda at: F.when(F.size(at) > 0, at_spots(w, at)).otherwise(every_word(w)))
 
-    return F.array_sort(F.array_distinct(_let(words_of(text), spots)))
+    def run_starts(s: Column) -> Column:
+        return F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1) != x), i)), lambda i: i.isNotNull())
+
+    def numbered(s: Column) -> Column:  # s is sorted: equal hashes form runs
+        return _let(run_starts(s), lambda begins: F.flatten(F.transform(begins, lambda b, k: F.transform(
+            F.slice(s, b + 1, F.coalesce(F.get(begins, k + 1), F.size(s)) - b),
+            lambda x, n: F.when(n == 0, x).otherwise(F.hash(x, n))))))
+
+    return F.array_sort(F.array_distinct(_let(F.array_sort(_let(words_of(text), spots)), numbered)))
 
 
 def fingerprint_text(spots: Column) -> Column:

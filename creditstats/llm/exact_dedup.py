@@ -30,7 +30,13 @@ from pyspark.sql import functions as F
 
 from .common import scratch, session_conf, staged, with_locator
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# RocksDB keeps the state on disk. Space is not reserved ahead: many small stores would reserve more than they hold.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 RESULT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256", "locator", "keep_locator")
 
 
@@ -73,7 +79,7 @@ def _fold(spark, log_path: str, schema, files_per_trigger: int) -> DataFrame:
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(log_path)
               .groupBy("digest", "n_bytes")
               .agg(F.max(F.struct("doc_id", "locator")).alias("keep"), F.count("*").alias("group_size")))
-    with session_conf(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+    with session_conf(spark, STATE_CONF):
         query = (stream.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe as _bpe
 from . import exact_dedup as _exact
+from . import html_layout as _html
 from . import mixing as _mixing
 from . import spotsigs as _spots
 from . import toxicity as _toxicity
@@ -26,6 +27,10 @@ URL_RULES = [_url.Rule("com", "/", "allow"), _url.Rule("example.com", "/en/", "b
              _url.Rule("net", "/fr/", "block")]
 
 
+def op2_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _html.extract(read(spark, sf_dir, "pages"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     made = _bpe.decode(_bpe.encode(read(spark, sf_dir, "documents"), path), path)
@@ -73,4 +78,4 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-REGISTRY = {f.__name__: f for f in (op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip)}
+REGISTRY = {f.__name__: f for f in (op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip)}

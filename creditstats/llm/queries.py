@@ -10,6 +10,7 @@ from . import exact_dedup as _exact
 from . import html_layout as _html
 from . import mixing as _mixing
 from . import spotsigs as _spots
+from . import substring_dedup as _substring
 from . import toxicity as _toxicity
 from . import url_reputation as _url
 from . import warc_zip as _warc
@@ -27,6 +28,11 @@ URL_RULES = [_url.Rule("com", "/", "allow"), _url.Rule("example.com", "/en/", "b
              _url.Rule("net", "/fr/", "block")]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = _substring.dedup_substrings(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _html.extract(read(spark, sf_dir, "pages"))
 
@@ -78,4 +84,4 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-REGISTRY = {f.__name__: f for f in (op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip)}
+REGISTRY = {f.__name__: f for f in (op1_substring_dedup, op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip)}

@@ -96,7 +96,7 @@ def session_conf(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
     """`df.mapInArrow` with this package sent to the workers as a job file."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import bpe as _bpe
 from . import exact_dedup as _exact
 from . import html_layout as _html
+from . import jaccard_join as _jaccard
 from . import mixing as _mixing
 from . import spotsigs as _spots
 from . import substring_dedup as _substring
@@ -84,4 +85,9 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-REGISTRY = {f.__name__: f for f in (op1_substring_dedup, op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.similarity_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+REGISTRY = {f.__name__: f for f in (op1_substring_dedup, op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip,
+                                    op10_jaccard_join)}

@@ -23,8 +23,8 @@ by the driver and broadcast: its size does not depend on the data.
 
 Defined results: null text is empty and gives no ids; special tokens in a
 text become their id, as the tokenizer's file says; texts of any length are
-encoded whole; repeated rows give repeated results; other columns pass
-through untouched.
+encoded whole; repeated rows give repeated results; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations

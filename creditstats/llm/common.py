@@ -58,6 +58,14 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """`base`, lengthened until no column of `df` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def with_locator(df: DataFrame, name: str = "_locator") -> DataFrame:
     """Add a struct (file, row) that names each row of a file-backed frame.
 
@@ -72,7 +80,8 @@ def with_locator(df: DataFrame, name: str = "_locator") -> DataFrame:
             return located(df)
         except AnalysisException:
             pass  # not a file scan: staged below
-    return located(staged(df.withColumnRenamed("_metadata", "_metadata_column"), "located"))
+    hidden = free_name(df, "_metadata_column")
+    return located(staged(df.withColumnRenamed("_metadata", hidden), "located")).withColumnRenamed(hidden, "_metadata")
 
 
 def ascii_lower(c: Column) -> Column:

@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, session_conf, staged, with_locator
+from .common import free_name, scratch, session_conf, staged, with_locator
 
 # RocksDB keeps the state on disk. Space is not reserved ahead: many small stores would reserve more than they hold.
 STATE_CONF = {
@@ -47,11 +47,17 @@ def sha256(text: Column) -> Column:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 digest: Callable[[Column], Column] = sha256, files_per_trigger: int = 10_000) -> DataFrame:
     """One row per input row: RESULT. `locator` is (file, row) of the row."""
-    spark = docs.sparkSession
+    located = with_locator(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "locator")
+    return _exact_dedup(located, "doc_id", "text", digest, files_per_trigger)
+
+
+def _exact_dedup(located: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column] = sha256,
+                 files_per_trigger: int = 10_000) -> DataFrame:
+    spark = located.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = with_locator(docs.select(id_col, text_col)).select(
+    rows = located.select(
         F.col(id_col).alias("doc_id"), text.alias("text"), digest(text).alias("digest"),
-        F.octet_length(text).alias("n_bytes"), F.col("_locator").alias("locator"))
+        F.octet_length(text).alias("n_bytes"), "locator")
 
     log_path = scratch(spark, "dedup-log")
     entries = rows.select("doc_id", "digest", "n_bytes", "locator", sha256(F.col("text")).alias("text_sha256"))
@@ -97,9 +103,8 @@ def _judged(joined: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with their columns."""
-    located = with_locator(docs)
-    if located.columns[:-1] != docs.columns:
-        raise ValueError("a column may not be named _metadata")
-    dropped = (exact_dedup(located.drop("_locator"), id_col, text_col).where(~F.col("kept"))
-               .select(F.col("locator").alias("_locator")))
-    return located.join(dropped, "_locator", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    name = free_name(docs, "_locator")
+    located = with_locator(docs, name)
+    rows = located.select(id_col, text_col, F.col(name).alias("locator"))
+    dropped = _exact_dedup(rows, id_col, text_col).where(~F.col("kept")).select(F.col("locator").alias(name))
+    return located.join(dropped, name, "left_anti").select(*[f"`{c}`" for c in docs.columns])

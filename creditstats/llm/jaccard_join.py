@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_arrow, staged
+from .common import free_name, in_arrow, staged
 from .components import components
 from .words import K1, U, WordHashes, batches_of, mix, runs, window_hashes
 
@@ -312,10 +312,11 @@ def keep_one(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: s
     """The rows of `docs` that stay: of each component the one with the
     smallest doc_id (null last). Rows equal in identifier and text count as
     one document. Texts without words all stay."""
+    name = free_name(docs, "_dropped")
     found = staged(similarity_components(docs, shingle, at_least, id_col, text_col), "join-found").where("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     best = found.groupBy("component_id").agg(F.min(order).alias("best"), F.count("*").alias("members")).where("members > 1")
     dropped = (found.join(best, found["component_id"].eqNullSafe(best["component_id"])).where(F.col("row") != F.col("best.row"))
-               .select(F.col("row").alias("_dropped")).distinct())
+               .select(F.col("row").alias(name)).distinct())
     row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
-    return docs.join(dropped, row == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, row == F.col(name), "left_anti")

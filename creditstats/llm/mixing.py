@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, staged, with_locator
+from .common import WORD, free_name, staged, with_locator
 from .min_cost_flow import FlowNetwork
 
 BUCKETS = 1 << 16
@@ -166,7 +166,9 @@ def mixed(docs: DataFrame, seed: int = 17, max_repeats: int = 3) -> DataFrame:
     """The mix itself: rows of `docs` (doc_id, text, source, ...), each as
     often as it is taken."""
     columns = [f"`{c}`" for c in docs.columns]
-    located = with_locator(docs)
-    taken = (mix(located, seed=seed, max_repeats=max_repeats, carry=("_locator",)).where("repeats > 0")
-             .select("_locator", F.sequence(F.lit(1), F.col("repeats").cast("int")).alias("_copies")))
-    return located.join(taken, "_locator").withColumn("_copy", F.explode("_copies")).select(*columns)
+    name, copies = free_name(docs, "_locator"), free_name(docs, "_copies")
+    located = with_locator(docs, name)
+    rows = located.select("doc_id", "text", "source", F.col(name).alias("locator"))
+    taken = (mix(rows, seed=seed, max_repeats=max_repeats, carry=("locator",)).where("repeats > 0")
+             .select(F.col("locator").alias(name), F.sequence(F.lit(1), F.col("repeats").cast("int")).alias(copies)))
+    return located.join(taken, name).withColumn(copies, F.explode(copies)).select(*columns)

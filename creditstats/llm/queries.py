@@ -62,7 +62,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels")
     outcomes = labels.select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
     return _url.filter_urls(pages, outcomes, URL_RULES).select(
-        "page_id", "host", "path", "rule", "verdict", "bad_rate", "bad_bound")
+        "page_id", "host", "path", "rule", "verdict")
 
 
 def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

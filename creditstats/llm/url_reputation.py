@@ -17,7 +17,9 @@ Defined results: a null url, or one without "://", has empty host and path.
 A null host label or page id gives no outcome. Repeated labels of a page
 count once each. An unlabelled host takes its domain's posterior, an unknown
 domain its suffix's, and with no labels at all nothing is blocked. A
-numerical address is its own registered domain with an empty suffix.
+numerical address is its own registered domain with an empty suffix. Repeated
+rows of pages count each; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations

@@ -69,7 +69,7 @@ hosts AS (
   FROM u LEFT JOIN outcome USING (page_id) GROUP BY host),
 domains AS (SELECT domain, suffix, sum(bad) AS bad, sum(n) AS n FROM hosts GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, sum(bad) AS bad, sum(n) AS n FROM domains GROUP BY suffix),
-total AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS rate FROM suffixes),
+total AS (SELECT (sum(bad) + 1) / (sum(n) + 20) AS rate FROM suffixes),
 s1 AS (""" + _STRENGTH.format(level="suffixes") + "), s2 AS (" + _STRENGTH.format(level="domains") + """),
 s3 AS (""" + _STRENGTH.format(level="hosts") + r"""),
 by_suffix AS (SELECT suffix, (rate * s + bad) / (s + n) AS suffix_rate FROM suffixes, total, s1),

@@ -106,7 +106,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     suffixes = domains.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     total = suffixes.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
-    rate = ((total.bad or 0) + 0.5) / ((total.n or 0) + 1)
+    rate = ((total.bad or 0) + 1) / ((total.n or 0) + 20)  # one bad page in twenty, before any label
 
     def mean(prior: Column, s: float) -> Column:
         return (prior * s + F.col("bad")) / (F.lit(s) + F.col("n"))

@@ -7,17 +7,22 @@ when 100 * |common| >= 100 * at_least * |either|.
    shingle counts of fixed size (hashed, summed over all documents). It fixes
    one order for all sets, rare shingles first; any order is right, this one
    keeps common passages out of the index.
-2. Linked sets share a shingle among the first n - ceil(at_least * n) + 1 of
-   each. These go to index lists, sorted by set size; equal sets are one set.
-   A set meets only the block of a list whose sizes can link, and of it only
-   entries whose positions leave room for the overlap needed.
-3. Set relations. First each set is checked against its neighbours in its
-   lists alone. What they link is a component, and inside one every answer
-   follows from answers already computed: pairs of it are skipped, and only
-   pairs of sets from different components are checked in the second round.
-   A large group of near copies thus costs a few checks a set.
+2. The index holds a prefix of each set in that order. With k = 1 + n/20 of
+   the smaller set, and c the overlap that two sets need at their sizes, two
+   linked sets share at least k shingles of their first n - c + k ones each.
+   Positions in a list are skipped that lie behind this, and so are all of a
+   set when too few of its first shingles occur in any other set: what is
+   its own cannot be shared. A shared passage alone makes no candidate.
+   Lists are sorted by set size; a set meets only the block of a list whose
+   sizes can link. Equal sets are one set.
+3. Set relations. First each set is checked against a centre of its lists
+   (the set with the least of its own) and its neighbours by size. What they
+   link is a component, and inside one every answer follows from answers
+   already computed: pairs of it are skipped, and only pairs of sets from
+   different components are counted in the second round. A large group of
+   near copies thus costs a few checks a set.
 4. Pairs are checked on the full sets, which are read again from the texts of
-   the sets in question only (a fixed-size bit filter, then a join).
+   the sets in question only (a bit filter of fixed size).
 
 No group is gathered: index partitions are read as sorted streams, in blocks.
 
@@ -31,33 +36,44 @@ other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import free_name, in_arrow, staged
 from .components import components
-from .words import K1, U, WordHashes, batches_of, mix, runs, window_hashes
+from .words import K1, U, WordHashes, batches_of, mix, runs, window_hashes, word_hashes
 
 COUNTERS = 1 << 20
 BLOCK = 1 << 14
 FILTER_BITS = 24
 PAIR_BLOCK = 500_000
+LIST_BLOCK = 200_000
 SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("set", pa.int64()), ("n", pa.int32()),
                   ("block", pa.int32()), ("counts", pa.binary())])
 POSTINGS = pa.schema([("token", pa.int64()), ("set", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
 
-def shingle_set(text: str | None, size: int, known: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text, A-Z lower-cased."""
-    h = np.array(list(map(known.__getitem__, (text or "").encode().lower().split())), U)
-    if not len(h):
-        return h
-    if len(h) < size:
-        return mix(window_hashes(h, len(h)), np.array([len(h)], U))
-    return np.unique(window_hashes(h, size))
+def shingle_sets(texts: list, size: int, known: WordHashes) -> list[np.ndarray]:
+    """Per text its sorted distinct shingle hashes, A-Z lower-cased."""
+    listed = [(t or "").encode().lower().split() for t in texts]
+    counts = [len(x) for x in listed]
+    h = np.fromiter(map(known.__getitem__, chain.from_iterable(listed)), U, sum(counts))
+    windows, at, out = window_hashes(h, size), 0, []
+    for n in counts:
+        if n >= size:
+            s = np.sort(windows[at:at + n - size + 1])
+            new = s[1:] != s[:-1]
+            out.append(s if new.all() else np.concatenate([s[:1], s[1:][new]]))
+        elif n:
+            out.append(mix(window_hashes(h[at:at + n], n), np.array([n], U)))
+        else:
+            out.append(h[:0])
+        at += n
+    return out
 
 
 def set_hash(s: np.ndarray) -> int:
@@ -69,8 +85,13 @@ def set_hash(s: np.ndarray) -> int:
     return int(U(folded & 0xFFFFFFFFFFFFFFFF).view(np.int64))
 
 
+def shared_least(n):
+    """Shingles that two linked sets, the smaller of size n, share in the index."""
+    return 1 + (F.floor(n / 20) if isinstance(n, Column) else n // 20)
+
+
 def prefix_size(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    return min(n, n - -(-percent * n // 100) + shared_least(n))
 
 
 class Join:
@@ -85,11 +106,11 @@ class Join:
         shingle_ = shingle
 
         def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, counts = WordHashes(), np.zeros(COUNTERS, np.int64)
+            known, counts = word_hashes(), np.zeros(COUNTERS, np.int64)
             for rows in batches_of(batches, 2):
-                sets = [shingle_set(r[2], shingle_, known) for r in rows]
-                for s in sets:
-                    counts[s & U(COUNTERS - 1)] += 1  # a set's members fall apart but for rare clashes
+                sets = shingle_sets([r[2] for r in rows], shingle_, known)
+                every = np.concatenate(sets) & U(COUNTERS - 1)
+                counts += np.bincount(every.view(np.int64), minlength=COUNTERS)
                 none = [None] * len(rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(([r[0] for r in rows], [r[1] for r in rows],
@@ -122,15 +143,17 @@ class Join:
         return self.spark.sparkContext.broadcast(levels)
 
     def lists(self) -> DataFrame:
-        """Index lists with two sets or more: token, set, n, pos."""
+        """Index lists with two sets or more: token, set, n, pos; rank, the
+        number of the set's own list entries before this one; and q, the
+        place by which the set has as many entries as a link with its
+        smallest possible partner needs."""
         shingle, percent, rarity = self.shingle, self.percent, self.rarity
 
         def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, levels, seen = WordHashes(), rarity.value, set()
+            known, levels, seen = word_hashes(), rarity.value, set()
             for rows in batches_of(batches, 2):
                 out: list[tuple] = []
-                for r in rows:
-                    s = shingle_set(r[2], shingle, known)
+                for s in shingle_sets([r[2] for r in rows], shingle, known):
                     key = set_hash(s)
                     if not len(s) or key in seen:
                         continue
@@ -169,37 +192,57 @@ class Join:
 
         kind = "token long, set long, n int, pos int"
         found = in_arrow(self.texts, post, kind).repartition("token").sortWithinPartitions("token")
-        return staged(in_arrow(found, shared, kind).distinct(), "join-lists")
+        lists = staged(in_arrow(found, shared, kind).distinct(), "join-shared")
+        fewest = shared_least(F.ceil(F.col("n") * percent / 100)).cast("int")
+        # at most a prefix of one set is gathered
+        places = lists.groupBy("set", "n").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+        alive = places.select("set", "places", F.get("places", fewest - 1).alias("q")).where("q is not null")
+        rank = (F.array_position("places", F.col("pos")) - 1).cast("int")
+        return staged(lists.join(alive, "set").select("set", "token", "n", "pos", "q", rank.alias("rank")), "join-lists")
 
     def neighbours(self, lists: DataFrame) -> DataFrame:
-        """First round: each set with the next one of its lists, by size."""
+        """First round: each set with a centre and a neighbour of its lists,
+        where they meet in a good part of the lists that a link needs."""
         percent = self.percent
+        step = np.log((100 + percent) / (2 * percent))
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last = None
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                rows = pa.concat_batches([last, batch]) if last is not None else batch
-                token, set_, n, pos = (rows.column(i).to_numpy() for i in range(4))
-                i = np.flatnonzero((token[1:] == token[:-1]) & (set_[1:] != set_[:-1]))
-                yield _pairs(set_, n, pos, i, i + 1, percent)
-                last = rows.slice(rows.num_rows - 1)
-
-        ordered = lists.repartition("token").sortWithinPartitions("token", "n", "set")
-        return in_arrow(ordered, meet, "a long, b long").distinct()
+            for rows in _whole_lists(batches, cut_long=True):
+                set_, token, n, _, q = (rows.column(i).to_numpy() for i in range(5))
+                _, of_list = runs(token)
+                size = np.floor(np.log(n) / step).astype(np.int64)  # ascends with n in a list
+                block = np.cumsum(np.concatenate([[0], (of_list[1:] != of_list[:-1]) | (size[1:] != size[:-1])]))
+                begin, _ = runs(block)
+                by_own = np.lexsort((set_, q, block))
+                centre = by_own[begin]  # of each block of sizes, the set with the least of its own
+                every = np.arange(len(n))
+                after = np.minimum(block + 1, len(begin) - 1)
+                i = np.concatenate([centre[block], every, by_own[:-1], every[:-1]])
+                j = np.concatenate([every, centre[after], by_own[1:], every[1:]])
+                same = of_list[i] == of_list[j]
+                yield _pairs(rows, i[same], j[same], percent, 0)
+
+        ordered = lists.select("set", "token", "n", "pos", "q", "rank").repartition("token").sortWithinPartitions("token", "n", "set")
+        return _counted(in_arrow(ordered, meet, "a long, b long, least int"), 4)
 
     def strangers(self, lists: DataFrame, known: DataFrame) -> DataFrame:
-        """Second round: pairs of one list whose components differ."""
+        """Second round: pairs whose components differ and that share as
+        many lists as a link needs."""
         percent = self.percent
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for token_rows in _whole_lists(batches):
-                _, set_, n, pos, comp = (token_rows.column(i).to_numpy() for i in range(5))
-                if (comp == comp[0]).all():
+            for rows in _whole_lists(batches):
+                token, comp = (rows.column(i).to_numpy() for i in (1, 6))
+                begin, of_list = runs(token)
+                mixed = np.minimum.reduceat(comp, begin) != np.maximum.reduceat(comp, begin)
+                if not mixed.any():
                     continue
-                # sizes ascend: the block that a set can link to ends where 100 * n_i < percent * n_j
-                end = np.searchsorted(percent * n.astype(np.int64), 100 * n.astype(np.int64), side="right")
+                rows = rows.filter(pa.array(mixed[of_list]))
+                token, n, comp = (rows.column(i).to_numpy() for i in (1, 2, 6))
+                _, of_list = runs(token)
+                # sizes ascend in a list: the block that a set can link to ends where 100 * n_i < percent * n_j
+                place = (of_list << 32) + n
+                end = np.searchsorted(place, (of_list << 32) + 100 * n.astype(np.int64) // percent, side="right")
                 at = 0
                 while at < len(n):
                     reach = np.cumsum(end[at:] - np.arange(at, len(n)) - 1)
@@ -208,19 +251,20 @@ class Join:
                     i = np.repeat(np.arange(at, upto), count)
                     j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
                     keep = comp[i] != comp[j]
-                    yield _pairs(set_, n, pos, i[keep], j[keep], percent)
+                    yield _pairs(rows, i[keep], j[keep], percent, 3)
                     at = upto
 
         named = lists.join(known, lists["set"] == known["node"], "left").select(
-            "token", "set", "n", "pos", F.coalesce("component", "set").alias("component"))
+            "set", "token", "n", "pos", "q", "rank", F.coalesce("component", "set").alias("component"))
         ordered = named.repartition("token").sortWithinPartitions("token", "n", "set")
-        return in_arrow(ordered, meet, "a long, b long").distinct()
+        return _counted(in_arrow(ordered, meet, "a long, b long, least int"), 1)
 
     def check(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, by their full sets."""
         shingle, percent = self.shingle, self.percent
+        pairs = staged(pairs, "join-pairs")
         asked = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-        named = staged(self.members.groupBy("set").agg(F.min("row").alias("row")).join(asked, "set"), "join-asked")
+        named = self.members.groupBy("set").agg(F.min("row").alias("row")).join(asked, "set")
         bit = F.col("row").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
         bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
         for r in (named.groupBy(F.shiftright(bit, 6).alias("word"))
@@ -229,17 +273,18 @@ class Join:
         bitmap = self.spark.sparkContext.broadcast(bits)
 
         def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = WordHashes()
+            known = word_hashes()
+
             def wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
                 at = batch.column(1).to_numpy() & ((1 << FILTER_BITS) - 1)
                 return batch.filter(pa.array((bitmap.value[at >> 6] >> (at & 63)) & 1 == 1))
             for rows in batches_of(map(wanted, batches), 2, 1 << 20):
-                sets = [shingle_set(r[2], shingle, known) for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "members"])
+                sets = shingle_sets([r[2] for r in rows], shingle, known)
+                yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "members"])
 
-        loaded = in_arrow(self.texts, load, "row long, members binary").join(named, "row")
-        sets = staged(loaded.dropDuplicates(["set"]).select("set", "members"), "join-members")
+        # repeated rows may give a set twice; that repeats a link and no more
+        sets = staged(in_arrow(self.texts, load, "set long, members binary"), "join-members")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -255,40 +300,48 @@ class Join:
         return staged(in_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), compare, "a long, b long"), "join-links")
 
 
-def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists with two rows or more, each whole, from rows sorted by token."""
+def _whole_lists(batches: Iterator[pa.RecordBatch], cut_long: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by token in batches that end with a list; with `cut_long`
+    a list longer than LIST_BLOCK may be cut."""
     held: list[pa.RecordBatch] = []
+    count = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        token = batch.column(0).to_numpy()
-        begin, _ = runs(token)
-        cuts = [*begin.tolist(), len(token)]
-        if held and held[0].column(0)[0].as_py() != token[0]:
-            yield pa.concat_batches(held)
-            held = []
-        for b, e in zip(cuts[:-2], cuts[1:-1]):
-            part = batch.slice(b, e - b)
-            if held:
-                yield pa.concat_batches([*held, part])
-                held = []
-            elif e - b > 1:
-                yield part
-        held.append(batch.slice(cuts[-2]))
+        token = batch.column(1).to_numpy()
+        if count >= LIST_BLOCK:
+            others = np.flatnonzero(token != held[-1].column(1)[-1].as_py())
+            end = 0 if cut_long else int(others[0]) if len(others) else None
+            if end is not None:
+                yield pa.concat_batches([*held, batch.slice(0, end)])
+                held, count, batch = [], 0, batch.slice(end)
+        held.append(batch)
+        count += batch.num_rows
     if held:
         yield pa.concat_batches(held)
 
 
-def _pairs(set_: np.ndarray, n: np.ndarray, pos: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> pa.RecordBatch:
-    """Pairs (i, j), n[i] <= n[j], that size and position allow: what both
-    have behind their place in this list must make up the overlap needed."""
-    small, large = n[i].astype(np.int64), n[j].astype(np.int64)
-    need = -(-percent * (small + large) // (100 + percent))
-    room = np.minimum(small - pos[i], large - pos[j]) + np.minimum(pos[i], pos[j])
-    ok = (100 * small >= percent * large) & (room >= need)
+def _pairs(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, percent: int, quarters: int) -> pa.RecordBatch:
+    """Pairs (i, j) of lists that sizes and positions allow, with the number
+    of lists that must report them. Of the k lists that a link shares, those
+    after the first k * quarters / 4 report it; in both sets they have at
+    least so many entries before them."""
+    set_, n, pos, q, rank = (rows.column(k).to_numpy().astype(np.int64) for k in (0, 2, 3, 4, 5))
+    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    need, least = -(-percent * (small + large) // (100 + percent)), shared_least(small)
+    silent = least * quarters // 4
+    ok = (100 * small >= percent * large) & (set_[i] != set_[j])
+    for side in (i, j):
+        ok &= (np.maximum(pos[side], q[side]) < n[side] - need + least) & (rank[side] >= silent)
     a, b = set_[i[ok]], set_[j[ok]]
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
+                                       pa.array((least - silent)[ok].astype(np.int32))], ["a", "b", "least"])
+
+
+def _counted(met: DataFrame, part: int) -> DataFrame:
+    """Pairs that at least 1/part of the lists report that must."""
+    return (met.groupBy("a", "b", "least").agg(F.count("*").alias("lists"))
+            .where(F.col("lists") * part >= F.col("least")).select("a", "b"))
 
 
 def similarity_components(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: str = "doc_id",

@@ -15,40 +15,46 @@ input.
 3. Extension: the marked windows, and only they, are hashed in full; the
    smallest doc_id of each hash keeps it, the others lose theirs.
 
+Both steps move pairs of a hash and a document, and nothing else: whoever
+gets a hash back finds its places in the text again.
+
 Hot passages: each task folds what it holds before the shuffle. An anchor
 that two documents of one task share is known to be shared, and a window that
 a smaller document of the same task holds is known to go; of each hash only
-its leading document is sent on. A passage in a third of all documents thus
-sends a row or two a task, and no step gathers a group: sorted partitions are
-read as streams. The texts are shuffled once and read by both joins (the
-exchange is reused).
+its smallest document is sent on. A passage in a third of all documents thus
+sends one pair a task and hash, and no step gathers a group: sorted
+partitions are read as streams. The texts are shuffled once and read by both
+joins (the exchange is reused).
 
 Word sequences are compared by 64-bit hashes of 64-bit word hashes.
 
 Defined results: null text has no words; documents shorter than the window
 lose nothing; a passage repeated inside one document only stays; rows with
 equal doc_id do not remove each other's words; a null doc_id is smaller than
-any other; an empty table gives no rows; other columns are not read.
+any other (the smallest 64-bit number stands for it); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_arrow
-from .words import WordHashes, batches_of, runs, window_hashes, words
+from .words import WordHashes, batches_of, word_hashes, runs, window_hashes, words
 
 # Perfect difference sets, period to elements.
 COVERS = {1: (0,), 3: (0, 1), 7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27)}
 NO_ID = -(1 << 63)
 HELD = 1_000_000
-FOUND = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("starts", pa.binary())])
-FOUND_TYPE = "key long, doc long, row long, starts binary"
+# key: a hash, with the document sent on for it; or null, with the packed hashes settled for the document
+FOUND = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("keys", pa.binary())])
+FOUND_TYPE = "key long, doc long, keys binary"
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray]:
@@ -72,171 +78,157 @@ class Texts:
         self.at = np.arange(len(self.hashes)) - self.begin[self.doc]
 
 
-def _packed(key: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray, group: list[np.ndarray]) -> pa.RecordBatch:
-    """One record per distinct combination of `group`, with its starts."""
-    order = np.lexsort((start, *group[::-1]))
-    same = np.ones(len(order), bool)
-    same[:1] = False
-    for g in group:
-        g = g[order]
-        same[1:] &= g[1:] == g[:-1]
-    begin = np.flatnonzero(~same)
-    first = order[begin]
-    data = np.ascontiguousarray(start[order].astype(np.int32))
-    offsets = np.concatenate([begin, [len(order)]]).astype(np.int32) * 4
-    starts = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64) if x.dtype == np.uint64 else x[first])
-                                       for x in (key, doc, row)] + [starts], schema=FOUND)
-
-
-def _folded(key: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray, anchors: bool) -> Iterator[pa.RecordBatch]:
-    """What a task sends on of the hashes it holds: records without key are
-    settled (shared anchors; windows to remove), records with key are the
-    leading document of their hash."""
+def _packed(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    """Settled pairs as one record a document."""
+    order = np.argsort(doc, kind="stable")
+    key, doc = key[order], doc[order]
+    begin, _ = runs(doc)
+    ends = np.concatenate([begin, [len(doc)]]).astype(np.int32) * 8
+    keys = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(key))])
+    return pa.RecordBatch.from_arrays([pa.nulls(len(begin), pa.int64()), pa.array(doc[begin]), keys], schema=FOUND)
+
+
+def _folded(held: list[tuple[np.ndarray, np.ndarray]], first_too: bool) -> Iterator[pa.RecordBatch]:
+    """What a task sends on of the pairs (hash, document) it holds: for each
+    hash its smallest document. The others are settled, and with `first_too`
+    so is the smallest if there are others."""
+    key, doc = map(np.concatenate, zip(*held))
     if not len(key):
         return
-    order = np.lexsort((row, doc, key))
-    key, doc, row, start = key[order], doc[order], row[order], start[order]
+    order = np.lexsort((doc, key))
+    key, doc = key[order].view(np.int64), doc[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    key, doc = key[new], doc[new]
     begin, run = runs(key)
-    leads = row == row[begin][run] if anchors else doc == doc[begin][run]
-    settled = ~leads
-    if anchors:  # the leader shares its anchor with whoever follows it
-        followed = np.zeros(len(begin), bool)
-        followed[run[settled]] = True
-        settled = followed[run]
+    settled = np.ones(len(key), bool)
+    settled[begin] = first_too & (np.diff(np.concatenate([begin, [len(key)]])) > 1)
     if settled.any():
-        s = settled
-        yield _packed(np.zeros(s.sum(), np.uint64), doc[s], row[s], start[s], [row[s]])
-    if leads.any():
-        yield _packed(key[leads], doc[leads], row[leads], start[leads], [key[leads], row[leads]])
-
+        yield _packed(key[settled], doc[settled])
+    yield pa.RecordBatch.from_arrays([pa.array(key[begin]), pa.array(doc[begin]), pa.nulls(len(begin), pa.binary())], schema=FOUND)
 
-def _settled_first(found: DataFrame, settled_key: str) -> DataFrame:
-    """Deal records out by hash, settled ones by row, in one exchange."""
-    spread = F.when(F.col("key") == 0, F.xxhash64(settled_key)).otherwise(F.col("key"))
-    return found.withColumn("spread", spread).repartition("spread").drop("spread")
-
-
-def _shared_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(row, starts): positions of anchors that two rows or more hold."""
-    period, inside = cover_for(window)
-    size = window - period + 1
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, count = WordHashes(), [], 0
-        for rows in batches_of(batches, 2):
-            t = Texts([r[2] for r in rows], known)
-            if len(t.hashes) < size:
-                continue
-            hashes = window_hashes(t.hashes, size)
-            n = len(hashes)
-            take = inside[t.at[:n] % period] & (t.at[:n] + size <= t.size[t.doc[:n]]) & (t.size[t.doc[:n]] >= window)
-            at = np.flatnonzero(take)
-            row = np.array([r[1] for r in rows], np.int64)[t.doc[at]]
-            held.append((np.maximum(hashes[at], 1), np.zeros(len(at), np.int64), row, t.at[at]))
-            count += len(at)
-            if count > HELD:
-                yield from _folded(*map(np.concatenate, zip(*held)), anchors=True)
-                held, count = [], 0
-        if held:
-            yield from _folded(*map(np.concatenate, zip(*held)), anchors=True)
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Of a run of equal keys only its first row waits for the next one.
-        last, waiting, open_ = None, None, False
+def _settle(found: DataFrame, first_too: bool) -> DataFrame:
+    """(doc, keys): every pair of a hash and a document that has a smaller
+    document, and with `first_too` those of the smallest if it has others."""
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, least, told = None, 0, False  # of the run that may go on: its hash, smallest document, if that is out
         for batch in batches:
+            ready = pc.is_null(batch.column(0))
+            if pc.any(ready).as_py():
+                yield batch.filter(ready)
+                batch = batch.filter(pc.invert(ready))
             if not batch.num_rows:
                 continue
-            key, row = (batch.column(i).to_numpy() for i in (0, 2))
+            key, doc = (batch.column(i).to_numpy() for i in (0, 1))
             begin, run = runs(key)
-            many = np.zeros(len(begin), bool)
-            many[run[row != row[begin][run]]] = True
-            if key[0] == last and last != 0:
-                many[0] |= open_ or bool((row[run == 0] != waiting.column(2)[0].as_py()).any())
-                if many[0] and not open_:
-                    yield waiting
-            out = many[run] | (key == 0)
-            if out.any():
-                yield batch.filter(pa.array(out))
-            if len(begin) > 1 or key[0] != last:
-                waiting = batch.slice(int(begin[-1]), 1)
-            last, open_ = key[-1], bool(many[-1])
-
-    found = in_arrow(docs.select("doc", "row", "text"), find, FOUND_TYPE)
-    dealt = _settled_first(found, "row").sortWithinPartitions("key", "row")
-    return in_arrow(dealt, match, FOUND_TYPE).select("row", "starts")
+            first = doc[begin].copy()
+            if key[0] == last:
+                first[0] = least
+            out = doc > first[run]
+            keys, docs = key[out], doc[out]
+            if first_too:
+                many = np.zeros(len(begin), bool)
+                many[run[out]] = True
+                say = many.copy()
+                if key[0] == last:
+                    say[0] &= not told
+                    told = told or many[0]
+                keys, docs = np.concatenate([keys, key[begin][say]]), np.concatenate([docs, first[say]])
+                told = bool(many[-1]) if len(begin) > 1 or key[0] != last else told
+            last, least = key[-1], first[-1]
+            if len(keys):
+                yield _packed(keys, docs)
+
+    spread = F.coalesce("key", F.xxhash64("doc"))  # settled pairs pass through the same exchange
+    dealt = found.withColumn("spread", spread).repartition("spread").drop("spread").sortWithinPartitions("key", "doc")
+    return in_arrow(dealt, judge, FOUND_TYPE).groupBy("doc").agg(F.collect_list("keys").alias("keys"))
+
+
+def _collect_pairs(batches: Iterator[pa.RecordBatch], hashed, first_too: bool) -> Iterator[pa.RecordBatch]:
+    """Fold the pairs that `hashed` finds in rows (doc, text, ...)."""
+    known, held, count = word_hashes(), [], 0
+    for rows in batches_of(batches, 1):
+        t = Texts([r[1] for r in rows], known)
+        hashes, at = hashed(t, rows)
+        held.append((hashes, np.array([r[0] for r in rows], np.int64)[t.doc[at]]))
+        count += len(at)
+        if count > HELD:
+            yield from _folded(held, first_too)
+            held, count = [], 0
+    if held:
+        yield from _folded(held, first_too)
+
+
+def _anchors_of(t: Texts, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of the anchors of some texts."""
+    period, inside = cover_for(window)
+    size = window - period + 1
+    hashes = window_hashes(t.hashes, size)
+    at, doc = t.at[:len(hashes)], t.doc[:len(hashes)]
+    place = np.flatnonzero(inside[at % period] & (at + size <= t.size[doc]) & (t.size[doc] >= window))
+    return hashes[place], place
+
+
+def _shared_anchors(rows: DataFrame, window: int) -> DataFrame:
+    """(doc, keys): anchors that two documents or more hold."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _collect_pairs(batches, lambda t, _: _anchors_of(t, window), first_too=True)
+
+    return _settle(in_arrow(rows.select("doc", "text"), find, FOUND_TYPE), first_too=True)
 
 
 def _windows_to_remove(marked: DataFrame, window: int) -> DataFrame:
-    """(row, starts) of windows that a smaller doc holds. marked: doc, row,
-    text, anchors (array of packed starts)."""
+    """(doc, keys): windows that a smaller document holds. marked: doc, text,
+    keys (packed anchors that it shares)."""
     period, _ = cover_for(window)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, count = WordHashes(), [], 0
-        for rows in batches_of(batches, 2):
-            t = Texts([r[2] for r in rows], known)
-            hashes = window_hashes(t.hashes, window)
-            n, change = len(hashes), np.zeros(len(t.hashes) + 1, np.int64)
-            for d, r in enumerate(rows):
-                anchors = np.frombuffer(b"".join(r[3]), np.int32).astype(np.int64)
-                np.add.at(change, t.begin[d] + np.maximum(0, anchors - period + 1), 1)
-                np.add.at(change, t.begin[d] + anchors + 1, -1)
-            take = (np.cumsum(change)[:n] > 0) & (t.at[:n] + window <= t.size[t.doc[:n]])
-            at = np.flatnonzero(take)
-            doc = np.array([r[0] for r in rows], np.int64)[t.doc[at]]
-            row = np.array([r[1] for r in rows], np.int64)[t.doc[at]]
-            held.append((np.maximum(hashes[at], 1), doc, row, t.at[at]))
-            count += len(at)
-            if count > HELD:
-                yield from _folded(*map(np.concatenate, zip(*held)), anchors=False)
-                held, count = [], 0
-        if held:
-            yield from _folded(*map(np.concatenate, zip(*held)), anchors=False)
+    def around(t: Texts, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, place = _anchors_of(t, window)
+        change = np.zeros(len(t.hashes) + 1, np.int64)
+        bounds = np.searchsorted(place, np.concatenate([t.begin, [len(t.hashes)]]))
+        for d, r in enumerate(rows):
+            mine = slice(bounds[d], bounds[d + 1])
+            shared = place[mine][np.isin(hashes[mine], np.frombuffer(b"".join(r[2]), np.uint64))]
+            np.add.at(change, np.maximum(t.begin[d], shared - period + 1), 1)
+            np.add.at(change, shared + 1, -1)
+        whole = window_hashes(t.hashes, window)
+        n = len(whole)
+        at = np.flatnonzero((np.cumsum(change)[:n] > 0) & (t.at[:n] + window <= t.size[t.doc[:n]]))
+        return whole[at], at
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, least = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, doc = (batch.column(i).to_numpy() for i in (0, 1))
-            begin, run = runs(key)
-            first = doc[begin].copy()  # sorted by doc: the smallest of its run
-            if key[0] == last:
-                first[0] = least
-            last, least = key[-1], first[-1]
-            out = (doc > first[run]) | (key == 0)
-            if out.any():
-                yield batch.filter(pa.array(out))
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _collect_pairs(batches, around, first_too=False)
 
-    found = in_arrow(marked.select("doc", "row", "text", "anchors"), find, FOUND_TYPE)
-    dealt = _settled_first(found, "row").sortWithinPartitions("key", "doc")
-    return in_arrow(dealt, judge, FOUND_TYPE).select("row", "starts")
+    return _settle(in_arrow(marked.select("doc", "text", "keys"), find, FOUND_TYPE), first_too=False)
 
 
 def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by
     one space), removed (array of struct begin, end: half-open word ranges)."""
-    id_: Column = F.col(id_col).cast("long")
-    # rows equal in identifier and text are one row here, and get one result each
-    rows = docs.select(F.coalesce(id_, F.lit(NO_ID)).alias("doc"), F.xxhash64(id_, F.col(text_col)).alias("row"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), id_.alias("doc_id"))
-    anchors = _shared_anchors(rows, window).groupBy("row").agg(F.collect_list("starts").alias("anchors"))
-    removed = _windows_to_remove(rows.join(anchors, "row"), window).groupBy("row").agg(F.collect_list("starts").alias("starts"))
+    id_ = F.col(id_col).cast("long")
+    # both joins read the same two columns, so they share one exchange
+    rows = docs.select(F.coalesce(id_, F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    anchors = _shared_anchors(rows, window)
+    removed = _windows_to_remove(rows.join(anchors, "doc"), window)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_hashes()
         for part in batches_of(batches, 1):
             out = []
-            for doc_id, text, starts in part:
+            for doc, text, keys in part:
                 listed = words(text)
-                change = np.zeros(len(listed) + 1, np.int64)
-                at = np.frombuffer(b"".join(starts or ()), np.int32)
-                np.add.at(change, at, 1)
-                np.add.at(change, at + window, -1)
-                gone = np.cumsum(change) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)))
-                kept = b" ".join(w for w, g in zip(listed, gone.tolist()) if not g) if len(at) else b" ".join(listed)
-                out.append((doc_id, len(listed), int(gone.sum()), kept.decode(),
+                gone = np.zeros(len(listed), bool)
+                if keys:
+                    hashes = window_hashes(Texts([text], known).hashes, window)
+                    at = np.flatnonzero(np.isin(hashes, np.frombuffer(b"".join(keys), np.uint64)))
+                    change = np.zeros(len(listed) + 1, np.int64)
+                    np.add.at(change, at, 1)
+                    np.add.at(change, at + window, -1)
+                    gone = np.cumsum(change)[:-1] > 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+                kept = b" ".join(compress(listed, (~gone).tolist()) if keys else listed)
+                out.append((None if doc == NO_ID else doc, len(listed), int(gone.sum()), kept.decode(),
                             [{"begin": int(b), "end": int(e)} for b, e in edge.reshape(-1, 2)]))
             columns = list(zip(*out))
             span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -244,6 +236,6 @@ def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), span))],
                 ["doc_id", "n_words", "n_removed", "kept_text", "removed"])
 
-    whole = rows.join(removed, "row", "left").select("doc_id", "text", "starts")
+    whole = rows.join(removed, "doc", "left").select("doc", "text", "keys")
     return in_arrow(whole, cut, "doc_id long, n_words long, n_removed long, kept_text string, "
                                 "removed array<struct<begin: long, end: long>>")

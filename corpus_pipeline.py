@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and the text they decode to."""
     path = tokenizer_path()
-    made = bpe.decode(bpe.encode(docs, path), path)
+    made = bpe.round_trip(docs, path)
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 

@@ -15,8 +15,9 @@ Decoding: the token bytes lie in one buffer; a table of offsets turns ids
 into byte ranges, gathered for a whole text at once.
 
 Texts are cut before encoding where white space follows something else; the
-tokenizer's own pattern never matches across such a place. Encoded chunks are
-kept in a bounded memory per worker (MEMORY entries); it changes no result.
+tokenizer's own pattern never matches across such a place. Encoded chunks and
+pieces are remembered in two bounded generations per worker; this changes no
+result.
 
 The vocabulary file (the JSON of a byte-level BPE without normalizer) is read
 by the driver and broadcast: its size does not depend on the data.
@@ -31,18 +32,20 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import in_arrow
+from .common import in_arrow, worker_state
 
 # The split pattern of byte-level BPE, and Unicode white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MEMORY = 300_000
+MEMORY = 350_000  # entries of each of two generations
 LONGEST_KEPT = 48
 BATCH_BYTES = 4 << 20
 
@@ -58,6 +61,40 @@ def byte_characters() -> list[str]:
     return out
 
 
+class Memory(dict):
+    """Bounded memory of `make`. When a generation is full it becomes the
+    old one; what is asked for again moves to the new one."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        got = self.old.get(text)
+        if got is None:
+            got = self.make(text)
+        if len(text) <= LONGEST_KEPT:
+            if len(self) >= MEMORY:
+                self.old = self.copy()
+                self.clear()
+            self[text] = got
+        return got
+
+
+class Pairs(dict):
+    """Bounded memory of `compatible`, by left << 20 | right."""
+
+    def __init__(self, compatible):
+        super().__init__()
+        self.compatible = compatible
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= MEMORY:
+            self.clear()
+        self[pair] = found = self.compatible(pair >> 20, pair & 0xFFFFF)
+        return found
+
+
 class Tokenizer:
     def __init__(self, spec: str):
         import ahocorasick
@@ -91,9 +128,12 @@ class Tokenizer:
                 raise ValueError("a token with two merges")
             self.rank[t], self.halves[t], self.merge[vocab[a], vocab[b]] = r, (vocab[a], vocab[b]), r
         plain = {t: i for t, i in vocab.items() if i not in self.special.values()}
+        # single bytes match everywhere, so they need no automaton
+        self.single = {t: i for t, i in plain.items() if len(t) == 1}
         self.automaton = ahocorasick.Automaton()
         for t, i in plain.items():
-            self.automaton.add_word(t[::-1], i)
+            if len(t) > 1:
+                self.automaton.add_word(t[::-1], i)
         self.automaton.make_automaton()
         self.shorter = [None] * size  # the longest proper prefix that is a token
         for t, i in plain.items():
@@ -103,8 +143,8 @@ class Tokenizer:
         spelled = PATTERN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
         self.pattern = regex.compile(spelled)
         self.chunks = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-        self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.known = Memory(self._chunk)
+        self.pairs = Pairs(self.compatible)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merge rules leave `left` and `right` as they are when
@@ -125,56 +165,54 @@ class Tokenizer:
 
     def _piece(self, piece: str) -> list[int]:
         """Ids of one piece of the split pattern."""
-        text = piece.encode().decode("latin-1").translate(self.table)
-        n = len(text)
-        # per position the first match reported is the longest; reversing lets it win
-        longest = dict(reversed([(n - 1 - end, t) for end, t in self.automaton.iter(text[::-1])]))
-        ids: list[int] = []
+        text = (piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self.table)
+        n, single = len(text), self.single
+        if n == 1:
+            return [single[text]]
+        # by their place from the end; the first match reported at a place is the longest
+        longest = dict([*self.automaton.iter(text[::-1])][::-1]) if len(self.automaton) else {}
+        token = longest.get(n - 1) or single[text[0]]
+        if token is not None and self.length[token] == n:
+            return [token]
+        ids: list[int] = [token]
         dead: set[int] = set()
-        pairs, length, at, token = self.pairs, self.length, 0, longest.get(0)
-        while at < n or token is not None:
-            last = ids[-1] if ids else None
+        pairs, length, shorter, at = self.pairs, self.length, self.shorter, self.length[token]
+        token = longest.get(n - 1 - at) or single[text[at]]
+        while True:
+            seam = ids[-1] << 20 if ids else -1
             while token is not None:
                 end = at + length[token]
-                if end not in dead:
-                    if last is None:
-                        break
-                    ok = pairs.get((last, token))
-                    if ok is None:
-                        if len(pairs) > MEMORY:
-                            pairs.clear()
-                        ok = pairs[last, token] = self.compatible(last, token)
-                    if ok:
-                        break
-                token = self.shorter[token]
+                if (seam < 0 or pairs[seam | token]) and end not in dead:
+                    break
+                token = shorter[token]
             if token is not None:
                 ids.append(token)
+                if end == n:
+                    return ids
                 at = end
-                token = longest.get(at)
-            else:
-                if last is None:
-                    raise ValueError(f"no encoding of {piece!r}")
+                token = longest.get(n - 1 - at) or single[text[at]]
+            elif ids:
                 dead.add(at)
                 token = ids.pop()
                 at -= length[token]
-        return ids
+            else:
+                raise ValueError(f"no encoding of {piece!r}")
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Packed ids of a chunk: white space and what follows it."""
+        pieces = self.pattern.findall(chunk)
+        if len(pieces) == 1:
+            return array("I", self._piece(chunk)).tobytes()
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text."""
         parts: list[bytes] = []
         for k, segment in enumerate(self.special_cut.split(text) if self.special_cut else [text]):
             if k % 2:
-                parts.append(np.uint32(self.special[segment]).tobytes())
-                continue
-            for chunk in self.chunks.findall(segment):
-                got = self.known.get(chunk)
-                if got is None:
-                    got = np.array([i for p in self.pattern.findall(chunk) for i in self._piece(p)], np.uint32).tobytes()
-                    if len(chunk) <= LONGEST_KEPT:
-                        if len(self.known) >= MEMORY:
-                            self.known.clear()
-                        self.known[chunk] = got
-                parts.append(got)
+                parts.append(array("I", [self.special[segment]]).tobytes())
+            else:
+                parts += map(self.known.__getitem__, self.chunks.findall(segment))
         return np.frombuffer(b"".join(parts), np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -188,16 +226,9 @@ class Tokenizer:
         return self.bytes[at].tobytes().decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Tokenizer] = {}
-
-
 def loaded(spec: str) -> Tokenizer:
-    """The tokenizer of a worker, built once a process."""
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Tokenizer(spec)
-    return _LOADED[key]
+    """The tokenizer of a worker, kept from task to task."""
+    return worker_state(f"bpe {hash(spec)}", lambda: Tokenizer(spec))
 
 
 def _outputs(batches: Iterator[pa.RecordBatch], work, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -225,6 +256,14 @@ def tokenizer_spec(path: str) -> str:
         return f.read()
 
 
+ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+
+def _encoded(t: Tokenizer, row: tuple) -> tuple[tuple, int]:
+    ids = t.encode(row[1] or "").astype(np.int32)
+    return (row[0], ids), ids.nbytes + 100
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, ids (array of int)."""
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_spec(path))
@@ -232,26 +271,39 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         t = loaded(spec.value)
 
-        def work(row):
-            ids = t.encode(row[1] or "")
-            return (row[0], ids.astype(np.int32)), ids.nbytes + 100
-        yield from _outputs(batches, work, pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))]))
+        yield from _outputs(batches, lambda row: _encoded(t, row), ENCODED)
 
     return in_arrow(docs.selectExpr(f"cast(`{id_col}` as bigint)", f"`{text_col}`"), run, "doc_id long, ids array<int>")
 
 
+def _decoded(t: Tokenizer, ids: pa.Array) -> pa.Array:
+    flat, ends = ids.flatten().to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())
+    return pa.array([t.decode(x) for x in np.split(flat, ends[:-1])], pa.string())
+
+
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """doc_id, ids -> doc_id, ids, text."""
     spec = tokens.sparkSession.sparkContext.broadcast(tokenizer_spec(path))
 
     def run(batches):
         t = loaded(spec.value)
-
-        def work(row):
-            ids = np.array(row[1] or [], np.uint32)
-            text = t.decode(ids)
-            return (row[0], ids.astype(np.int32), text), ids.nbytes + len(text) + 100
-        yield from _outputs(batches, work, pa.schema(
-            [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())]))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _decoded(t, part.column(1))],
+                                                 ["doc_id", "ids", "text"])
 
     return in_arrow(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """encode, then decode in the same task: doc_id, ids, text."""
+    spec = docs.sparkSession.sparkContext.broadcast(tokenizer_spec(path))
+
+    def run(batches):
+        t = loaded(spec.value)
+        for made in _outputs(batches, lambda row: _encoded(t, row), ENCODED):
+            yield pa.RecordBatch.from_arrays([*made.columns, _decoded(t, made.column(1))], ["doc_id", "ids", "text"])
+
+    return in_arrow(docs.selectExpr(f"cast(`{id_col}` as bigint)", f"`{text_col}`"), run,
+                    "doc_id long, ids array<int>, text string")

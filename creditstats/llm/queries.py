@@ -40,7 +40,7 @@ def op2_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    made = _bpe.decode(_bpe.encode(read(spark, sf_dir, "documents"), path), path)
+    made = _bpe.round_trip(read(spark, sf_dir, "documents"), path)
     listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),

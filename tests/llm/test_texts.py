@@ -45,6 +45,7 @@ def test_bpe_memory_bound_changes_nothing(monkeypatch):
     want = [own.encode(t).tolist() for t in texts]
     monkeypatch.setattr(bpe, "MEMORY", 3)
     own.known.clear()
+    own.known.old = {}
     own.pairs.clear()
     assert [own.encode(t).tolist() for t in texts] == want
 
@@ -53,6 +54,7 @@ def test_bpe_tables(spark, edge, empty, library):
     made = bpe.decode(bpe.encode(edge, PATH), PATH)
     want = [(i, library.encode(t or "", add_special_tokens=False).ids, t or "") for i, t, _ in EDGE]
     assert collected(made, "doc_id", "ids", "text") == sorted(want, key=repr)
+    assert collected(bpe.round_trip(edge, PATH), "doc_id", "ids", "text") == sorted(want, key=repr)
     assert bpe.decode(bpe.encode(empty, PATH), PATH).count() == 0
 
 

@@ -105,9 +105,32 @@ def session_conf(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+# What a Python worker keeps from task to task: one operator's state, so that
+# the next operator's tasks free it.
+_KEPT: dict = {}
+
+
+def worker_state(owner: str, make):
+    """The state kept for `owner` in this worker, made when another owner's
+    was kept or none."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+# Rows of an Arrow batch, where the session has Spark's default: texts are long.
+BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000")}
+
+
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """`df.mapInArrow` with this package sent to the workers as a job file."""
-    ship(df.sparkSession)
+    """`df.mapInArrow` with this package sent to the workers as a job file
+    and batches bounded."""
+    spark = df.sparkSession
+    ship(spark)
+    for key, (default, rows) in BATCH_ROWS.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, rows)
     return df.mapInArrow(function, schema)
 
 

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, staged
+from .common import in_arrow, staged, worker_state
 
 # ---------------------------------------------------------------------------
 # Closed word classes of the grammar, in four languages.
@@ -109,7 +109,7 @@ def _scope(trigger: str, length: int, marks: dict[str, tuple[str, float]]) -> Tr
     arcs = {(s, trigger): (last, trigger, 1.0) for s in range(last + 1)}
     for s in range(1, last + 1):
         after = s - 1 if length else s
-        for symbol in "IHTNROaA":
+        for symbol in "IHTNROaAd":
             if symbol != trigger:
                 mark, weight = marks.get(symbol, (symbol, 1.0))
                 arcs[s, symbol] = (after, mark, weight)
@@ -123,7 +123,7 @@ KINDS = "IHaAdq"
 def grammar() -> Composed:
     target = _scope("T", 4, {"I": ("a", 1.5), "H": ("A", 1.5)})
     negation = _scope("N", 3, {k: ("d", 0.4) for k in "IHaA"})
-    reported = _scope("R", 0, {k: ("q", 0.5) for k in "IHaA"})
+    reported = _scope("R", 0, {k: ("q", 0.5) for k in "IHaAd"})
     # a threat aimed at no one is a plain verb
     score = Transducer({(0, "H"): (0, "H", 0.1), (0, "A"): (0, "A", 1.0), (0, "I"): (0, "I", 1.0)})
     return Composed(target, negation, reported, score)
@@ -225,6 +225,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataF
 def pattern_counts(rows: DataFrame) -> DataFrame:
     """Per pattern ('w' and a word, 's' and a stem): documents n, toxic ones pos."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("toxicity", dict)
         n, pos = Counter(), Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
@@ -234,7 +235,7 @@ def pattern_counts(rows: DataFrame) -> DataFrame:
                     n.update(seen)
                     if toxic:
                         pos.update(seen)
-                if len(n) > 200_000:
+                if len(n) > 100_000:
                     yield _counts(n, pos)
                     n, pos = Counter(), Counter()
         yield _counts(n, pos)
@@ -299,6 +300,7 @@ def _featured(rows: DataFrame, lexicon: Lexicon, keep: str, kinds: list[pa.DataT
     names = [k.split()[0] for k in keep.split(", ")] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("toxicity", dict)
         scorer = Scorer(lexicon)
         for batch in batches:
             made = []

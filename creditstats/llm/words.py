@@ -7,7 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-KEPT_WORDS = 200_000
+from .common import worker_state
+
+KEPT_WORDS = 400_000
 U = np.uint64
 # Odd constants (the golden ratio and its followers in 64 bits).
 K1, K2, K3 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
@@ -25,6 +27,11 @@ class WordHashes(dict):
         return value
 
 
+def word_hashes() -> WordHashes:
+    """The worker's word hashes, kept from task to task."""
+    return worker_state("words", WordHashes)
+
+
 def words(text: str | None) -> list[bytes]:
     """Maximal runs without space and ASCII controls 9 to 13 (what
     bytes.split takes as white space)."""

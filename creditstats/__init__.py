@@ -2,7 +2,7 @@
 
 Layout:
   functions/  Column -> Column cleaning expressions (names, dates, money)
-  sources/    driver tables, HTML page extraction (one mapInPandas job)
+  sources/    driver tables, HTML page extraction (one mapInArrow job)
   operators/  item cleaning, star-schema modelling, reports, ordering
   plans/      end-to-end flows and the role-mapped queries over driver tables
   sinks/      CSV reports and table output

@@ -27,20 +27,9 @@ S = WS_CLASS  # Python's \s in a str pattern is Unicode whitespace
 # ---------------------------------------------------------------------------
 # The reference's date patterns, in their order of priority.
 # Alphabetic (group order noted per pattern):
-#   month day, year   (?P<Month>[A-Z][a-z]+)\s(?P<Day>[0-3][0-9]|[0-9]),\s(?P<Year>[0-9]{4})
-#   day month year    (?P<Day>[0-3][0-9]|[0-9])\s(?P<Month>[A-Z][a-z]+)\s(?P<Year>[0-9]{4})
-#   year-month-day    (P<Year>[0-9]{4})[/\-]{1}(?P<Month>[A-Z][a-z]+)[/\-]{1}(?P<Day>[0-3][0-9]|[0-9])
-#                     (its first group lacks '?', so it only matches the literal
-#                     text 'P<Year>'; when it does, the missing named group
-#                     raises and the item is lost)
-#   year month        (?P<Year>[0-9]{4})[/\- ]{1}(?P<Month>[A-Z][a-z]+)
-#   month year        (?P<Month>[A-Z][a-z]+)[/\- ]{1}(?P<Year>[0-9]{4})
-# Numeric:
-#   year month day    (?P<Year>[0-9]{4})[/\- ]{1}(?P<Month>[0-1][0-9]|[0-9])[/\- ](?P<Day>[0-3][0-9]|[0-9])
-#   year month        (?P<Year>[0-9]{4})[/\- ]{1}(?P<Month>[0-1][0-9]|[0-9])
-#   month year        (?P<Month>[0-1][0-9]|[0-9])[/\- ]{1}(?P<Year>[0-9]{4})
-#   year              (?P<Year>[0-9]{4})
-# Month words: full English name, else the 3-letter abbreviation.
+# Alpha: month day, year; day month year; a literal form that loses the item;
+# year month; month year. Numeric: year month day; year month; month year;
+# year. Month words: full English name, else the 3-letter abbreviation.
 PAREN_PATTERN = r"(?d)\(.+\)"
 ALPHA_MDY = f"([A-Z][a-z]+){S}([0-3][0-9]|[0-9]),{S}([0-9]{{4}})"
 ALPHA_DMY = f"([0-3][0-9]|[0-9]){S}([A-Z][a-z]+){S}([0-9]{{4}})"

@@ -22,11 +22,8 @@ WORK_TYPE = "decimal(30,10)"
 
 # ---------------------------------------------------------------------------
 # The reference's money rules.
-#   noise removed:  \\xa0|\$|,      (the literal 4 characters \xa0, '$', ',')
-#   range:          (?P<upper>[\d]+\.[\d]+|[\d]+)[-–—]{1}(?P<lower>[\d]+\.[\d]+|[\d]+)
-#   single number:  (?P<decimal>[\d]+\.[\d]+|[\d]+)       none found -> 1
-#   units:          million|Million -> x1 (tested first), billion|Billion -> x1000,
-#                   otherwise the number is dollars -> /1,000,000
+# Noise, ranges, single numbers (none found counts as 1) and units: million
+# is tested first, then billion; anything else is dollars.
 NOISE_PATTERN = r"\\xa0|\$|,"
 RANGE_PATTERN = "([0-9]+\\.[0-9]+|[0-9]+)[-\u2013\u2014]([0-9]+\\.[0-9]+|[0-9]+)"
 NUMBER_PATTERN = r"[0-9]+\.[0-9]+|[0-9]+"

@@ -24,9 +24,7 @@ WS_CLASS = "[" + _class_escape(PY_WHITESPACE) + "]"
 
 # ---------------------------------------------------------------------------
 # These patterns must equal the reference's name rules.
-#   junk pattern:   [\[{]+.*[\]}]+|[({]+.*[)}]*|[({]*.*[)}]+|[,;!:()+\-/{}]+
-#   leading strip:  ^[,\/]+
-# (?d) makes '.' stop only at '\n', as Python's '.' does.
+# (?d) makes '.' stop only at '\n'.
 JUNK_PATTERN = r"(?d)[\[{]+.*[\]}]+|[({]+.*[)}]*|[({]*.*[)}]+|[,;!:()+\-/{}]+"
 LEADING_PUNCT_PATTERN = r"^[,/]+"
 # Column widths of the name columns (characters): actor and director names
@@ -44,21 +42,17 @@ def nonempty(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-BRACKETS = r"[\[\](){}]"
-PUNCT_ONLY = r"^[,;!:()+\-/{}]+\z"
+# The junk pattern's matches, from the first character on, when they cover the
+# whole value. Within a line a bracketed part reaches to the last closing
+# bracket whatever stands between, so one opening and one closing character
+# state it; nothing is tried twice (atomic, possessive), so the test is linear.
+JUNK_ONLY = r"(?d)\A(?>[\[{].*[\]}]|[({].*|.*[)}]|[,;!:()+\-/{}]++)*+\z"
 
 
 def is_junk_name(c: Column) -> Column:
     """True when nothing is left after removing bracketed parts and
-    punctuation runs (the value itself is never altered by this test).
-
-    Three of the four alternatives need a bracket character, and their
-    backtracking '.*' makes the replacement quadratic in the value length.
-    Without any of ()[]{} only the punctuation-run alternative can match,
-    so the value is junk exactly when it is all punctuation: a linear
-    test. The full replacement runs only on values with brackets."""
-    return (F.when(c.rlike(BRACKETS), F.regexp_replace(c, JUNK_PATTERN, "") == "")
-            .otherwise(c.rlike(PUNCT_ONLY)))
+    punctuation runs (the value itself is never altered by this test)."""
+    return c.rlike(JUNK_ONLY)
 
 
 def strip_leading_punct(c: Column) -> Column:

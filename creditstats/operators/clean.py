@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, money, text
-from ..schema import CHILD_KINDS, MOVIE
+from ..schema import MOVIE
 
 FILM_MISSING = "film_missing"
 NAME_JUNK = "name_junk"
@@ -34,14 +34,6 @@ OUT_OF_DOMAIN = "out_of_domain"
 FILM_ROW_KEPT = (NAME_TOO_LONG, OUT_OF_DOMAIN)
 
 
-def split_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Long items (schema.ITEMS) -> (film items, credit items)."""
-    kind = F.col("kind")
-    films = items.where(kind == MOVIE).select("seq", "page_id", "film", "budget", "box_office", "release_date")
-    credits = items.where(kind.isin(*CHILD_KINDS)).select("seq", "page_id", "film", "kind", "value")
-    return films, credits
-
-
 def clean_film_items(films: DataFrame) -> DataFrame:
     """schema.FILM_ITEMS -> seq, page_id, film, movie_key, budget,
     box_office (decimal(12,6) millions), release_date (date), reason, raw."""
@@ -97,13 +89,11 @@ def clean_credit_items(credits: DataFrame) -> DataFrame:
 
 def rows_where(df: DataFrame, cond, *cols) -> DataFrame:
     """The rows of `df` where `cond` holds, projected to `cols`, without a
-    Filter node. A Filter on a cleaning result would be pushed down through
-    the staged cleaning projections, inlining every regex into the
-    predicate (computed twice, and large enough to fall out of whole-stage
-    codegen). Exploding a one-element array that is null when `cond` fails
-    yields the same rows and keeps the stages intact."""
-    picked = F.when(cond, F.array(F.struct(*cols)))
-    return df.select(F.explode(picked).alias("_r")).select("_r.*")
+    filter: one on a cleaning result would be pushed down through the staged
+    cleaning projections and repeat every regex in the predicate, which is
+    then too large to compile. Exploding a one-element array that is null
+    when `cond` fails yields the same rows and keeps the stages."""
+    return df.select(F.explode(F.when(cond, F.array(F.struct(*cols)))).alias("_r")).select("_r.*")
 
 
 def rejects(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:

@@ -5,16 +5,20 @@ The reference loads item by item with get-or-create lookups under a
 case-, accent- and trailing-space-insensitive collation. As set
 operations over the whole item log:
 
-  films       groupBy(movie_key): first spelling by seq (min_by) and the
-              latest accepted film item's facts (max_by over a struct, so a
-              null amount overwrites, L6); one shuffle for both (L2, L6, L7)
-  dimensions  groupBy(kind, entity_key): first spelling (L3)
-  bridges     distinct (kind, movie_key, entity_key) (L5)
+  films       first spelling by seq among all items, and the latest accepted
+              film item's facts (a null amount overwrites, L6) (L2, L6, L7)
+  dimensions  first spelling per (kind, entity_key) (L3)
+  bridges     distinct (kind, movie_key, entity_key), with ids (L5)
+
+Spellings are found in two steps: the smallest seq per key and spelling (a
+hash aggregation of fixed-width state, combined on the map side), then the
+spelling with the smallest seq per key, over distinct spellings only.
+Streaming allows one aggregation per query, so the `stream_` forms pick the
+spelling in one.
 
 Replaying the log gives the same tables (L9): min_by / max_by over a
 total order and distinct are idempotent under duplication. Surrogate ids
-are xxhash64 of the key (L4), with a collision check in `dq_*`; joins use
-the string keys, so a collision could never merge two entities silently.
+are xxhash64 of the key (L4); `dq_id_collisions` finds keys that share one.
 """
 
 from __future__ import annotations
@@ -30,9 +34,7 @@ def _film_rows(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
     the loader's film lookup (it created or found the film row), `fact_seq`
     when it is an accepted film item whose facts were written.
 
-    No filter on `reason` here: Catalyst would push such a filter through
-    the staged cleaning projections and inline every date and money regex
-    into it. Null orderings make min_by / max_by skip the row instead."""
+    Null orderings make min_by / max_by skip a row."""
     r = F.col("reason")
     kept = r.isNull() | r.isin(*FILM_ROW_KEPT)
     facts = F.struct("budget", "box_office", "release_date")
@@ -49,20 +51,7 @@ def _film_rows(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
     return f.unionByName(c)
 
 
-def build_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
-    """One row per film key: movie_id, movie_key, movie (first spelling),
-    budget, box_office, release_date (latest accepted film item, or nulls
-    for a stub film that only credits created)."""
-    agg = (
-        _film_rows(films_clean, credits_clean)
-        .groupBy("movie_key")
-        .agg(
-            F.min_by("film", "row_seq").alias("movie"),
-            F.max_by("facts", "fact_seq").alias("_facts"),
-            F.count("row_seq").alias("_rows"),
-        )
-        .where(F.col("_rows") > 0)
-    )
+def _movies(agg: DataFrame) -> DataFrame:
     return agg.select(
         F.xxhash64("movie_key").alias("movie_id"),
         "movie_key", "movie",
@@ -72,6 +61,31 @@ def build_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
     )
 
 
+def build_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
+    """One row per film key: movie_id, movie_key, movie (first spelling),
+    budget, box_office, release_date (latest accepted film item, or nulls
+    for a stub film that only credits created)."""
+    r = F.col("reason")
+    # A filter on `reason` would be pushed through the cleaning stages and
+    # repeat every rule in it: null sequence numbers drop the rows instead.
+    seq = F.when(r.isNull() | r.isin(*FILM_ROW_KEPT), F.col("seq")).alias("seq")
+    named = films_clean.select("movie_key", "film", seq).unionByName(credits_clean.select("movie_key", "film", seq))
+    spelled = named.groupBy("movie_key", "film").agg(F.min("seq").alias("seq")).where("seq is not null")
+    titles = spelled.groupBy("movie_key").agg(F.min_by("film", "seq").alias("movie"))
+    facts = films_clean.groupBy("movie_key").agg(
+        F.max_by(F.struct("budget", "box_office", "release_date"), F.when(r.isNull(), F.col("seq"))).alias("_facts"))
+    return _movies(titles.join(facts, "movie_key", "left"))
+
+
+def stream_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
+    """build_movies as one streaming aggregation."""
+    agg = _film_rows(films_clean, credits_clean).groupBy("movie_key").agg(
+        F.min_by("film", "row_seq").alias("movie"),
+        F.max_by("facts", "fact_seq").alias("_facts"),
+        F.count("row_seq").alias("_rows"))
+    return _movies(agg.where(F.col("_rows") > 0))
+
+
 def build_facts(films_clean: DataFrame) -> DataFrame:
     """Films with their latest accepted facts, from film items alone:
     movie_key, movie, budget, box_office, release_date. Every film with a
@@ -90,20 +104,38 @@ def _accepted(credits_clean: DataFrame) -> DataFrame:
     return credits_clean.where(F.col("reason").isNull())
 
 
+def build_spellings(credits_clean: DataFrame) -> DataFrame:
+    """Credited pairs by spelling: kind, movie_key, entity_key, value, and
+    the smallest seq."""
+    return (_accepted(credits_clean).groupBy("kind", "movie_key", "entity_key", "value")
+            .agg(F.min("seq").alias("seq")))
+
+
+def _dimension_rows(agg: DataFrame) -> DataFrame:
+    return agg.select("kind", F.xxhash64("kind", "entity_key").alias("entity_id"), "entity_key", "entity")
+
+
 def build_dimensions(credits_clean: DataFrame) -> DataFrame:
-    """All four entity dimensions in one aggregation:
-    kind, entity_id, entity_key, entity (first spelling)."""
-    return (
-        _accepted(credits_clean)
-        .groupBy("kind", "entity_key")
-        .agg(F.min_by("value", "seq").alias("entity"))
-        .select("kind", F.xxhash64("kind", "entity_key").alias("entity_id"), "entity_key", "entity")
-    )
+    """All four entity dimensions: kind, entity_id, entity_key, entity
+    (first spelling)."""
+    spelled = _accepted(credits_clean).groupBy("kind", "entity_key", "value").agg(F.min("seq").alias("seq"))
+    return _dimension_rows(spelled.groupBy("kind", "entity_key").agg(F.min_by("value", "seq").alias("entity")))
+
+
+def stream_dimensions(credits_clean: DataFrame) -> DataFrame:
+    """build_dimensions as one streaming aggregation."""
+    return _dimension_rows(_accepted(credits_clean).groupBy("kind", "entity_key")
+                           .agg(F.min_by("value", "seq").alias("entity")))
+
+
+def with_ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select("kind", F.xxhash64("movie_key").alias("movie_id"),
+                        F.xxhash64("kind", "entity_key").alias("entity_id"), "movie_key", "entity_key")
 
 
 def build_bridges(credits_clean: DataFrame) -> DataFrame:
-    """All four bridges: distinct (kind, movie_key, entity_key)."""
-    return _accepted(credits_clean).select("kind", "movie_key", "entity_key").distinct()
+    """All four bridges: distinct (kind, movie_key, entity_key), with their ids."""
+    return with_ids(_accepted(credits_clean).select("kind", "movie_key", "entity_key").distinct())
 
 
 def dimension(dims: DataFrame, kind: str) -> DataFrame:
@@ -116,9 +148,9 @@ def bridge(bridges: DataFrame, kind: str) -> DataFrame:
 
 # --- data-quality checks (L12) ---------------------------------------------
 
-def dq_duplicates(df: DataFrame, key: str) -> DataFrame:
+def dq_duplicates(df: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once (a UNIQUE violation)."""
-    return df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    return df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
 def dq_id_collisions(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
@@ -132,7 +164,7 @@ def dq_orphans(child: DataFrame, parent: DataFrame, on: list[str] | str) -> Data
     return child.join(parent.select(on if isinstance(on, list) else [on]).distinct(), on, "left_anti")
 
 
-# --- generic ordered picks (L2, L6) -------------------------------------------
+# --- generic ordered pick (L6) -------------------------------------------
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
     """Last write wins: per key, the values of the row with the greatest
@@ -142,9 +174,3 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str], values: list[str
     key is reduced map-side before the shuffle."""
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_v"))
     return picked.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
-
-
-def first_by(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
-    """First spelling wins: the mirror of latest_by with min_by."""
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_v"))
-    return picked.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])

@@ -1,46 +1,37 @@
-"""Partitioning helpers."""
+"""Tables written once and read by several consumers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a CPU-heavy narrow stage (regex cleaning, HTML parsing, word
-    splitting) at least as many partitions as the cluster has task slots.
+from ..session import ensure_checkpoint_dir
 
-    A large input already scans into far more partitions than that and is
-    returned untouched, so no shuffle is added at scale. A small file with
-    a single row group scans into one partition and would keep all but one
-    core idle; only then is it round-robined. Streaming frames are left as
-    they are (their partitioning is the source's).
 
-    Call it on a table scan (no shuffle or broadcast below): counting the
-    partitions of such a plan only lists files. On a plan with exchanges
-    Spark's adaptive execution would run those stages to answer."""
-    if df.isStreaming:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+def _root(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), f"tables-{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as a parquet table in the session's checkpoint folder
-    (on a cluster: the shared folder named by spark.checkpoint.dir) and
-    return a DataFrame that reads it.
-
-    Used where one expensive result feeds several aggregations: Spark
-    would otherwise recompute it per consumer (column pruning makes the
-    consumers' subtrees differ, so no exchange is reused). It also cuts
-    the lineage: a lost executor recomputes from the written table."""
-    import os
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
+    """Write `df` once as a parquet table in the shared folder and return a
+    DataFrame that reads it.
+
+    Used where one expensive result feeds several consumers: Spark would
+    otherwise recompute it for each (column pruning makes the consumers'
+    subtrees differ, so no exchange is reused). It also cuts the lineage: a
+    lost executor recomputes from the written table. `drop_materialized`
+    removes the tables of the application."""
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(_root(spark), f"{name}-{uuid.uuid4().hex}")
+    schema = df.schema
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Remove what `materialize` wrote in this application; frames that
+    still read it fail from then on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

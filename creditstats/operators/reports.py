@@ -22,7 +22,7 @@ threshold, sort-merge otherwise).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEC = "decimal(12,6)"
@@ -39,20 +39,27 @@ ALL_PRODUCTION_COMPANIES = "All production companies"
 
 def stddev_pop_exact(x: Column) -> Column:
     """Population standard deviation of a decimal(12,6) column from exact
-    moments: with m = x in millionths (an integer), n*sum(m^2) - sum(m)^2
-    is computed in decimal(38,0) without rounding, and only the final
-    square root is a double. A binary-float accumulator can land on the
-    wrong side of a 6th-decimal rounding boundary; this cannot, short of
-    the last double ulp. Still one pass of mergeable partial aggregates.
-    If a group is too large for decimal(38,0) the try_* functions give
-    null and the double stddev_pop is used instead."""
-    m = (x * F.lit(1000000)).cast("decimal(20,0)")
-    n = F.count(x).cast("decimal(20,0)")
-    s1 = F.try_sum(m)
-    s2 = F.try_sum(m * m)
-    var_n2 = F.try_subtract(F.try_multiply(n, s2), F.try_multiply(s1, s1))
-    exact = F.sqrt(var_n2.cast("double")) / n.cast("double") / F.lit(1e6)
-    return F.coalesce(exact, F.stddev_pop(x))
+    moments. With m = x in millionths, s1 and s2 the sums of m and m*m over n
+    rows, and s1 = q * n + r,
+
+        n * variance = s2 - q * s1 - r * q - r * r / n
+
+    where all but the last, small term are decimal arithmetic without
+    rounding. Every term stays inside decimal(38) up to 1e14 rows; beyond,
+    the sum overflows and the query fails (ANSI). A binary-float accumulator
+    can land on the wrong side of a 6th-decimal rounding boundary. One pass
+    of mergeable partial aggregates."""
+    whole = "decimal(38,0)"
+    m = (x * F.lit(1000000)).cast("decimal(13,0)")
+    n = F.count(x).cast("decimal(15,0)")
+    s1 = F.sum(m).cast("decimal(28,0)")
+    s2 = F.sum((m * m).cast("decimal(28,0)")).cast(whole)
+    r = F.when(n > 0, s1 % n).cast("decimal(15,0)")
+    q = F.when(n > 0, (s1 - r) / n).cast("decimal(14,0)")
+    most = s2 - (q * s1).cast(whole) - (r * q).cast(whole)
+    rest = r.cast("double") * r.cast("double") / n.cast("double")
+    variance = (most.cast("double") - rest) / n.cast("double")
+    return F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(1e6)
 
 
 def _stats(box_office: Column, movie: Column) -> dict[str, Column]:
@@ -71,57 +78,64 @@ def credited_facts(bridge: DataFrame, movies: DataFrame, with_year: bool = False
     """Bridge rows joined to films with a known box office (Q3-Q6).
 
     The not-null filter sits on the film side, so it is pushed into the
-    film scan and the join is inner."""
+    film scan and the join is inner. A bridge with `first_seq` keeps pairs of
+    other films with null facts: they count for the first spelling."""
     cols = [F.col("movie_id"), F.col("movie"), F.col("box_office")]
     if with_year:
         cols.append(F.year("release_date").alias("release_year"))
     facts = movies.where(F.col("box_office").isNotNull()).select(*cols)
-    return bridge.select("movie_id", "entity_id").join(facts, "movie_id")
+    spelled = [c for c in bridge.columns if c == "first_seq"]
+    return bridge.select("movie_id", "entity_id", *spelled).join(facts, "movie_id", "left" if spelled else "inner")
+
+
+def _first_seq(joined: DataFrame) -> list[Column]:
+    return [F.min("first_seq").alias("first_seq")] if "first_seq" in joined.columns else []
 
 
 def entity_stats(bridge: DataFrame, movies: DataFrame, entities: DataFrame | None,
-                 entity_col: str = "entity", credited: DataFrame | None = None) -> DataFrame:
+                 entity_col: str = "entity") -> DataFrame:
     """Per entity max, min, avg, population std, film count.
 
-    `entities` maps entity_id -> name (column `entity_col`); pass None when
-    entity_id already is the name."""
-    joined = credited if credited is not None else credited_facts(bridge, movies)
-    stats = _stats(F.col("box_office"), F.col("movie"))
-    agg = joined.groupBy("entity_id").agg(*stats.values())
+    `entities` maps entity_id -> name (column `entity_col`), or entity_id and
+    first_seq -> name if the bridge has first_seq; pass None when entity_id
+    already is the name."""
+    joined = credited_facts(bridge, movies)
+    first = _first_seq(joined)
+    agg = joined.groupBy("entity_id").agg(*_stats(F.col("box_office"), F.col("movie")).values(), *first)
+    if first:
+        agg = agg.where(F.col("film_count") > 0)
     if entities is None:
         named = agg.withColumnRenamed("entity_id", entity_col)
     else:
-        named = agg.join(entities.select("entity_id", entity_col), "entity_id").drop("entity_id")
+        key = ["entity_id"] + ["first_seq"] * len(first)
+        named = agg.join(entities.select(*key, entity_col), key)
     return named.select(entity_col, *ENTITY_STATS_COLUMNS)
 
 
-def sort_entity_stats(df: DataFrame, entity_col: str = "entity") -> DataFrame:
-    """Q16: the reference's three descending keys; the name breaks ties so
-    the order is total and repeatable."""
-    return df.orderBy(F.desc("box_office_max"), F.desc("box_office_avg"), F.desc("film_count"),
-                      F.asc(entity_col))
-
-
 def entity_year_rollup(bridge: DataFrame, movies: DataFrame, entities: DataFrame | None,
-                       entity_col: str = "entity", all_label: str = ALL_DISTRIBUTORS,
-                       credited: DataFrame | None = None) -> DataFrame:
+                       entity_col: str = "entity", all_label: str = ALL_DISTRIBUTORS) -> DataFrame:
     """GROUP BY entity, release_year WITH ROLLUP.
 
     Subtotals count (entity, film) pairs: a film with two entities counts
     twice in the grand total, as in the reference. A genuine null year
     stays null; only rollup rows get the 'All years' label."""
-    joined = credited if credited is not None else credited_facts(bridge, movies, with_year=True)
-    stats = _stats(F.col("box_office"), F.col("movie"))
+    joined = credited_facts(bridge, movies, with_year=True)
+    first = _first_seq(joined)
     agg = joined.rollup("entity_id", "release_year").agg(
-        *stats.values(),
+        *_stats(F.col("box_office"), F.col("movie")).values(), *first,
         F.grouping("entity_id").alias("_g_entity"),
         F.grouping("release_year").alias("_g_year"),
     )
+    if first:
+        # all rows of an entity (one a year) take the first spelling of the entity
+        of_entity = Window.partitionBy("entity_id", "_g_entity")
+        agg = agg.withColumn("first_seq", F.min("first_seq").over(of_entity)).where(F.col("film_count") > 0)
     if entities is None:
         named = agg.withColumn(entity_col, F.col("entity_id"))
     else:
         # Rollup rows carry a null entity_id and find no name: left join.
-        named = agg.join(entities.select("entity_id", entity_col), "entity_id", "left")
+        key = ["entity_id"] + ["first_seq"] * len(first)
+        named = agg.join(entities.select(*key, entity_col), key, "left")
     return named.select(
         F.when(F.col("_g_entity") == 1, F.lit(all_label)).otherwise(F.col(entity_col)).alias(entity_col),
         F.when(F.col("_g_year") == 1, F.lit(ALL_YEARS))

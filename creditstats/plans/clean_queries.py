@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, money, text
 from ..operators import clean
-from ..operators.partitioning import spread
+from ..sources.pages import release_date_choice
 from ..sources.tables import table
 from .driver_items import render_box_office
 
@@ -22,8 +22,8 @@ DOW_ORACLE = "dayofweek(o_orderdate)"  # DuckDB: Sunday = 0; Spark's dayofweek:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                        "o_orderpriority")).withColumn("d", F.to_date("o_orderdate"))
+    return table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                        "o_orderpriority").withColumn("d", F.to_date("o_orderdate"))
 
 
 def _film_items(df: DataFrame, release_date: Column, box_office: Column | None = None,
@@ -188,7 +188,7 @@ def require_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- names (C2, C3, X11) -------------------------------------------------------
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size"))
+    return table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
 
 
 def decorate_junk(name: Column, size: Column) -> Column:
@@ -236,22 +236,6 @@ def strip_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- candidate choice (X4, X8) -------------------------------------------------
 
-def first_valid(candidates: list[tuple[Column, Column]]) -> Column:
-    """coalesce(when(~reject_i(c_i), c_i), ...): the first present candidate
-    that its own predicate does not reject. Empty text counts as absent."""
-    return F.coalesce(*[F.when(text.nonempty(c) & ~rej, c) for c, rej in candidates])
-
-
-def us_entry_rejected(c: Column) -> Column:
-    # Fixed value: the US-entry candidate is rejected when, with parentheses
-    # removed, it reads exactly "United States".
-    return F.regexp_replace(c, r"\(|\)", "") == "United States"
-
-
-def too_short(c: Column) -> Column:
-    return F.char_length(c) < 4
-
-
 def first_valid_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders(spark, sf_dir)
     pr, d = F.col("o_orderpriority"), F.col("d")
@@ -261,9 +245,7 @@ def first_valid_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     c2 = F.when(pr == "3-MEDIUM", F.lit("TBA")).when(pr == "4-NOT SPECIFIED", full)
     c3 = F.date_format(d, "yyyy")
     c4 = full
-    chosen = first_valid([(c1, us_entry_rejected(c1)), (c2, too_short(c2)), (c3, too_short(c3)),
-                          (c4, too_short(c4))])
-    return o.select("o_orderkey", chosen.alias("release_text"))
+    return o.select("o_orderkey", release_date_choice(F.array(c1, c2, c3, c4)).alias("release_text"))
 
 
 REGISTRY = {

@@ -14,9 +14,8 @@ the tables.
   prod_co       one per line: the part name; bracketed (junk, dropped) for
                 p_size <= 3, with a leading ', ' for p_size 4..6
 
-seq = o_orderkey * 64 + line * 8 + kind index: films come first, then
-their credits in line order. Equal seq only occurs for identical values
-under one key, so first-spelling ties cannot change a result.
+seq orders items by order, line and kind: films come first, then their
+credits in line order.
 """
 
 from __future__ import annotations
@@ -24,8 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, MOVIE, PROD_CO
-from ..operators.partitioning import spread
+from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, MOVIE, PROD_CO, item_seq
 from ..sources.tables import table
 
 KIND_INDEX = {MOVIE: 0, ACTOR: 1, DIRECTOR: 2, DISTRIBUTOR: 3, PROD_CO: 4}
@@ -35,6 +33,10 @@ def _title(orderkey: Column) -> Column:
     return F.concat(F.lit("Order "), orderkey.cast("string"))
 
 
+def order_seq(orderkey: Column, line: Column | int, kind: str) -> Column:
+    return item_seq(orderkey, 0, line * 10 + F.lit(KIND_INDEX[kind]))
+
+
 def render_box_office(price: Column, priority: Column) -> Column:
     """o_totalprice (millions) as text, style by o_orderpriority; every
     style parses back to exactly the price."""
@@ -78,7 +80,7 @@ def _varied_case(name: Column, line: Column) -> Column:
 
 def _credit(seq: Column, film: Column, kind: str, value: Column) -> list[Column]:
     return [
-        seq.cast("bigint").alias("seq"),
+        seq.alias("seq"),
         F.lit(None).cast("bigint").alias("page_id"),
         film.alias("film"),
         F.lit(kind).alias("kind"),
@@ -89,19 +91,17 @@ def _credit(seq: Column, film: Column, kind: str, value: Column) -> list[Column]
 def driver_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(film items, credit items) (schema.FILM_ITEMS, schema.CREDIT_ITEMS)
     over whole driver tables."""
-    # the two large inputs are spread before the CPU-heavy rendering and cleaning
-    orders = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                          "o_orderdate", "o_orderpriority"))
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer", "c_custkey", "c_name")
-    lineitem = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    lineitem = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     supplier = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
 
-    base = F.col("o_orderkey") * 64
     film = _title(F.col("o_orderkey"))
     films = orders.select(
-        (base + KIND_INDEX[MOVIE]).cast("bigint").alias("seq"),
+        order_seq(F.col("o_orderkey"), 0, MOVIE).alias("seq"),
         F.lit(None).cast("bigint").alias("page_id"),
         film.alias("film"),
         F.concat(F.lit("$"), F.format_number(F.col("o_totalprice") * 10, 1)).alias("budget"),
@@ -110,7 +110,7 @@ def driver_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         render_release_date(F.to_date("o_orderdate")).alias("release_date"),
     )
     directors = orders.join(customer, orders.o_custkey == customer.c_custkey).select(*_credit(
-        base + KIND_INDEX[DIRECTOR], film, DIRECTOR,
+        order_seq(F.col("o_orderkey"), 0, DIRECTOR), film, DIRECTOR,
         F.when(F.col("o_orderstatus") == "O", F.upper("c_name")).otherwise(F.col("c_name")),
     ))
 
@@ -119,17 +119,16 @@ def driver_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         .join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(part, lineitem.l_partkey == part.p_partkey)
     )
-    lbase = F.col("l_orderkey") * 64 + F.col("l_linenumber") * 8
     lfilm = _title(F.col("l_orderkey"))
-    line = F.col("l_linenumber")
+    line, key = F.col("l_linenumber"), F.col("l_orderkey")
     p_name, p_size = F.col("p_name"), F.col("p_size")
     prod = (F.when(p_size <= 3, F.concat(F.lit("("), p_name, F.lit(")")))
             .when(p_size <= 6, F.concat(F.lit(", "), p_name))
             .otherwise(p_name))
     credit_rows = F.array(
-        F.struct(*_credit(lbase + KIND_INDEX[ACTOR], lfilm, ACTOR, _varied_case(F.col("s_name"), line))),
-        F.struct(*_credit(lbase + KIND_INDEX[DISTRIBUTOR], lfilm, DISTRIBUTOR, _varied_case(F.col("n_name"), line))),
-        F.struct(*_credit(lbase + KIND_INDEX[PROD_CO], lfilm, PROD_CO, prod)),
+        F.struct(*_credit(order_seq(key, line, ACTOR), lfilm, ACTOR, _varied_case(F.col("s_name"), line))),
+        F.struct(*_credit(order_seq(key, line, DISTRIBUTOR), lfilm, DISTRIBUTOR, _varied_case(F.col("n_name"), line))),
+        F.struct(*_credit(order_seq(key, line, PROD_CO), lfilm, PROD_CO, prod)),
     )
     credits = lines.select(F.explode(credit_rows).alias("i")).select("i.*")
     return films, directors.unionByName(credits)

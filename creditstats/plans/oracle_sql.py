@@ -38,37 +38,43 @@ FILMS = """films AS (
 SUPPLIER_BRIDGE = """bridge AS (SELECT DISTINCT l_orderkey AS movie_id, l_suppkey AS entity_id FROM lineitem)"""
 
 
+def _stats_sql(name: str) -> str:
+    """A report per entity over pairs(name, box_office, movie) of credited films."""
+    return f"""
+SELECT {name}, MAX(box_office) AS box_office_max, MIN(box_office) AS box_office_min, {avg6('box_office')} AS box_office_avg,
+       {std6('box_office')} AS box_office_std, COUNT(movie) AS film_count
+FROM pairs GROUP BY {name}"""
+
+
 def _entity_stats_sql() -> str:
     return f"""
 WITH {FILMS}, {SUPPLIER_BRIDGE},
-cte AS (SELECT s.s_name AS entity, b.movie_id FROM supplier s LEFT JOIN bridge b ON s.s_suppkey = b.entity_id)
-SELECT entity,
-       MAX(box_office) AS box_office_max,
-       MIN(box_office) AS box_office_min,
-       {avg6('box_office')} AS box_office_avg,
-       {std6('box_office')} AS box_office_std,
-       COUNT(movie) AS film_count
-FROM cte c LEFT JOIN films m ON c.movie_id = m.movie_id
-WHERE box_office IS NOT NULL
-GROUP BY entity"""
-
-
-def _rollup_sql(bridge_cte: str, entity_sql: str, all_label: str) -> str:
+pairs AS (
+  SELECT s_name AS entity, box_office, movie
+  FROM bridge JOIN films USING (movie_id) JOIN supplier ON s_suppkey = entity_id
+  WHERE box_office IS NOT NULL)
+{_stats_sql('entity')}"""
+
+
+def _rollup_stats(name: str, all_label: str) -> str:
+    """Per entity and year, per entity and in all, over
+    pairs(name, release_year, box_office, movie)."""
+    parts = []
+    for entity, year in ((name, "CAST(release_year AS VARCHAR)"), (name, "'All years'"), (f"'{all_label}'", "'All years'")):
+        parts.append(f"""
+SELECT {entity} AS {name}, {year} AS release_year, MAX(box_office) AS box_office_max, MIN(box_office) AS box_office_min,
+       COUNT(movie) AS film_count, {avg6('box_office')} AS box_office_avg, {std6('box_office')} AS box_office_std
+FROM pairs""")
+    return f"{parts[0]} GROUP BY {name}, pairs.release_year UNION ALL {parts[1]} GROUP BY {name} UNION ALL {parts[2]}"
+
+
+def _rollup_sql(named_pairs: str, all_label: str) -> str:
     return f"""
-WITH {FILMS}, {bridge_cte},
-cte AS (
-  SELECT {entity_sql} AS entity, YEAR(m.release_date) AS release_year, m.box_office, m.movie
-  FROM bridge b JOIN films m ON b.movie_id = m.movie_id
-  WHERE m.box_office IS NOT NULL)
-SELECT CASE WHEN GROUPING(entity) = 1 THEN '{all_label}' ELSE entity END AS entity,
-       CASE WHEN GROUPING(release_year) = 1 THEN 'All years' ELSE CAST(release_year AS VARCHAR) END AS release_year,
-       MAX(box_office) AS box_office_max,
-       MIN(box_office) AS box_office_min,
-       COUNT(movie) AS film_count,
-       {avg6('box_office')} AS box_office_avg,
-       {std6('box_office')} AS box_office_std
-FROM cte
-GROUP BY ROLLUP (entity, release_year)"""
+WITH {FILMS}, credited AS ({named_pairs}),
+pairs AS (
+  SELECT entity, year(release_date) AS release_year, box_office, movie
+  FROM credited JOIN films USING (movie_id) WHERE box_office IS NOT NULL)
+{_rollup_stats('entity', all_label)}"""
 
 
 # Items rendered from the driver tables (plans.driver_items), stated by
@@ -95,55 +101,39 @@ def _varied(col: str) -> str:
 
 def _item_credits(kind: str) -> str:
     if kind == "actor":
-        return (f"SELECT l_orderkey AS movie_id, lower(s_name) AS k, l_orderkey * 64 + l_linenumber * 8 + 1 AS seq, "
+        return (f"SELECT l_orderkey AS movie_id, lower(s_name) AS k, l_orderkey * 1000 + l_linenumber * 10 + 1 AS seq, "
                 f"{_varied('s_name')} AS v FROM lines")
     if kind == "director":
-        return ("SELECT o.o_orderkey AS movie_id, lower(c.c_name) AS k, o.o_orderkey * 64 + 2 AS seq, "
+        return ("SELECT o.o_orderkey AS movie_id, lower(c.c_name) AS k, o.o_orderkey * 1000 + 2 AS seq, "
                 "CASE WHEN o.o_orderstatus = 'O' THEN upper(c.c_name) ELSE c.c_name END AS v "
                 "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey")
     if kind == "distributor":
-        return (f"SELECT l_orderkey AS movie_id, lower(n_name) AS k, l_orderkey * 64 + l_linenumber * 8 + 3 AS seq, "
+        return (f"SELECT l_orderkey AS movie_id, lower(n_name) AS k, l_orderkey * 1000 + l_linenumber * 10 + 3 AS seq, "
                 f"{_varied('n_name')} AS v FROM lines")
     return ("SELECT l_orderkey AS movie_id, CASE WHEN p_size <= 6 THEN ' ' || p_name ELSE p_name END AS k, "
-            "l_orderkey * 64 + l_linenumber * 8 + 4 AS seq, "
+            "l_orderkey * 1000 + l_linenumber * 10 + 4 AS seq, "
             "CASE WHEN p_size <= 6 THEN ' ' || p_name ELSE p_name END AS v FROM lines WHERE p_size > 3")
 
 
-def _item_report(kind: str, name: str) -> str:
+def _item_pairs(kind: str, name: str) -> str:
+    """pairs(name, release_year, box_office, movie) of the rendered items,
+    entities under their first spelling."""
     return f"""
 WITH {ITEM_FILMS}, {ITEM_LINES},
 credits AS ({_item_credits(kind)}),
 names AS (SELECT k, arg_min(v, seq) AS {name} FROM credits GROUP BY k),
-bridge AS (SELECT DISTINCT movie_id, k FROM credits)
-SELECT n.{name},
-       MAX(box_office) AS box_office_max,
-       MIN(box_office) AS box_office_min,
-       {avg6('box_office')} AS box_office_avg,
-       {std6('box_office')} AS box_office_std,
-       COUNT(movie) AS film_count
-FROM bridge b JOIN films f ON b.movie_id = f.movie_id JOIN names n ON b.k = n.k
-WHERE f.box_office IS NOT NULL
-GROUP BY n.{name}"""
+pairs AS (
+  SELECT {name}, year(release_date) AS release_year, box_office, movie
+  FROM (SELECT DISTINCT movie_id, k FROM credits) JOIN films USING (movie_id) JOIN names USING (k)
+  WHERE box_office IS NOT NULL)"""
+
+
+def _item_report(kind: str, name: str) -> str:
+    return _item_pairs(kind, name) + _stats_sql(name)
 
 
 def _item_rollup(kind: str, name: str, label: str) -> str:
-    return f"""
-WITH {ITEM_FILMS}, {ITEM_LINES},
-credits AS ({_item_credits(kind)}),
-names AS (SELECT k, arg_min(v, seq) AS nm FROM credits GROUP BY k),
-bridge AS (SELECT DISTINCT movie_id, k FROM credits),
-cte AS (SELECT n.nm AS {name}, YEAR(f.release_date) AS release_year, f.box_office, f.movie
-        FROM bridge b JOIN films f ON b.movie_id = f.movie_id JOIN names n ON b.k = n.k
-        WHERE f.box_office IS NOT NULL)
-SELECT CASE WHEN GROUPING({name}) = 1 THEN '{label}' ELSE {name} END AS {name},
-       CASE WHEN GROUPING(release_year) = 1 THEN 'All years' ELSE CAST(release_year AS VARCHAR) END AS release_year,
-       MAX(box_office) AS box_office_max,
-       MIN(box_office) AS box_office_min,
-       COUNT(movie) AS film_count,
-       {avg6('box_office')} AS box_office_avg,
-       {std6('box_office')} AS box_office_std
-FROM cte
-GROUP BY ROLLUP ({name}, release_year)"""
+    return _item_pairs(kind, name) + _rollup_stats(name, label)
 
 
 def oracles() -> dict[str, str]:
@@ -158,26 +148,17 @@ SELECT *, ROW_NUMBER() OVER (ORDER BY box_office_max DESC, box_office_avg DESC,
 FROM ({_entity_stats_sql()}) t"""
     q["entity_stats_by_part_name"] = f"""
 WITH {FILMS},
-bridge AS (SELECT DISTINCT l.l_orderkey AS movie_id, p.p_name AS entity
-           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
-SELECT entity,
-       MAX(box_office) AS box_office_max,
-       MIN(box_office) AS box_office_min,
-       {avg6('box_office')} AS box_office_avg,
-       {std6('box_office')} AS box_office_std,
-       COUNT(movie) AS film_count
-FROM bridge b JOIN films m ON b.movie_id = m.movie_id
-WHERE box_office IS NOT NULL
-GROUP BY entity"""
+pairs AS (
+  SELECT entity, box_office, movie
+  FROM (SELECT DISTINCT l_orderkey AS movie_id, p_name AS entity FROM lineitem JOIN part ON l_partkey = p_partkey)
+  JOIN films USING (movie_id) WHERE box_office IS NOT NULL)
+{_stats_sql('entity')}"""
     q["entity_year_rollup"] = _rollup_sql(
-        "bridge AS (SELECT DISTINCT l.l_orderkey AS movie_id, s.s_name AS entity_name "
-        "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey)",
-        "b.entity_name", "All distributors")
+        "SELECT DISTINCT l_orderkey AS movie_id, s_name AS entity FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
+        "All distributors")
     q["nation_year_rollup"] = _rollup_sql(
-        "bridge AS (SELECT DISTINCT l.l_orderkey AS movie_id, n.n_name AS entity_name "
-        "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey "
-        "JOIN nation n ON s.s_nationkey = n.n_nationkey)",
-        "b.entity_name", "All production companies")
+        "SELECT DISTINCT l_orderkey AS movie_id, n_name AS entity FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
+        "JOIN nation ON s_nationkey = n_nationkey", "All production companies")
     q["left_join_keep_all"] = """
 SELECT o.o_orderkey AS movie_id, COUNT(l.l_orderkey) AS n_credits
 FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Item kinds (the reference's five item classes).
@@ -9,13 +11,24 @@ MOVIE, ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO = "movie", "actor", "director", "di
 CHILD_KINDS = (ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO)
 KINDS = (MOVIE,) + CHILD_KINDS
 
+# Arrival order of items: page, kind and position packed into one decimal. It
+# is unique and, unlike a struct, of fixed width, so that its minimum and
+# maximum are hash-aggregated.
+SEQ = T.DecimalType(38, 0)
+
+
+def item_seq(page: Column, kind: Column | int, pos: Column | int) -> Column:
+    """Items in order of page, kind (0 to 9), pos (0 to 10**10 - 1)."""
+    return ((page.cast("decimal(19,0)") * 10 + kind) * F.lit(10 ** 10) + pos).cast(SEQ)
+
+
 # Film items (the reference's movie item) and credit items (its cast,
 # director, distributor and production-company items) are two tables, as
 # they have different fields and different cleaning rules. `seq` is one
 # total arrival order over both, which makes first-spelling and
 # last-write-wins deterministic.
 FILM_ITEMS = T.StructType([
-    T.StructField("seq", T.LongType(), False),
+    T.StructField("seq", SEQ, False),
     T.StructField("page_id", T.LongType(), True),
     T.StructField("film", T.StringType(), True),
     T.StructField("budget", T.StringType(), True),
@@ -24,26 +37,13 @@ FILM_ITEMS = T.StructType([
 ])
 
 CREDIT_ITEMS = T.StructType([
-    T.StructField("seq", T.LongType(), False),
+    T.StructField("seq", SEQ, False),
     T.StructField("page_id", T.LongType(), True),
     T.StructField("film", T.StringType(), True),
     T.StructField("kind", T.StringType(), False),
     T.StructField("value", T.StringType(), True),
 ])
 
-# The long form (one table, all five kinds) for sources that interleave
-# them; `split_items` in operators.clean turns it into the two tables.
-ITEMS = T.StructType([
-    T.StructField("seq", T.LongType(), False),
-    T.StructField("page_id", T.LongType(), True),
-    T.StructField("film", T.StringType(), True),
-    T.StructField("kind", T.StringType(), False),
-    T.StructField("value", T.StringType(), True),
-    T.StructField("budget", T.StringType(), True),
-    T.StructField("box_office", T.StringType(), True),
-    T.StructField("release_date", T.StringType(), True),
-])
-
 MONEY = T.DecimalType(12, 6)
 
 MOVIES = T.StructType([
@@ -69,7 +69,7 @@ BRIDGE = T.StructType([
 ])
 
 REJECTS = T.StructType([
-    T.StructField("seq", T.LongType(), False),
+    T.StructField("seq", SEQ, False),
     T.StructField("kind", T.StringType(), False),
     T.StructField("reason", T.StringType(), False),
     T.StructField("raw", T.StringType(), True),

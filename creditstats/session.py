@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -43,19 +45,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir).
+
+    Only a local session without that setting gets a folder of its own; a
+    cluster without one is an error, since executors could not see it."""
     sc = spark.sparkContext
-    return sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="creditstats-shared-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; set a scratch one only when unset
-    (local runs and tests). On a cluster `spark.checkpoint.dir` names a
-    shared folder and is always used as is."""
-    d = checkpoint_dir(spark)
-    if not d:
-        d = tempfile.mkdtemp(prefix="creditstats-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+def ship(spark: SparkSession) -> None:
+    """Add this package to the job's Python files, once a context, so that
+    workers can import it without an installation."""
+    sc = spark.sparkContext
+    if getattr(sc, "_creditstats_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    to = os.path.join(tempfile.mkdtemp(prefix="creditstats-package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(to)
+    sc._creditstats_shipped = True

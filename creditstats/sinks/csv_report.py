@@ -2,9 +2,9 @@
 
 The reference writes one UTF-8 CSV per report with the `excel` dialect:
 comma separator, minimal quoting with doubled quotes, CRLF line ends,
-null as an empty field. Reports are aggregates (one row per entity or per
-entity and year), so they are written as one file; the tables they come
-from are written as parquet, partitioned by Spark.
+null as an empty field. A report is written as sorted part files, each with
+the header: their names ascend with the sort order, so reading them in name
+order gives the whole report, however many rows it has.
 """
 
 from __future__ import annotations
@@ -47,15 +47,13 @@ def with_headers(df: DataFrame, headers: list[str]) -> DataFrame:
 
 def write_report_csv(df: DataFrame, path: str, headers: list[str] | None = None,
                      sort_cols: list | None = None) -> None:
-    """Write one report as a single CSV file under `path` (a directory, as
-    Spark writes). The report is already aggregated, so one output task is
-    bounded by the number of report rows, not by the input size."""
+    """Write one report as sorted CSV part files under `path`."""
     out = df
     if sort_cols:
         out = out.orderBy(*sort_cols)
     if headers:
         out = with_headers(out, headers)
-    writer = out.coalesce(1).write.mode("overwrite")
+    writer = out.write.mode("overwrite")
     for k, v in CSV_OPTIONS.items():
         writer = writer.option(k, v)
     writer.csv(path)

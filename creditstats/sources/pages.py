@@ -21,21 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
-from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO
+from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO, item_seq
+from ..session import ship
 from .html_tree import Node, parse
 
-# The extraction function runs in Python workers, which may not have this
-# package on their path (a driver started elsewhere, executors without it
-# installed). Pickling the package's code by value ships what the task
-# needs with the task itself.
-try:
-    import creditstats as _pkg
-    from pyspark import cloudpickle as _cloudpickle
-
-    _cloudpickle.register_pickle_by_value(_pkg)
-except (ImportError, AttributeError):  # older cloudpickle: rely on the workers' path
-    pass
-
 # ---------------------------------------------------------------------------
 # The reference's lookup rules.
 # List pages: films of 2003..2022 inclusive, under the quarter headings
@@ -249,6 +238,7 @@ def _extract_batches(batches):
 def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) -> one row of raw candidates per page
     (schema EXTRACTED). Narrow: runs inside each partition of `pages`."""
+    ship(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(_extract_batches, EXTRACTED)
 
 
@@ -290,7 +280,7 @@ def film_items(extracted: DataFrame) -> DataFrame:
     """X12 film part: one film item per page (schema.FILM_ITEMS). The film
     title uses the reference's two title rules only."""
     return extracted.select(
-        (F.col("page_id") * 4096).alias("seq"),
+        item_seq(F.col("page_id"), 0, 0).alias("seq"),
         "page_id",
         first_match(F.col("title_rules"), 2).alias("film"),
         first_match(F.col("budget_rules"), 3).alias("budget"),
@@ -305,11 +295,12 @@ def credit_items(extracted: DataFrame) -> DataFrame:
     exploded = extracted.select(
         "page_id", first_match(F.col("title_rules"), 2).alias("film"), F.explode("credits").alias("c"))
     v = text.strip_ws(F.col("c.value"))
+    kind_index = F.array_position(F.array(*[F.lit(k) for k, _ in CREDIT_HEADERS]), F.col("kind"))
     return (
         exploded.select("page_id", "film", F.col("c.kind").alias("kind"), F.col("c.pos").alias("pos"),
                         v.alias("value"))
         .where(text.nonempty(F.col("value")))
-        .select((F.col("page_id") * 4096 + 1 + F.col("pos")).alias("seq"), "page_id", "film", "kind", "value")
+        .select(item_seq(F.col("page_id"), kind_index, F.col("pos")).alias("seq"), "page_id", "film", "kind", "value")
     )
 
 

@@ -25,10 +25,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from ..operators import clean, model
 from ..plans.star import Star
+from ..schema import BRIDGE, DIMENSION, MOVIES, REJECTS
 from ..session import ensure_checkpoint_dir
 
 KEYS = {
@@ -43,8 +45,8 @@ def stream_star(film_stream: DataFrame, credit_stream: DataFrame) -> dict[str, t
     credits = clean.clean_credit_items(credit_stream)
     accepted = credits.where(F.col("reason").isNull())
     return {
-        "movies": (model.build_movies(films, credits), "update"),
-        "dimensions": (model.build_dimensions(credits), "update"),
+        "movies": (model.stream_movies(films, credits), "update"),
+        "dimensions": (model.stream_dimensions(credits), "update"),
         "bridges": (accepted.select("kind", "movie_key", "entity_key")
                     .dropDuplicates(["kind", "movie_key", "entity_key"]), "append"),
         "rejects": (clean.rejects(films, credits), "append"),
@@ -79,19 +81,23 @@ def _current(df: DataFrame, keys: list[str]) -> DataFrame:
     return model.latest_by(df, keys, ["batch"], values)
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The batches written so far; an empty frame before the first one."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # nothing written yet
-        return None
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_star(spark: SparkSession, out_dir: str) -> Star:
-    movies = _current(_read(spark, os.path.join(out_dir, "movies")), KEYS["movies"])
-    dims = _current(_read(spark, os.path.join(out_dir, "dimensions")), KEYS["dimensions"])
-    bridges = _read(spark, os.path.join(out_dir, "bridges")).drop("batch").distinct()
-    rejects = _read(spark, os.path.join(out_dir, "rejects"))
-    if rejects is not None:  # a retried batch overwrote its own folder: no dedup needed
-        rejects = rejects.drop("batch")
+    batch = StructField("batch", LongType())
+    movies, dims, bridges, rejects = (
+        _read(spark, os.path.join(out_dir, name), StructType([*schema.fields, batch]))
+        for name, schema in (("movies", MOVIES), ("dimensions", DIMENSION), ("bridges", BRIDGE), ("rejects", REJECTS)))
+    movies, dims = _current(movies, KEYS["movies"]), _current(dims, KEYS["dimensions"])
+    # a retried batch overwrote its own folder, so rejects need no dedup
     return Star(movies.select("movie_id", "movie_key", "movie", "budget", "box_office", "release_date"),
-                dims.select("kind", "entity_id", "entity_key", "entity"), bridges, rejects)
+                dims.select("kind", "entity_id", "entity_key", "entity"),
+                model.with_ids(bridges.drop("batch").distinct()), rejects.drop("batch"))

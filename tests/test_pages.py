@@ -129,6 +129,20 @@ def test_run_from_pages_writes_reports(spark, pages):
     import tempfile
     out = tempfile.mkdtemp(prefix="cs-pages-")
     paths = S.run_from_pages(spark, pages, out)
-    text = open(glob.glob(f"{paths['actors']}/part-*.csv")[0], encoding="utf-8").read()
+    text = open(glob.glob(f"{paths['by_actor']}/part-*.csv")[0], encoding="utf-8").read()
     assert text.splitlines()[0].startswith("actor,box office max (in millions)")
     assert "Beyoncé,300.000000,0.045000" in text
+
+
+def test_order_of_items_on_a_crowded_page(spark):
+    """Over 4,096 values on one page, in several kinds: seq stays unique and
+    keeps page, kind and position in order."""
+    names = "".join(f"<li>Name {i}</li>" for i in range(5000))
+    html = f"""<h1 id="firstHeading"><i>Crowd</i></h1><table><tbody>
+      <tr><th>Starring</th><td><div><ul>{names}</ul></div></td></tr>
+      <tr><th>Directed by</th><td><div><ul>{names}</ul></div></td></tr></tbody></table>"""
+    pages = spark.createDataFrame([(i, None, html) for i in (1, 2)], "page_id long, url string, html string")
+    rows = P.credit_items(P.extract(pages)).orderBy("seq").collect()
+    assert len({r.seq for r in rows}) == len(rows) == 20_000
+    assert [(r.page_id, r.kind) for r in rows[::5000]] == [(1, "actor"), (1, "director"), (2, "actor"), (2, "director")]
+    assert [r.value for r in rows[:5000]] == [f"Name {i}" for i in range(5000)]

@@ -61,3 +61,21 @@ def test_replay_is_idempotent(spark, pairs):
     twice = clean.clean_credit_items(c.unionByName(c))
     assert sorted(model.build_bridges(once).collect()) == sorted(model.build_bridges(twice).collect())
     assert sorted(model.build_dimensions(once).collect()) == sorted(model.build_dimensions(twice).collect())
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from(list("[](){},;!:+-/ab \n")), max_size=9).map("".join), min_size=1, max_size=60))
+def test_junk_test_equals_the_replacement(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = df.select(text.is_junk_name(F.col("v")).alias("j"),
+                     (F.regexp_replace("v", text.JUNK_PATTERN, "") == "").alias("want"), "v").collect()
+    assert [(r.v, r.j) for r in rows] == [(r.v, r.want) for r in rows]
+
+
+def test_junk_test_is_linear(spark):
+    import time
+    values = ["[" + "n" * 400_000, "[" * 400_000, "(" * 400_000 + "x\n", ")" * 400_000 + "x", "," * 400_000 + "x"]
+    began = time.time()
+    assert [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string")
+            .select(text.is_junk_name(F.col("v"))).collect()] == [False] * 5
+    assert time.time() - began < 20

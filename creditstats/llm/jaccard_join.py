@@ -11,16 +11,18 @@ when 100 * |common| >= 100 * at_least * |either|.
    the smaller set, and c the overlap that two sets need at their sizes, two
    linked sets share at least k shingles of their first n - c + k ones each.
    Positions in a list are skipped that lie behind this, and so are all of a
-   set when too few of its first shingles occur in any other set: what is
-   its own cannot be shared. A shared passage alone makes no candidate.
+   set when too few of its first shingles are in lists at all. A shared passage alone makes no candidate.
    Lists are sorted by set size; a set meets only the block of a list whose
    sizes can link. Equal sets are one set.
-3. Set relations. First each set is checked against a centre of its lists
-   (the set with the least of its own) and its neighbours by size. What they
-   link is a component, and inside one every answer follows from answers
-   already computed: pairs of it are skipped, and only pairs of sets from
-   different components are counted in the second round. A large group of
-   near copies thus costs a few checks a set.
+3. Set relations. First each set is checked against centres of its lists
+   (the sets with the least of their own) and its neighbours by size and by
+   that measure. What they link is a component, and inside one every answer
+   follows from answers already computed: pairs of it are skipped. Lists
+   that still hold several components get a second turn with other centres,
+   and only pairs of sets from components that are different after it are
+   counted in the last round; those of one set with a large component are
+   counted beside the component's members, so they are not written out. A large group of near copies thus costs a few
+   checks a set.
 4. Pairs are checked on the full sets, which are read again from the texts of
    the sets in question only (a bit filter of fixed size).
 
@@ -52,6 +54,12 @@ BLOCK = 1 << 14
 FILTER_BITS = 24
 PAIR_BLOCK = 500_000
 LIST_BLOCK = 200_000
+CENTRES = 4
+NEVER = 1 << 30
+LARGE = 64  # members from which on a component's pairs are counted beside its members
+CHUNK = 2000
+COUNTED = 5_000_000
+LISTED = ("set", "token", "n", "pos", "q", "rank", "component", "full")
 SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("set", pa.int64()), ("n", pa.int32()),
                   ("block", pa.int32()), ("counts", pa.binary())])
 POSTINGS = pa.schema([("token", pa.int64()), ("set", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
@@ -144,9 +152,9 @@ class Join:
 
     def lists(self) -> DataFrame:
         """Index lists with two sets or more: token, set, n, pos; rank, the
-        number of the set's own list entries before this one; and q, the
-        place by which the set has as many entries as a link with its
-        smallest possible partner needs."""
+        number of the set's own list entries before this one; and q and full,
+        the places by which the set has as many entries as a link needs with
+        its smallest possible partner, and with one no smaller than itself."""
         shingle, percent, rarity = self.shingle, self.percent, self.rarity
 
         def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,69 +204,117 @@ class Join:
         fewest = shared_least(F.ceil(F.col("n") * percent / 100)).cast("int")
         # at most a prefix of one set is gathered
         places = lists.groupBy("set", "n").agg(F.sort_array(F.collect_list("pos")).alias("places"))
-        alive = places.select("set", "places", F.get("places", fewest - 1).alias("q")).where("q is not null")
+        full = F.coalesce(F.get("places", (shared_least(F.col("n")) - 1).cast("int")), F.lit(NEVER))
+        alive = places.select("set", "places", F.get("places", fewest - 1).alias("q"), full.alias("full")).where("q is not null")
         rank = (F.array_position("places", F.col("pos")) - 1).cast("int")
-        return staged(lists.join(alive, "set").select("set", "token", "n", "pos", "q", rank.alias("rank")), "join-lists")
-
-    def neighbours(self, lists: DataFrame) -> DataFrame:
-        """First round: each set with a centre and a neighbour of its lists,
-        where they meet in a good part of the lists that a link needs."""
+        return staged(lists.join(alive, "set").select("set", "token", "n", "pos", "q", rank.alias("rank"), "full"), "join-lists")
+
+    def named(self, lists: DataFrame, known: DataFrame | None) -> DataFrame:
+        """Lists in order, with the component of each set so far."""
+        of = F.col("set")
+        if known is not None:
+            lists, of = lists.join(known, lists["set"] == known["node"], "left"), F.coalesce("component", "set")
+        columns = lists.select("set", "token", "n", "pos", "q", "rank", of.alias("component"), "full")
+        return columns.repartition("token").sortWithinPartitions("token", "n", "set")
+
+    def neighbours(self, lists: DataFrame, known: DataFrame | None = None, turn: int = 0) -> DataFrame:
+        """First round: each set with centres and neighbours of its lists,
+        where they meet in a good part of the lists that a link needs. Sets
+        with as little of their own are ordered differently each turn."""
         percent = self.percent
         step = np.log((100 + percent) / (2 * percent))
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in _whole_lists(batches, cut_long=True):
-                set_, token, n, _, q = (rows.column(i).to_numpy() for i in range(5))
+            for rows in map(_mixed, _whole_lists(batches, cut_long=True)):
+                if not rows.num_rows:
+                    continue
+                set_, token, n, _, _, _, comp, full = (rows.column(i).to_numpy() for i in range(8))
                 _, of_list = runs(token)
                 size = np.floor(np.log(n) / step).astype(np.int64)  # ascends with n in a list
                 block = np.cumsum(np.concatenate([[0], (of_list[1:] != of_list[:-1]) | (size[1:] != size[:-1])]))
                 begin, _ = runs(block)
-                by_own = np.lexsort((set_, q, block))
-                centre = by_own[begin]  # of each block of sizes, the set with the least of its own
+                by_own = np.lexsort((mix(set_.view(U), np.array([turn], U)), full, block))
                 every = np.arange(len(n))
                 after = np.minimum(block + 1, len(begin) - 1)
-                i = np.concatenate([centre[block], every, by_own[:-1], every[:-1]])
-                j = np.concatenate([every, centre[after], by_own[1:], every[1:]])
-                same = of_list[i] == of_list[j]
-                yield _pairs(rows, i[same], j[same], percent, 0)
+                pairs = [(every[:-1], every[1:])]
+                for k in range(CENTRES):  # of each block of sizes, sets with the least of their own
+                    centre = by_own[np.minimum(begin + k, len(n) - 1)]
+                    pairs += [(centre[block], every), (every, centre[after]), (by_own[:-1 - k], by_own[1 + k:])]
+                i, j = (np.concatenate(x) for x in zip(*pairs))
+                apart = (of_list[i] == of_list[j]) & (comp[i] != comp[j])
+                yield _pairs(rows, i[apart], j[apart], percent, 0)
 
-        ordered = lists.select("set", "token", "n", "pos", "q", "rank").repartition("token").sortWithinPartitions("token", "n", "set")
-        return _counted(in_arrow(ordered, meet, "a long, b long, least int"), 4)
+        return _counted(in_arrow(self.named(lists, known), meet, "a long, b long, least int"), 4)
 
     def strangers(self, lists: DataFrame, known: DataFrame) -> DataFrame:
-        """Second round: pairs whose components differ and that share as
-        many lists as a link needs."""
+        """Last round: pairs whose components differ and that share as many
+        lists as a link needs. Those with a member of a large component are
+        counted where its members are, the others by a shuffle of pairs."""
+        rows = lists.join(known, lists["set"] == known["node"], "left").select(
+            "set", "token", "n", "pos", "q", "rank", F.coalesce("component", "set").alias("component"), "full")
+        mixed = rows.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2")
+        rows = staged(rows.join(mixed.select("token"), "token"), "join-mixed")
+        large = known.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") >= LARGE)
+        large = staged(large.select("component", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks")), "join-large")
+        return self._few(rows.join(large, "component", "left_anti")).union(self._with_large(rows, large)).distinct()
+
+    def _few(self, rows: DataFrame) -> DataFrame:
+        """Pairs of sets whose components are both small."""
         percent = self.percent
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in _whole_lists(batches):
-                token, comp = (rows.column(i).to_numpy() for i in (1, 6))
-                begin, of_list = runs(token)
-                mixed = np.minimum.reduceat(comp, begin) != np.maximum.reduceat(comp, begin)
-                if not mixed.any():
-                    continue
-                rows = rows.filter(pa.array(mixed[of_list]))
+            for rows in map(_mixed, _whole_lists(batches)):
                 token, n, comp = (rows.column(i).to_numpy() for i in (1, 2, 6))
                 _, of_list = runs(token)
                 # sizes ascend in a list: the block that a set can link to ends where 100 * n_i < percent * n_j
                 place = (of_list << 32) + n
                 end = np.searchsorted(place, (of_list << 32) + 100 * n.astype(np.int64) // percent, side="right")
-                at = 0
-                while at < len(n):
-                    reach = np.cumsum(end[at:] - np.arange(at, len(n)) - 1)
-                    upto = at + max(1, int(np.searchsorted(reach, PAIR_BLOCK, side="right")))
-                    count = end[at:upto] - np.arange(at, upto) - 1
-                    i = np.repeat(np.arange(at, upto), count)
-                    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+                for i, j in _expanded(np.arange(1, len(n) + 1), end):
                     keep = comp[i] != comp[j]
                     yield _pairs(rows, i[keep], j[keep], percent, 3)
-                    at = upto
 
-        named = lists.join(known, lists["set"] == known["node"], "left").select(
-            "set", "token", "n", "pos", "q", "rank", F.coalesce("component", "set").alias("component"))
-        ordered = named.repartition("token").sortWithinPartitions("token", "n", "set")
+        ordered = rows.select(*LISTED).repartition("token").sortWithinPartitions("token", "n", "set")
         return _counted(in_arrow(ordered, meet, "a long, b long, least int"), 1)
 
+    def _with_large(self, rows: DataFrame, large: DataFrame) -> DataFrame:
+        """Pairs of a member of a large component with any other set. The
+        members are cut into chunks; the entries of the others go to each
+        chunk of a component that their lists name."""
+        percent = self.percent
+        named = rows.join(large, "component").select("token", F.col("component").alias("owner"), "chunks").distinct()
+        chunk = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
+        dealt = (rows.join(named, "token")
+                 .withColumn("chunk", F.explode(F.when(F.col("component") == F.col("owner"), F.array(chunk))
+                                                .otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
+                 .select(*LISTED, "owner", "chunk"))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in _groups(batches, 8, 9):
+                set_, token, n, _, _, _, comp, _, owner, _ = (c.to_numpy() for c in rows.columns)
+                inside = np.flatnonzero(comp == owner)
+                outside = np.flatnonzero(comp != owner)
+                members, m_of = np.unique(set_[inside], return_inverse=True)
+                others, o_of = np.unique(set_[outside], return_inverse=True)
+                for first in range(0, len(others), max(1, COUNTED // max(1, len(members)))):
+                    upto = first + max(1, COUNTED // max(1, len(members)))
+                    mine = np.flatnonzero((o_of >= first) & (o_of < upto))
+                    shared = np.zeros((min(upto, len(others)) - first) * len(members), np.int64)
+                    low, high = (np.searchsorted(token[inside], token[outside[mine]], side=x) for x in ("left", "right"))
+                    for x, y in _expanded(low, high):
+                        ok, _ = _allowed(rows, outside[mine[x]], inside[y], percent, 0)
+                        at = (o_of[mine[x[ok]]] - first) * len(members) + m_of[y[ok]]
+                        shared += np.bincount(at, minlength=len(shared))
+                    met = np.flatnonzero(shared)
+                    size_in, size_out = np.zeros(len(members), np.int64), np.zeros(len(others), np.int64)
+                    size_in[m_of], size_out[o_of] = n[inside], n[outside]
+                    o, m = met // len(members) + first, met % len(members)
+                    met = shared[met] >= shared_least(np.minimum(size_out[o], size_in[m]))
+                    a, b = others[o[met]], members[m[met]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        ordered = dealt.repartition("owner", "chunk").sortWithinPartitions("owner", "chunk", "token")
+        return in_arrow(ordered, count, "a long, b long")
+
     def check(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, by their full sets."""
         shingle, percent = self.shingle, self.percent
@@ -321,21 +377,72 @@ def _whole_lists(batches: Iterator[pa.RecordBatch], cut_long: bool = False) -> I
         yield pa.concat_batches(held)
 
 
-def _pairs(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, percent: int, quarters: int) -> pa.RecordBatch:
-    """Pairs (i, j) of lists that sizes and positions allow, with the number
-    of lists that must report them. Of the k lists that a link shares, those
-    after the first k * quarters / 4 report it; in both sets they have at
-    least so many entries before them."""
-    set_, n, pos, q, rank = (rows.column(k).to_numpy().astype(np.int64) for k in (0, 2, 3, 4, 5))
+def _mixed(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The lists that hold sets of several components."""
+    token, comp = (rows.column(i).to_numpy() for i in (1, 6))
+    begin, of_list = runs(token)
+    if not len(begin):
+        return rows
+    mixed = np.minimum.reduceat(comp, begin) != np.maximum.reduceat(comp, begin)
+    return rows.filter(pa.array(mixed[of_list]))
+
+
+def _expanded(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) for every i and every j from low[i] to high[i], in blocks."""
+    count = np.maximum(high - low, 0)
+    reach, at = np.cumsum(count), 0
+    while at < len(low):
+        before = reach[at] - count[at]
+        upto = max(at + 1, int(np.searchsorted(reach, before + PAIR_BLOCK, side="right")))
+        c = count[at:upto]
+        i = np.repeat(np.arange(at, upto), c)
+        yield i, low[i] + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+        at = upto
+
+
+def _groups(batches: Iterator[pa.RecordBatch], *by: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by the columns `by`, one batch a group."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(k).to_numpy() for k in by]
+        new = np.zeros(len(keys[0]), bool)
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), len(new)]
+        for b, e in zip(cuts[:-1], cuts[1:]):
+            if held and any(held[0].column(c)[0].as_py() != k[b] for c, k in zip(by, keys)):
+                yield pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(b, e - b))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _allowed(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, percent: int, quarters: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (i, j) of list entries sizes and positions allow, and the
+    number of lists that must report them. Of the k lists that a link shares,
+    those after the first k * quarters / 4 report it; in both sets they have
+    at least so many entries before them."""
+    set_, n, pos, q, rank, full = (rows.column(k).to_numpy().astype(np.int64) for k in (0, 2, 3, 4, 5, 7))
     small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
     need, least = -(-percent * (small + large) // (100 + percent)), shared_least(small)
     silent = least * quarters // 4
     ok = (100 * small >= percent * large) & (set_[i] != set_[j])
     for side in (i, j):
-        ok &= (np.maximum(pos[side], q[side]) < n[side] - need + least) & (rank[side] >= silent)
+        enough = np.where(least >= shared_least(n[side]), full[side], q[side])
+        ok &= (np.maximum(pos[side], enough) < n[side] - need + least) & (rank[side] >= silent)
+    return ok, least - silent
+
+
+def _pairs(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, percent: int, quarters: int) -> pa.RecordBatch:
+    """The allowed pairs (a, b) with the number of lists that must report them."""
+    set_ = rows.column(0).to_numpy()
+    ok, least = _allowed(rows, i, j, percent, quarters)
     a, b = set_[i[ok]], set_[j[ok]]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
-                                       pa.array((least - silent)[ok].astype(np.int32))], ["a", "b", "least"])
+                                       pa.array(least[ok].astype(np.int32))], ["a", "b", "least"])
 
 
 def _counted(met: DataFrame, part: int) -> DataFrame:
@@ -351,8 +458,9 @@ def similarity_components(docs: DataFrame, shingle: int = 5, at_least: float = 0
     join = Join(docs, shingle, round(100 * at_least), id_col, text_col)
     lists = join.lists()
     links = join.check(join.neighbours(lists))
-    more = join.check(join.strangers(lists, components(links)))
-    named = staged(components(links.union(more)), "join-components")
+    links = links.union(join.check(join.neighbours(lists, components(links), turn=1)))
+    links = links.union(join.check(join.strangers(lists, components(links))))
+    named = staged(components(links), "join-components")
     rows = join.members.join(named, join.members["set"] == named["node"], "left").select(
         "doc_id", "row", "n", F.coalesce("component", "set").alias("component"))
     least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))

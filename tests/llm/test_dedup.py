@@ -160,7 +160,10 @@ def test_jaccard_edges(edge, empty):
     assert jaccard_join.similarity_components(empty).count() == 0
 
 
-def test_jaccard_random(make_docs):
+@pytest.mark.parametrize("large, chunk", [(64, 2000), (2, 2)])
+def test_jaccard_random(make_docs, monkeypatch, large, chunk):
+    monkeypatch.setattr(jaccard_join, "LARGE", large)
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
     rng = random.Random(11)
     rows = []
     for g in range(12):

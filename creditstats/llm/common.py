@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import os
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir, ship
+
 # Word separators of all word counts here: space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,25 +20,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir).
-
-    Only a local session without that setting gets a folder of its own; a
-    cluster without one is an error, since executors could not see it."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="llm-shared-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return os.path.join(shared_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(ensure_checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +37,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what the operators staged; results not yet written are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), "llm"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(ensure_checkpoint_dir(spark), "llm"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -132,17 +115,3 @@ def in_arrow(df: DataFrame, function, schema) -> DataFrame:
         if spark.conf.get(key) == default:
             spark.conf.set(key, rows)
     return df.mapInArrow(function, schema)
-
-
-def ship(spark: SparkSession) -> None:
-    """Add this package to the job's Python files, once a context."""
-    sc = spark.sparkContext
-    if getattr(sc, "_creditstats_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    to = os.path.join(tempfile.mkdtemp(prefix="llm-package-"), f"{package.name}.zip")
-    with zipfile.ZipFile(to, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(to)
-    sc._creditstats_shipped = True

@@ -27,7 +27,7 @@ from ..sinks import csv_report
 
 # kind -> dimension table, its id and name columns, bridge table
 TABLES = {
-    ACTOR: ("actors", "actor_id", "actor", "castlist"),
+    ACTOR: ("castnames", "actor_id", "actor", "castlist"),
     DIRECTOR: ("directors", "director_id", "director", "filmdirectors"),
     DISTRIBUTOR: ("distributors", "distributor_id", "distributor", "filmdistributors"),
     PROD_CO: ("productionco", "prod_co_id", "prod_co", "filmprodco"),

@@ -106,7 +106,7 @@ def test_checks_see_violations(spark):
     star = _star(spark, [(1, None, "Film", None, "$1 million", "2005")], [(2, None, "Film", "actor", "Ann")])
     broken = S.Star(star.movies.unionAll(star.movies), star.dimensions.where("false"), star.bridges)
     bad = {r.check: r.n_bad for r in S.check_star(broken).collect() if r.n_bad}
-    assert bad == {"movies.movie_id unique": 1, "movies.movie unique": 1, "castlist -> actors": 1}
+    assert bad == {"movies.movie_id unique": 1, "movies.movie unique": 1, "castlist -> castnames": 1}
     twin = star.movies.withColumn("movie_key", F.concat("movie_key", F.lit("!")))
     clash = S.check_star(S.Star(star.movies.unionAll(twin), star.dimensions, star.bridges))
     assert {r.check for r in clash.collect() if r.n_bad} >= {"movies.movie_id collisions"}

@@ -111,13 +111,13 @@ def test_page_scan(spark, pages):
 def test_pages_to_reports(spark, pages):
     ex = P.extract(pages)
     st = S.build_star(P.film_items(ex), P.credit_items(ex))
-    actors = {r.actor: r for r in S.actor_report(st).collect()}
+    by_name = {r.actor: r for r in S.actor_report(st).collect()}
     # Beyoncé / BEYONCE / "beyonce " are one actor, first spelling kept;
     # Gamma has box office 0.045 (dollars), Alpha 300, Beta 110
-    b = actors["Beyoncé"]
+    b = by_name["Beyoncé"]
     assert b.film_count == 3
     assert b.box_office_max == Decimal("300.000000") and b.box_office_min == Decimal("0.045000")
-    assert "(voice)" not in actors  # junk-only credit dropped
+    assert "(voice)" not in by_name  # junk-only credit dropped
     movies = {r.movie: r for r in st.movies.collect()}
     assert movies["Gamma Film"].release_date.isoformat() == "2007-05-01"
     dists = S.distributor_report(st).collect()

@@ -80,6 +80,11 @@ class Memory(dict):
             self[text] = got
         return got
 
+    def rest(self) -> None:
+        """Free the old generation; what a worker keeps between tasks is the
+        newer one."""
+        self.old = {}
+
 
 class Pairs(dict):
     """Bounded memory of `compatible`, by left << 20 | right."""
@@ -272,6 +277,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         t = loaded(spec.value)
 
         yield from _outputs(batches, lambda row: _encoded(t, row), ENCODED)
+        t.known.rest()
 
     return in_arrow(docs.selectExpr(f"cast(`{id_col}` as bigint)", f"`{text_col}`"), run, "doc_id long, ids array<int>")
 
@@ -304,6 +310,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         t = loaded(spec.value)
         for made in _outputs(batches, lambda row: _encoded(t, row), ENCODED):
             yield pa.RecordBatch.from_arrays([*made.columns, _decoded(t, made.column(1))], ["doc_id", "ids", "text"])
+        t.known.rest()
 
     return in_arrow(docs.selectExpr(f"cast(`{id_col}` as bigint)", f"`{text_col}`"), run,
                     "doc_id long, ids array<int>, text string")

@@ -16,7 +16,7 @@ document in several sources adds its size to each of them, and targets are
 shares of the words there are, each counted once.
 
 The seeded choice is distributed: documents are ordered by a seeded hash;
-sums per hash bucket (at most 2**16 a pattern) find the bucket where the
+sums per hash bucket (at most 2**12 a pattern) find the bucket where the
 quota ends, and only that bucket is ordered row by row. Documents are taken
 whole; what is left of the quota after the last one that fits is offered
 again to the smaller documents, in `passes` rounds, so the words taken stay
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import WORD, free_name, staged, with_locator
 from .min_cost_flow import FlowNetwork
 
-BUCKETS = 1 << 16
+BUCKET_BITS = 12
 
 
 def word_count(text: Column) -> Column:
@@ -135,7 +135,7 @@ def _choose(rows: DataFrame, passes: int) -> DataFrame:
     """Mark rows to take once more, so that each pattern's marked sizes come
     near its `left` words. One pass marks a prefix of the seeded order among
     the unmarked rows that fit into what is left."""
-    rows = rows.withColumn("once_more", F.lit(False)).withColumn("bucket", F.shiftrightunsigned("order", 48).cast("int"))
+    rows = rows.withColumn("once_more", F.lit(False)).withColumn("bucket", F.shiftrightunsigned("order", 64 - BUCKET_BITS).cast("int"))
     for _ in range(passes):
         fits = ~F.col("once_more") & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
         sums = rows.where(fits).groupBy("pattern", "left", "bucket").agg(F.sum("size").alias("_sum"))

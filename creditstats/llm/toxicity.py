@@ -19,7 +19,7 @@ The insult vocabulary, whole words and stems in any language, is learned: of
 the labelled rows outside the held-out fold, at most `sample_rows` by hash of
 the identifier, the document frequencies of words and of their prefixes are
 counted by label, and a pattern is kept when its likelihood ratio stands out
-among all patterns counted and most of its documents are toxic. The
+among all patterns counted and four in five of its documents are toxic. The
 multipliers of the grammar are fixed; the logistic weights are fitted on the
 features of the same sample. Labels are read for rows of the training folds
 only; language, source and identifier are no inputs of a score.
@@ -259,7 +259,7 @@ def learn_lexicon(rows: DataFrame, max_patterns: int) -> Lexicon:
     ratio = F.col("pos") * F.log(share / rate) + (F.col("n") - F.col("pos")) * F.log((1 - share) / (1 - rate))
     least = math.log(max(2, counts.count())) + 1
     found = (counts.where("pos > 0").withColumn("share", share).withColumn("ratio", ratio)
-             .where((F.col("share") > 0.5) & (F.col("ratio") > least))
+             .where((F.col("share") > 0.8) & (F.col("ratio") > least))
              .orderBy(F.desc("ratio"), "pattern").limit(max_patterns).collect())
     words, stems = {}, {}
     for r in sorted(found, key=lambda r: (len(r.pattern), r.pattern)):

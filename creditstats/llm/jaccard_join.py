@@ -454,7 +454,9 @@ def _counted(met: DataFrame, part: int) -> DataFrame:
 def similarity_components(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """Per row: doc_id, row (a hash of identifier and text), n_shingles,
-    component_id (the smallest doc_id reachable by links, itself included)."""
+    component_id (the smallest doc_id reachable by links, itself included),
+    component (a set's hash that names the component, whatever its doc_ids
+    are; it is 0 for all empty sets)."""
     join = Join(docs, shingle, round(100 * at_least), id_col, text_col)
     lists = join.lists()
     links = join.check(join.neighbours(lists))
@@ -466,18 +468,19 @@ def similarity_components(docs: DataFrame, shingle: int = 5, at_least: float = 0
     least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return (rows.join(least, "component", "left")
             .select("doc_id", "row", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "component"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: of each component the one with the
-    smallest doc_id (null last). Rows equal in identifier and text count as
-    one document. Texts without words all stay."""
+    smallest doc_id (null last). Null and repeated doc_ids join no components.
+    Rows equal in identifier and text count as one document. Texts without
+    words all stay."""
     name = free_name(docs, "_dropped")
     found = staged(similarity_components(docs, shingle, at_least, id_col, text_col), "join-found").where("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    best = found.groupBy("component_id").agg(F.min(order).alias("best"), F.count("*").alias("members")).where("members > 1")
-    dropped = (found.join(best, found["component_id"].eqNullSafe(best["component_id"])).where(F.col("row") != F.col("best.row"))
+    best = found.groupBy("component").agg(F.min(order).alias("best"), F.count("*").alias("members")).where("members > 1")
+    dropped = (found.join(best, "component").where(F.col("row") != F.col("best.row"))
                .select(F.col("row").alias(name)).distinct())
     row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
     return docs.join(dropped, row == F.col(name), "left_anti")

@@ -16,7 +16,10 @@ Visible is what a browser without scripts to run shows: not the head,
 scripts, styles, templates, embedded media, comments, hidden inputs and
 closed dialogs; not an element with the attribute hidden or the inline style
 display:none, nor one with visibility:hidden, except for descendants made
-visible again; of closed details only the summary.
+visible again; of closed details only the summary. Text of noscript and map
+is shown, formulas without their annotations, and of a drawing (svg) the text
+elements, a line each, and embedded HTML. Styles are read by exact property
+name; the last value of a property holds, an important one before others.
 
 Scale: one narrow pass over the pages, one page at a time, no shuffle.
 
@@ -42,8 +45,10 @@ from .common import in_arrow
 # Fixed values of HTML: element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas svg math "
-                   "datalist map".split())
+UNSEEN = frozenset("head title script style template iframe noembed noframes object audio video canvas datalist".split())
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask marker pattern".split())  # inside svg
+ENDS_SVG = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing "
+                     "menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl table blockquote pre figure fieldset hr".split())
 BLOCK = SPACED | frozenset("address article aside body center details dialog dir div dd dt figcaption footer form header "
                            "hgroup html legend li main nav optgroup option search section select summary".split())
@@ -57,7 +62,7 @@ IMPLIED_END = {
     "th": ({"td", "th"}, {"tr", "table"}), "caption": ({"caption"}, {"table"}), "colgroup": ({"colgroup", "caption"}, {"table"}),
     **dict.fromkeys(("thead", "tbody", "tfoot"), ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"})),
 }
-SCOPE = frozenset("table td th caption button object template html".split())
+SCOPE = frozenset("table td th caption button object template html foreignobject".split())
 # ---------------------------------------------------------------------------
 
 SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)\s*>")
@@ -65,6 +70,8 @@ TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*(=)\s*)?")
 BARE_VALUE = re.compile(r"[^\s>]*")
 SPACES = re.compile(r"[ \t\n\r\f]+")
+STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+DECLARATION = re.compile(r"""(?:[^;"'(]+|"[^"]*"?|'[^']*'?|\([^)]*\)?)+""")
 
 
 class Scanner:
@@ -76,7 +83,7 @@ class Scanner:
 
     def __iter__(self):
         html, at, n = self.html, 0, len(self.html)
-        lower = None
+        lower, foreign = None, 0  # foreign: open svg and math, whose parts may close themselves
         while at < n:
             tag = html.find("<", at)
             if tag < 0:
@@ -86,10 +93,10 @@ class Scanner:
                 yield "text", html[at:tag]
             m = SIMPLE_TAG.match(html, tag)
             if m:
-                name, closing, attributes, at = m[2].lower(), m[1], {}, m.end()
+                name, closing, attributes, empty, at = m[2].lower(), m[1], {}, False, m.end()
             elif m := TAG_NAME.match(html, tag):
                 name, closing = m[1].lower(), html[tag + 1] == "/"
-                attributes, at = self._attributes(m.end())
+                attributes, empty, at = self._attributes(m.end())
             else:
                 at = self._other(tag)
                 if at == tag:
@@ -97,9 +104,15 @@ class Scanner:
                     at = tag + 1
                 continue
             if closing:
+                foreign = 1 if name == "foreignobject" else foreign - (foreign > 0 and name in ("svg", "math"))
                 yield "close", name
                 continue
             yield "open", name, attributes
+            foreign = 0 if name in ENDS_SVG else foreign  # these are HTML, inside a drawing too
+            if empty and name not in VOID and (foreign or name in ("svg", "math")):
+                yield "close", name
+                continue
+            foreign += name in ("svg", "math")
             if name in RAW or name == "plaintext":
                 if lower is None:
                     lower = html.lower() if len(html.lower()) == n else html
@@ -131,7 +144,8 @@ class Scanner:
             return len(html) if end < 0 else end + 1
         return at
 
-    def _attributes(self, at: int) -> tuple[dict[str, str], int]:
+    def _attributes(self, at: int) -> tuple[dict[str, str], bool, int]:
+        """Attributes, whether the tag ends with a slash, and its end."""
         html, out = self.html, {}
         while m := ATTRIBUTE.match(html, at):
             at, value = m.end(), ""
@@ -145,7 +159,7 @@ class Scanner:
                     value, at = v[0], v.end()
             out.setdefault(m[1].lower(), unescape(value))
         end = self._find(">", at)
-        return out, len(html) if end < 0 else end + 1
+        return out, end > at and html[end - 1] == "/", len(html) if end < 0 else end + 1
 
 
 class Flow:
@@ -230,10 +244,14 @@ class Page:
         self.hidden, self.keep = 0, False  # hidden: 0 seen, 1 visibility only, 2 not rendered
         self.grids: list[tuple[Grid, Flow]] = []
         self.lists: list[list] = []
+        self.svg: list[list] = []  # open svg, and their open text and foreignobject
 
     # ---- tree
 
     def start(self, name: str, attributes: dict[str, str]) -> None:
+        if name in ENDS_SVG and self._in_svg():
+            while self._in_svg():
+                self._pop()
         if name == "image":
             name = "img"
         if name in CLOSES_P:
@@ -261,6 +279,9 @@ class Page:
         self._close_to({name}, {"table"} if name in ("tr", "thead", "tbody", "tfoot") else
                        frozenset() if name in SCOPE else {"td", "th", "table"} if name not in BLOCK else SCOPE - {name})
 
+    def _in_svg(self) -> bool:
+        return bool(self.svg) and self.svg[-1][0] != "foreignobject"
+
     def _has(self, name: str, stop) -> bool:
         if not self.count[name]:
             return False
@@ -293,17 +314,24 @@ class Page:
         entry = [name, self.flow, self.hidden, self.keep, None]
         self.open.append(entry)
         self.count[name] += 1
-        style = attributes.get("style", "").replace(" ", "").lower()
-        if (name in UNSEEN or "hidden" in attributes or "display:none" in style
-                or name == "dialog" and "open" not in attributes):
+        drawn = self._in_svg()
+        if name == "svg" or self.svg and name in ("text", "foreignobject"):
+            self.svg.append(entry)
+        shown = _shown(attributes["style"]) if "style" in attributes else {}
+        if drawn:
+            shown = {k: attributes[k].strip().lower() for k in ("display", "visibility") if k in attributes} | shown
+        if (name in UNSEEN or drawn and name in UNDRAWN or name in ("annotation", "annotation-xml") and self.count["math"]
+                or "hidden" in attributes or shown.get("display") == "none" or name == "dialog" and "open" not in attributes):
             self.hidden = 2
-        elif self.hidden < 2 and "visibility:" in style:
-            self.hidden = 1 if re.search("visibility:(hidden|collapse)", style) else 0
+        elif self.hidden < 2 and "visibility" in shown:
+            self.hidden = {"hidden": 1, "collapse": 1, "visible": 0, "initial": 0}.get(shown["visibility"], self.hidden)
         if name == "summary" and self.hidden == 2 and len(self.open) > 1 and self.open[-2][0] == "details":
             self.hidden = self.open[-2][2]  # seen even where its details are closed
         if self.hidden == 2:
             return
         self.flow.block(1 if name in SPACED and not (name in ("ul", "ol") and self.lists) else 0) if name in BLOCK else None
+        if drawn and name == "text":
+            self.flow.block(0)
         if name in ("pre", "xmp", "plaintext", "textarea"):
             self.keep = True
         if name in ("ul", "ol", "menu", "dir"):
@@ -332,8 +360,12 @@ class Page:
             self.flow.text('"', False)
 
     def _pop(self) -> None:
-        name, flow, hidden, keep, made = self.open.pop()
+        entry = self.open.pop()
+        name, flow, hidden, keep, made = entry
         self.count[name] -= 1
+        line = bool(self.svg) and self.svg[-1] is entry and name == "text"
+        if self.svg and self.svg[-1] is entry:
+            self.svg.pop()
         seen = self.hidden < 2 or made is not None or name == "details"
         inner, self.flow, self.hidden, self.keep = self.flow, flow, hidden, keep
         if not seen or hidden == 2:
@@ -357,6 +389,8 @@ class Page:
                 self.flow.put([(made[1] if k == 0 else made[2] if x else "") + x for k, x in enumerate(lines)])
         elif name == "q":
             self.flow.text('"', False)
+        if line:
+            self.flow.block(0)
         if name in BLOCK:
             self.flow.block(1 if name in SPACED and not (made == "list" and self.lists) else 0)
 
@@ -373,7 +407,7 @@ class Page:
             self.flow.text(attributes.get("value", ""), False)
 
     def text(self, s: str) -> None:
-        if self.hidden:
+        if self.hidden or self.svg and self.svg[-1][0] == "svg":
             return
         if self.open and self.open[-1][0] in ("table", "thead", "tbody", "tfoot", "tr", "colgroup") and self.grids:
             if s.strip():  # text in a table outside its cells stands before the table
@@ -382,6 +416,26 @@ class Page:
         self.flow.text(s, self.keep)
 
 
+def _shown(style: str) -> dict[str, str]:
+    """The properties display and visibility of an inline style."""
+    out, important = {}, set()
+    low = style.lower()
+    if "display" not in low and "visibility" not in low:
+        return out
+    for declaration in DECLARATION.findall(STYLE_COMMENT.sub("", low)):
+        name, _, value = declaration.partition(":")
+        name, value = name.strip(), "".join(value.split())
+        first = value.endswith("!important")
+        value = value.removesuffix("!important")
+        known = value if name == "display" else name == "visibility" and value in (
+            "hidden", "collapse", "visible", "initial", "inherit", "unset", "revert")
+        if known and (first or name not in important):
+            out[name] = value
+            if first:
+                important.add(name)
+    return out
+
+
 def _number(text: str | None, default: int) -> int:
     m = re.match(r"\s*(-?\d{1,9})", text or "")
     return int(m[1]) if m else default

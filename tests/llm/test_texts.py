@@ -95,6 +95,32 @@ def test_html_layout(html, text):
     assert html_layout.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<div style='backface-visibility:hidden'>a</div>", "a"), ("<p style='-webkit-backface-visibility : hidden'>a</p>b", "a\n\nb"),
+    ("<p style='visibility:hidden'>a<b style='content-visibility:auto'>b</b></p>c", "c"),
+    ("<p style='-x-display:none'>a</p>", "a"), ("<p style='display:\tnone\n'>a</p>b", "b"),
+    ("<p style='display:none;display:block'>a</p>", "a"), ("<p style='display:none!important;display:block'>a</p>b", "b"),
+    ("<p style='visibility:hidden;visibility:visible'>a</p>", "a"), ("<p style='visibility:hidden;visibility:no'>a</p>b", "b"),
+    ("<p style='visibility:hidden'>a<b style='visibility:inherit'>b</b></p>c", "c"),
+    ("<p style='background:url(x;display:none)'>a</p>", "a"), ("<p style='/* display:none */color:red'>a</p>", "a"),
+    ("<noscript>a <b>b</b></noscript>c", "a bc"), ("<head><noscript>a</noscript></head>c", "c"), ("<map>a<area>b</map>", "ab"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1 in TeX</annotation></math>.", "x=1."),
+    ("a<svg><title>t</title>u<defs><text>v</text></defs><g><path d='M0'/><text>b <tspan>c</tspan></text><text>d</text></g></svg>e",
+     "a\nb c\nd\ne"),
+    ("<svg><desc/><title/><text display=none>a</text><text>b</text></svg>c", "b\nc"),
+    ("<svg><foreignObject><div>a</div></foreignObject></svg>b", "a\nb"), ("<svg><path><p>a</p>b", "a\n\nb"), ("<svg/>a", "a"),
+])
+def test_html_visibility(html, text):
+    assert html_layout.render(html) == text
+
+
+def test_html_hostile_drawings_and_styles_are_linear():
+    for part in ("<svg>", "<svg><text>", "<svg><p>", "<math>", "<svg><foreignObject>", "<svg/>"):
+        html_layout.render(part * 20_000 + "x")
+    for part in ("(", "/*", "'", ";", "display:"):
+        html_layout.render(f'<p style="display:none;{part * 100_000}">x')
+
+
 def test_html_hostile_pages_are_linear():
     for part in ("<div>", "<p", "<a b='", "<table>", "<ul><li>", "<!--", "</p>", "<td>", "<details>", "&amp", "<b><p>"):
         html_layout.render(part * 20_000 + "x")

@@ -1,4 +1,5 @@
-"""Exact set similarity join on word shingles, as components.
+"""Exact set similarity join on word shingles: components, links a document,
+or the links themselves.
 
 Documents are sets of `shingle`-word shingles (64-bit hashes). Two sets link
 when 100 * |common| >= 100 * at_least * |either|.
@@ -16,8 +17,8 @@ when 100 * |common| >= 100 * at_least * |either|.
    sizes can link. Equal sets are one set.
 3. Set relations. First each set is checked against centres of its lists
    (the sets with the least of their own) and its neighbours by size and by
-   that measure. What they link is a component, and inside one every answer
-   follows from answers already computed: pairs of it are skipped. Lists
+   that measure. What they link is a component; pairs inside one are skipped
+   here, as they cannot change it. Lists
    that still hold several components get a second turn with other centres,
    and only pairs of sets from components that are different after it are
    counted in the last round; those of one set with a large component are
@@ -25,6 +26,14 @@ when 100 * |common| >= 100 * at_least * |either|.
    checks a set.
 4. Pairs are checked on the full sets, which are read again from the texts of
    the sets in question only (a bit filter of fixed size).
+5. Links inside components, for `similarity_counts` and `similarity_links`
+   (`similarity_components` needs none of them). Two linked sets always lie in
+   one component. Its centre is the set with the most answers so far, and each
+   set keeps its difference D from it. |x ^ y| = |Dx| + |Dy| - 2 |Dx & Dy|, so
+   a pair's answer follows from the two sizes where they alone decide, else
+   from the differences' shared entries; full sets are not met again. Members
+   are cut into parts, and part meets part in a task of its own. Counts are
+   summed there, so pairs are written out by `similarity_links` only.
 
 No group is gathered: index partitions are read as sorted streams, in blocks.
 
@@ -59,6 +68,8 @@ NEVER = 1 << 30
 LARGE = 64  # members from which on a component's pairs are counted beside its members
 CHUNK = 2000
 COUNTED = 5_000_000
+PART = 1000  # members of a component's part, and bytes of their differences
+PART_BYTES = 16 << 20
 LISTED = ("set", "token", "n", "pos", "q", "rank", "component", "full")
 SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("set", pa.int64()), ("n", pa.int32()),
                   ("block", pa.int32()), ("counts", pa.binary())])
@@ -317,9 +328,28 @@ class Join:
 
     def check(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, by their full sets."""
-        shingle, percent = self.shingle, self.percent
+        percent = self.percent
         pairs = staged(pairs, "join-pairs")
-        asked = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+        # a set given twice repeats a link and no more
+        sets = self.full_sets(pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct())
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                    x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    out.append(100 * both >= percent * (len(x) + len(y) - both))
+                yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
+
+        left = sets.select(F.col("set").alias("a"), F.col("members").alias("x"))
+        right = sets.select(F.col("set").alias("b"), F.col("members").alias("y"))
+        return staged(in_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), compare, "a long, b long"), "join-links")
+
+    def full_sets(self, asked: DataFrame) -> DataFrame:
+        """The sets asked for, with others, read again: set, members. Repeated
+        rows may give a set twice."""
+        shingle = self.shingle
         named = self.members.groupBy("set").agg(F.min("row").alias("row")).join(asked, "set")
         bit = F.col("row").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
         bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
@@ -339,21 +369,91 @@ class Join:
                 yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "members"])
 
-        # repeated rows may give a set twice; that repeats a link and no more
-        sets = staged(in_arrow(self.texts, load, "set long, members binary"), "join-members")
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return staged(in_arrow(self.texts, load, "set long, members binary"), "join-members")
+
+    def differences(self, links: DataFrame, named: DataFrame) -> DataFrame:
+        """Per set with a link: set, component, n, copies (rows that have it),
+        and its difference from the centre of its component."""
+        answers = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("answers"))
+        centres = staged(named.join(answers, "node").groupBy("component").agg(
+            F.max(F.struct("answers", "node")).getField("node").alias("centre"),
+            F.ceil(F.count("*") / PART).cast("int").alias("salts")), "join-centres")
+        sets = staged(self.full_sets(named.select(F.col("node").alias("set"))).dropDuplicates(["set"]), "join-full")
+        copies = self.members.where("n > 0").groupBy("set").agg(F.count("*").alias("copies"))
+        salt = F.pmod(F.xxhash64("set"), F.col("salts")).cast("int")
+        own = (named.join(centres, "component").select(F.col("node").alias("set"), "component", "centre", "salts")
+               .join(sets, "set").join(copies, "set").withColumn("salt", salt))
+        middle = (centres.select(F.col("centre").alias("set"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+                  .join(sets, "set").select(F.col("set").alias("centre"), "salt", F.col("members").alias("middle")))
+
+        def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                out = []
-                for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                    x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    out.append(100 * both >= percent * (len(x) + len(y) - both))
-                yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
+                size, out = [], []
+                for x, y in zip(*(batch.column(k).to_pylist() for k in (3, 4))):
+                    size.append(len(x) // 8)
+                    out.append(np.setxor1d(np.frombuffer(x, U), np.frombuffer(y, U), assume_unique=True).tobytes())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(size, pa.int64()), pa.array(out, pa.binary())],
+                                                 ["set", "component", "copies", "n", "difference"])
+
+        rows = own.join(middle, ["centre", "salt"]).select("set", "component", "copies", "members", "middle")
+        return staged(in_arrow(rows, differ, "set long, component long, copies long, n long, difference binary"), "join-differences")
+
+    def inside(self, differences: DataFrame, counts: bool) -> DataFrame:
+        """The links inside components: (set, linked), rows of other sets that
+        a set links with, in parts to be summed, if `counts`; else (a, b)."""
+        percent = self.percent
+        parts = differences.groupBy("component").agg(F.ceil(F.greatest(
+            F.count("*") / PART, F.sum(F.length("difference")) / PART_BYTES)).cast("int").alias("parts"))
+        dealt = (differences.join(parts, "component").withColumn("part", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+                 .select("component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                         "part", "set", "copies", "n", "difference"))
 
-        left = sets.select(F.col("set").alias("a"), F.col("members").alias("x"))
-        right = sets.select(F.col("set").alias("b"), F.col("members").alias("y"))
-        return staged(in_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), compare, "a long, b long"), "join-links")
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in _groups(batches, 0, 1, 2):
+                i, j = (rows.column(k)[0].as_py() for k in (1, 2))
+                part, set_, copies, n = (rows.column(k).to_numpy() for k in (3, 4, 5, 6))
+                apart = [np.frombuffer(d, U) for d in rows.column(7).to_pylist()]
+                every, y = np.flatnonzero(part == i), np.flatnonzero(part == j)
+                step, linked_y = max(1, COUNTED // max(1, len(y))), np.zeros(len(y), np.int64)
+                for first in range(0, len(every), step):
+                    x = every[first:first + step]
+                    linked = _derived(apart, n, x, y, percent) & (x[:, None] != y)
+                    if counts:
+                        yield pa.RecordBatch.from_arrays([pa.array(set_[x]), pa.array(linked @ copies[y])], ["set", "linked"])
+                        linked_y += copies[x] @ linked
+                    else:
+                        a, b = np.nonzero(linked & (x[:, None] < y) if i == j else linked)
+                        a, b = set_[x[a]], set_[y[b]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                if counts and i != j:
+                    yield pa.RecordBatch.from_arrays([pa.array(set_[y]), pa.array(linked_y)], ["set", "linked"])
+
+        ordered = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+        return in_arrow(ordered, meet, "set long, linked long" if counts else "a long, b long")
+
+
+def _derived(apart: list[np.ndarray], n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets `x` link with which sets `y`, by their sizes and their
+    differences from one centre: they may differ in `most` shingles."""
+    size = np.array([len(d) for d in apart], np.int64)
+    most = (100 - percent) * (n[x][:, None] + n[y]) // (100 + percent)
+    linked = size[x][:, None] + size[y] <= most
+    asked = ~linked & (np.abs(size[x][:, None] - size[y]) <= most)
+    at_x, at_y = np.flatnonzero(asked.any(axis=1)), np.flatnonzero(asked.any(axis=0))
+    if not len(at_x):
+        return linked
+    of_x, of_y = np.repeat(np.arange(len(at_x)), size[x[at_x]]), np.repeat(np.arange(len(at_y)), size[y[at_y]])
+    entries, listed = (np.concatenate([apart[k] for k in at]) for at in (x[at_x], y[at_y]))
+    order = np.argsort(listed, kind="stable")
+    listed, of_y = listed[order], of_y[order]
+    shared = np.zeros(len(at_x) * len(at_y), np.int64)
+    for i, j in _expanded(*(np.searchsorted(listed, entries, side=s) for s in ("left", "right"))):
+        shared += np.bincount(of_x[i] * len(at_y) + of_y[j], minlength=len(shared))
+    among = np.ix_(at_x, at_y)
+    differ = (size[x[at_x]][:, None] + size[y[at_y]]) - 2 * shared.reshape(len(at_x), len(at_y))
+    linked[among] |= differ <= most[among]
+    return linked
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch], cut_long: bool = False) -> Iterator[pa.RecordBatch]:
@@ -458,17 +558,47 @@ def similarity_components(docs: DataFrame, shingle: int = 5, at_least: float = 0
     component (a set's hash that names the component, whatever its doc_ids
     are; it is 0 for all empty sets)."""
     join = Join(docs, shingle, round(100 * at_least), id_col, text_col)
+    return _rows(join, _connected(join)[1]).drop("set")
+
+
+def similarity_counts(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """The rows of `similarity_components` with n_links, the number of other
+    rows that link with the row; equal sets link, empty ones do not."""
+    join = Join(docs, shingle, round(100 * at_least), id_col, text_col)
+    links, named = _connected(join)
+    linked = join.inside(join.differences(links, named), counts=True).groupBy("set").agg(F.sum("linked").alias("linked"))
+    sets = (join.members.where("n > 0").groupBy("set").agg(F.count("*").alias("copies")).join(linked, "set", "left")
+            .select("set", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")))
+    return (_rows(join, named).join(sets, "set", "left")
+            .withColumn("n_links", F.coalesce("n_links", F.lit(0))).drop("set"))
+
+
+def similarity_links(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: str = "doc_id",
+                     text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(members: doc_id, row, set, n; links: a < b, every two different sets
+    that link, once). Rows of one set that is not empty link with each other."""
+    join = Join(docs, shingle, round(100 * at_least), id_col, text_col)
+    return join.members, join.inside(join.differences(*_connected(join)), counts=False)
+
+
+def _connected(join: Join) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) enough to connect every component, and the component of
+    each set that has one: node, component."""
     lists = join.lists()
     links = join.check(join.neighbours(lists))
     links = links.union(join.check(join.neighbours(lists, components(links), turn=1)))
     links = links.union(join.check(join.strangers(lists, components(links))))
-    named = staged(components(links), "join-components")
+    return links, staged(components(links), "join-components")
+
+
+def _rows(join: Join, named: DataFrame) -> DataFrame:
     rows = join.members.join(named, join.members["set"] == named["node"], "left").select(
-        "doc_id", "row", "n", F.coalesce("component", "set").alias("component"))
+        "doc_id", "row", "set", "n", F.coalesce("component", "set").alias("component"))
     least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return (rows.join(least, "component", "left")
             .select("doc_id", "row", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "component"))
+                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "component", "set"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, at_least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

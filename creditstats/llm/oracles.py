@@ -122,3 +122,9 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """
+
+ORACLES["op10_jaccard_links"] = ORACLES["op10_jaccard_join"].rpartition("SELECT d.doc_id")[0] + """
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM edges GROUP BY x) USING (doc_id)
+"""

@@ -89,5 +89,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _jaccard.similarity_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.similarity_counts(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 REGISTRY = {f.__name__: f for f in (op1_substring_dedup, op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip,
-                                    op10_jaccard_join)}
+                                    op10_jaccard_join, op10_jaccard_links)}

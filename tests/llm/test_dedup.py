@@ -198,3 +198,33 @@ def test_jaccard_keep_one_needs_no_identifiers(make_docs):
     either = [(None, texts[1]), (None, texts[1] + " tail")]  # without identifiers any one of two near copies may stay
     assert sum(kept.pop(x, 0) for x in either) == 1
     assert kept == Counter([(None, texts[0]), (7, texts[2]), (7, texts[3]), (7, texts[4]), (None, ""), (None, None)])
+
+
+@pytest.mark.parametrize("part, counted", [(1000, 5_000_000), (3, 4)])
+def test_jaccard_links(make_docs, monkeypatch, part, counted):
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    monkeypatch.setattr(jaccard_join, "COUNTED", counted)
+    rng = random.Random(17)
+    rows = list(EDGE)
+    for g in range(4):
+        base = [f"w{rng.randrange(400)}" for _ in range(60)]
+        for k in range(10):  # chains: not all pairs of a component link
+            base[rng.randrange(60)] = f"z{rng.randrange(10 ** 6)}"
+            rows += [(100 * g + 20 + k, " ".join(base), "a")] * (1 + k % 2)
+    words = [(t or "").encode().lower().split() for _, t, _ in rows]
+    sets = [{tuple(w)} if 0 < len(w) < 5 else {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in words]
+    like = {(x, y) for x, a in enumerate(sets) for y, b in enumerate(sets) if x != y and a and b and 100 * len(a & b) >= 80 * len(a | b)}
+    docs = make_docs(rows)
+    got = jaccard_join.similarity_counts(docs)
+    linked = Counter(x for x, _ in like)
+    want = [(*row, linked[x]) for x, row in enumerate((i, len(s)) for (i, _, _), s in zip(rows, sets))]
+    assert collected(got, "doc_id", "n_shingles", "n_links") == sorted(want, key=repr)
+    assert collected(got, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    if part == 3:
+        members, links = jaccard_join.similarity_links(docs)
+        pairs, of = [tuple(r) for r in links.collect()], {}
+        assert all(a < b for a, b in pairs) and len(pairs) == len(set(pairs))
+        for r in members.collect():
+            of.setdefault(r.set, []).append(r.doc_id)
+        met = Counter(repr(e) for a, b in pairs for x in of[a] for y in of[b] for e in ((x, y), (y, x)))
+        assert met == Counter(repr((rows[x][0], rows[y][0])) for x, y in like if sets[x] != sets[y])

@@ -16,8 +16,9 @@ and one rate.
 Defined results: a null url, or one without "://", has empty host and path.
 A null host label or page id gives no outcome. Repeated labels of a page
 count once each. An unlabelled host takes its domain's posterior, an unknown
-domain its suffix's, and with no labels at all nothing is blocked. A
-numerical address is its own registered domain with an empty suffix. Repeated
+domain its suffix's, and with no labels at all nothing is blocked. A port
+belongs to the host, but not to its domain and suffix. A numerical or
+bracketed address is its own registered domain with an empty suffix. Repeated
 rows of pages count each; an empty table gives no rows; other columns are not
 read.
 """
@@ -55,16 +56,21 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_port(host: Column) -> Column:
+    return F.regexp_replace(host, r":[0-9]*$", "")
+
+
 def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return (F.when(host.rlike(r"^[0-9.]*$") | host.contains(":"), F.lit(""))
-            .when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1)))
+    name = without_port(host)
+    two = F.substring_index(name, ".", -2)
+    return (F.when(name.rlike(r"^[0-9.]*$") | name.startswith("["), F.lit(""))
+            .when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(name, ".", -1)))
 
 
 def domain_of(host: Column) -> Column:
-    suffix = suffix_of(host)
-    return (F.when(suffix == "", host).when(suffix.contains("."), F.substring_index(host, ".", -3))
-            .otherwise(F.substring_index(host, ".", -2)))
+    name, suffix = without_port(host), suffix_of(host)
+    return (F.when(suffix == "", name).when(suffix.contains("."), F.substring_index(name, ".", -3))
+            .otherwise(F.substring_index(name, ".", -2)))
 
 
 def match_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:

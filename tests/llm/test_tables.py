@@ -272,3 +272,15 @@ def test_pipeline(spark):
     assert Counter((r.doc_id, r.text) for r in last) == Counter(r[:2] for r in before)
     assert all(r.n_tokens == len(r.ids) for r in last)
     assert corpus_pipeline.run(spark, sf).count() == len(last)
+
+
+def test_url_ports_and_addresses(spark):
+    from creditstats.llm import url_reputation
+
+    want = {"a.b.com:8080": ("b.com", "com"), "a.b.co.uk:443": ("b.co.uk", "co.uk"), "b.com:": ("b.com", "com"), "b.com": ("b.com", "com"),
+            "10.0.0.1:80": ("10.0.0.1", ""), "10.0.0.1": ("10.0.0.1", ""), "[2001:db8::1]:80": ("[2001:db8::1]", ""),
+            "[::1]": ("[::1]", ""), "": ("", ""), "localhost:9": ("localhost", "localhost")}
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    host = hosts["host"]
+    got = hosts.select("host", url_reputation.domain_of(host).alias("d"), url_reputation.suffix_of(host).alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in got} == want

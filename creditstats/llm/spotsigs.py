@@ -147,13 +147,14 @@ def near_pairs(docs: DataFrame, at_least: float = 0.8, id_col: str = "doc_id", t
                chain: int = 2) -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, class_id; pairs: class_a < class_b, likeness).
 
-    A class is a set of equal fingerprints, named by its smallest doc_id.
+    A class is a set of equal fingerprints, named by the set's own hash, as
+    doc_ids may be null or repeated.
     Texts without words are in no class."""
     rows = docs.select(F.col(id_col).alias("doc_id"), spots_of(F.coalesce(F.col(text_col), F.lit("")), chain).alias("spots"))
     rows = rows.where(F.size("spots") > 0)
     keyed = staged(rows.withColumn("key", F.sha2(F.array_join("spots", ",").cast("binary"), 256)), "spots-rows")
-    sets = staged(keyed.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("spots").alias("spots")), "spots-sets")
-    members = keyed.select("doc_id", "key").join(sets.select("key", "class_id"), "key").select("doc_id", "class_id")
+    sets = staged(keyed.groupBy(F.col("key").alias("class_id")).agg(F.first("spots").alias("spots")), "spots-sets")
+    members = keyed.select("doc_id", F.col("key").alias("class_id"))
 
     n = F.size("spots")
     counts = (sets.select(F.explode("spots").alias("spot")).groupBy("spot").agg(F.count("*").alias("df")).where("df > 1"))

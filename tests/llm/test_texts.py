@@ -275,6 +275,13 @@ def test_spots_near_pairs(make_docs):
     assert {(r.class_a, r.class_b) for r in pairs.collect()} == want and want
 
 
+def test_spots_near_pairs_need_no_identifiers(make_docs):
+    base = [[f"{c}{i}" for i in range(80)] for c in "abc"]
+    rows = [(i, " ".join(w + tail), "a") for i, w in zip((None, 7, 7), base) for tail in ([], ["end"])]
+    members, pairs = spotsigs.near_pairs(make_docs(rows), 0.7)
+    assert len({r.class_id for r in members.collect()}) == 6 and pairs.count() == 3
+
+
 def test_spots_query(spark):
     rows = sorted((r.doc_id, r.text) for r in read(spark, SF, "documents").collect())
     got = {r.doc_id: r for r in queries.op7_spotsigs(spark, SF).collect()}

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from . import bpe as _bpe
 from . import exact_dedup as _exact
 from . import html_layout as _html
+from . import importance_resampling as _resampling
 from . import jaccard_join as _jaccard
 from . import mixing as _mixing
+from . import simhash_join as _simhash
 from . import spotsigs as _spots
 from . import substring_dedup as _substring
+from . import token_alignment as _alignment
 from . import toxicity as _toxicity
 from . import url_reputation as _url
 from . import warc_zip as _warc
@@ -93,5 +96,22 @@ def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _jaccard.similarity_counts(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return _alignment.align(read(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", _simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 REGISTRY = {f.__name__: f for f in (op1_substring_dedup, op2_html_layout, op3_bpe, op4_toxicity, op5_exact_dedup, op6_url_filter, op7_spotsigs, op8_source_mix, op9_warc_zip,
-                                    op10_jaccard_join, op10_jaccard_links)}
+                                    op10_jaccard_join, op10_jaccard_links, op11_token_alignment, op12_importance_resampling, op13_simhash)}

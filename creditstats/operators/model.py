@@ -12,13 +12,13 @@ operations over the whole item log:
 
 Spellings are found in two steps: the smallest seq per key and spelling (a
 hash aggregation of fixed-width state, combined on the map side), then the
-spelling with the smallest seq per key, over distinct spellings only.
-Streaming allows one aggregation per query, so the `stream_` forms pick the
-spelling in one.
+spelling that has the smallest seq per key (a semi-join), over distinct
+spellings only. seq is unique, so one spelling has it.
 
-Replaying the log gives the same tables (L9): min_by / max_by over a
-total order and distinct are idempotent under duplication. Surrogate ids
-are xxhash64 of the key (L4); `dq_id_collisions` finds keys that share one.
+Replaying the log gives the same tables (L9): minima, max_by over a total
+order and distinct are idempotent under duplication. Surrogate ids here are
+xxhash64 of the key (L4), found without a look at other rows; the stored star
+(`incremental.star_store`) numbers its keys densely.
 """
 
 from __future__ import annotations
@@ -29,75 +29,49 @@ from pyspark.sql import functions as F
 from .clean import FILM_ROW_KEPT
 
 
-def _film_rows(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
-    """All items with two orderings: `row_seq` is set when the item reached
-    the loader's film lookup (it created or found the film row), `fact_seq`
-    when it is an accepted film item whose facts were written.
-
-    Null orderings make min_by / max_by skip a row."""
-    r = F.col("reason")
-    kept = r.isNull() | r.isin(*FILM_ROW_KEPT)
-    facts = F.struct("budget", "box_office", "release_date")
-    f = films_clean.select(
-        "movie_key", "film",
-        F.when(kept, F.col("seq")).alias("row_seq"),
-        F.when(r.isNull(), F.col("seq")).alias("fact_seq"),
-        facts.alias("facts"))
-    c = credits_clean.select(
-        "movie_key", "film",
-        F.when(kept, F.col("seq")).alias("row_seq"),
-        F.lit(None).cast("bigint").alias("fact_seq"),
-        F.lit(None).cast(f.schema["facts"].dataType).alias("facts"))
-    return f.unionByName(c)
-
-
-def _movies(agg: DataFrame) -> DataFrame:
-    return agg.select(
-        F.xxhash64("movie_key").alias("movie_id"),
-        "movie_key", "movie",
-        F.col("_facts.budget").alias("budget"),
-        F.col("_facts.box_office").alias("box_office"),
-        F.col("_facts.release_date").alias("release_date"),
-    )
+def _first(spelled: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with a unique seq, those with the least one per key, as
+    first_seq."""
+    least = spelled.groupBy(*keys).agg(F.min("seq").alias("first_seq"))
+    return spelled.withColumnRenamed("seq", "first_seq").join(least, [*keys, "first_seq"], "left_semi")
 
 
-def build_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
-    """One row per film key: movie_id, movie_key, movie (first spelling),
-    budget, box_office, release_date (latest accepted film item, or nulls
-    for a stub film that only credits created)."""
+def film_titles(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
+    """Films whose row the loader creates or finds: movie_key, movie (first
+    spelling), first_seq."""
     r = F.col("reason")
     # A filter on `reason` would be pushed through the cleaning stages and
     # repeat every rule in it: null sequence numbers drop the rows instead.
     seq = F.when(r.isNull() | r.isin(*FILM_ROW_KEPT), F.col("seq")).alias("seq")
     named = films_clean.select("movie_key", "film", seq).unionByName(credits_clean.select("movie_key", "film", seq))
     spelled = named.groupBy("movie_key", "film").agg(F.min("seq").alias("seq")).where("seq is not null")
-    titles = spelled.groupBy("movie_key").agg(F.min_by("film", "seq").alias("movie"))
-    facts = films_clean.groupBy("movie_key").agg(
-        F.max_by(F.struct("budget", "box_office", "release_date"), F.when(r.isNull(), F.col("seq"))).alias("_facts"))
-    return _movies(titles.join(facts, "movie_key", "left"))
+    return _first(spelled, ["movie_key"]).select("movie_key", F.col("film").alias("movie"), "first_seq")
 
 
-def stream_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
-    """build_movies as one streaming aggregation."""
-    agg = _film_rows(films_clean, credits_clean).groupBy("movie_key").agg(
-        F.min_by("film", "row_seq").alias("movie"),
-        F.max_by("facts", "fact_seq").alias("_facts"),
-        F.count("row_seq").alias("_rows"))
-    return _movies(agg.where(F.col("_rows") > 0))
+def film_facts(films_clean: DataFrame) -> DataFrame:
+    """Per film key of a film item: the latest accepted one's budget,
+    box_office, release_date and its seq (fact_seq); null if none was
+    accepted. One hash aggregation: every value and the seq are of fixed width."""
+    seq = F.when(F.col("reason").isNull(), F.col("seq"))
+    return films_clean.groupBy("movie_key").agg(
+        *[F.max_by(c, seq).alias(c) for c in ("budget", "box_office", "release_date")], F.max(seq).alias("fact_seq"))
+
+
+def build_movies(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
+    """One row per film key: movie_id, movie_key, movie (first spelling),
+    budget, box_office, release_date (latest accepted film item, or nulls
+    for a stub film that only credits created)."""
+    return film_titles(films_clean, credits_clean).join(film_facts(films_clean), "movie_key", "left").select(
+        F.xxhash64("movie_key").alias("movie_id"), "movie_key", "movie", "budget", "box_office", "release_date")
 
 
 def build_facts(films_clean: DataFrame) -> DataFrame:
     """Films with their latest accepted facts, from film items alone:
-    movie_key, movie, budget, box_office, release_date. Every film with a
-    known box office has an accepted film item, so for the reports (which
-    keep only those films) this equals `build_movies` without reading the
-    credit items; stub films and first spellings are left to build_movies."""
-    r = F.col("reason")
-    picked = films_clean.groupBy("movie_key").agg(
-        F.max_by(F.struct("film", "budget", "box_office", "release_date"),
-                 F.when(r.isNull(), F.col("seq"))).alias("_f"))
-    return picked.select("movie_key", F.col("_f.film").alias("movie"), F.col("_f.budget").alias("budget"),
-                         F.col("_f.box_office").alias("box_office"), F.col("_f.release_date").alias("release_date"))
+    movie_key, movie (the key), budget, box_office, release_date. Every film
+    with a known box office has an accepted film item, so for the reports
+    (which keep only those films and count them) this equals `build_movies`
+    without reading the credit items; titles are left to build_movies."""
+    return film_facts(films_clean).select("movie_key", F.col("movie_key").alias("movie"), "budget", "box_office", "release_date")
 
 
 def _accepted(credits_clean: DataFrame) -> DataFrame:
@@ -111,21 +85,21 @@ def build_spellings(credits_clean: DataFrame) -> DataFrame:
             .agg(F.min("seq").alias("seq")))
 
 
-def _dimension_rows(agg: DataFrame) -> DataFrame:
-    return agg.select("kind", F.xxhash64("kind", "entity_key").alias("entity_id"), "entity_key", "entity")
+def entity_names(credits_clean: DataFrame) -> DataFrame:
+    """kind, entity_key, entity (first spelling), first_seq."""
+    spelled = _accepted(credits_clean).groupBy("kind", "entity_key", "value").agg(F.min("seq").alias("seq"))
+    return _first(spelled, ["kind", "entity_key"]).select("kind", "entity_key", F.col("value").alias("entity"), "first_seq")
 
 
 def build_dimensions(credits_clean: DataFrame) -> DataFrame:
     """All four entity dimensions: kind, entity_id, entity_key, entity
     (first spelling)."""
-    spelled = _accepted(credits_clean).groupBy("kind", "entity_key", "value").agg(F.min("seq").alias("seq"))
-    return _dimension_rows(spelled.groupBy("kind", "entity_key").agg(F.min_by("value", "seq").alias("entity")))
+    return entity_names(credits_clean).select("kind", F.xxhash64("kind", "entity_key").alias("entity_id"), "entity_key", "entity")
 
 
-def stream_dimensions(credits_clean: DataFrame) -> DataFrame:
-    """build_dimensions as one streaming aggregation."""
-    return _dimension_rows(_accepted(credits_clean).groupBy("kind", "entity_key")
-                           .agg(F.min_by("value", "seq").alias("entity")))
+def accepted_pairs(credits_clean: DataFrame) -> DataFrame:
+    """Distinct credited pairs: kind, entity_key, movie_key."""
+    return _accepted(credits_clean).select("kind", "entity_key", "movie_key").distinct()
 
 
 def with_ids(pairs: DataFrame) -> DataFrame:
@@ -135,7 +109,7 @@ def with_ids(pairs: DataFrame) -> DataFrame:
 
 def build_bridges(credits_clean: DataFrame) -> DataFrame:
     """All four bridges: distinct (kind, movie_key, entity_key), with their ids."""
-    return with_ids(_accepted(credits_clean).select("kind", "movie_key", "entity_key").distinct())
+    return with_ids(accepted_pairs(credits_clean))
 
 
 def dimension(dims: DataFrame, kind: str) -> DataFrame:
@@ -168,9 +142,15 @@ def dq_orphans(child: DataFrame, parent: DataFrame, on: list[str] | str) -> Data
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
     """Last write wins: per key, the values of the row with the greatest
-    `order` (compared as a struct, i.e. lexicographically). The values are
-    picked together as one struct, so a null in the winning row stays null.
-    One shuffle of partial (max order, values) states on the keys: a hot
-    key is reduced map-side before the shuffle."""
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_v"))
-    return picked.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
+    `order` (compared column by column, nulls least), nulls among them kept.
+    `order` names a row within its key; equal rows count as one.
+
+    Each order column's maximum is a hash aggregation of fixed-width state,
+    combined on the map side (a hot key is reduced before the shuffle); a
+    semi-join then leaves the rows that have it. No row is sorted to find it."""
+    picked = df.select(*keys, *order, *[v for v in values if v not in order])
+    for c in order:
+        most = picked.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(c).alias("_most"))
+        same = [picked[k].eqNullSafe(most[f"_{k}"]) for k in keys] + [picked[c].eqNullSafe(most["_most"])]
+        picked = picked.join(most, same, "left_semi")
+    return picked.distinct().select(*keys, *values)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,14 @@ def drop_materialized(spark: SparkSession) -> None:
     still read it fail from then on."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def dropping(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """`materialize` whose tables are removed when the block ends."""
+    folder = f"step-{uuid.uuid4().hex}"
+    try:
+        yield lambda df, name: materialize(df, f"{folder}/{name}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(_root(spark), folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -22,6 +22,8 @@ threshold, sort-merge otherwise).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,29 +39,49 @@ ALL_PRODUCTION_COMPANIES = "All production companies"
 # ---------------------------------------------------------------------------
 
 
-def stddev_pop_exact(x: Column) -> Column:
-    """Population standard deviation of a decimal(12,6) column from exact
-    moments. With m = x in millionths, s1 and s2 the sums of m and m*m over n
-    rows, and s1 = q * n + r,
+def moments(x: Column) -> tuple[Column, Column, Column]:
+    """n, s1 and s2 of a decimal(12,6) column: its count and the sums of its
+    values in millionths and of their squares. Mergeable; as fixed-width
+    partial aggregates they are combined on the map side."""
+    m = (x * F.lit(1000000)).cast("decimal(13,0)")
+    return F.count(x), F.sum(m), F.sum((m * m).cast("decimal(28,0)"))
+
+
+def deviation(n: Column, s1: Column, s2: Column) -> Column:
+    """Population standard deviation from exact moments. With s1 = q * n + r,
 
         n * variance = s2 - q * s1 - r * q - r * r / n
 
     where all but the last, small term are decimal arithmetic without
     rounding. Every term stays inside decimal(38) up to 1e14 rows; beyond,
-    the sum overflows and the query fails (ANSI). A binary-float accumulator
-    can land on the wrong side of a 6th-decimal rounding boundary. One pass
-    of mergeable partial aggregates."""
+    the query fails, with or without ANSI mode. A binary-float accumulator
+    can land on the wrong side of a 6th-decimal rounding boundary."""
     whole = "decimal(38,0)"
-    m = (x * F.lit(1000000)).cast("decimal(13,0)")
-    n = F.count(x).cast("decimal(15,0)")
-    s1 = F.sum(m).cast("decimal(28,0)")
-    s2 = F.sum((m * m).cast("decimal(28,0)")).cast(whole)
+    n, s1, s2 = n.cast("decimal(15,0)"), s1.cast("decimal(28,0)"), s2.cast(whole)
     r = F.when(n > 0, s1 % n).cast("decimal(15,0)")
     q = F.when(n > 0, (s1 - r) / n).cast("decimal(14,0)")
     most = s2 - (q * s1).cast(whole) - (r * q).cast(whole)
     rest = r.cast("double") * r.cast("double") / n.cast("double")
     variance = (most.cast("double") - rest) / n.cast("double")
-    return F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(1e6)
+    overflow = (n > 0) & most.isNull()
+    return F.when(overflow, F.raise_error(F.lit("box-office moments exceed decimal(38)")).cast("double")).otherwise(
+        F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(1e6))
+
+
+def mean(n: Column, s1: Column) -> Column:
+    """AVG of the decimal(12,6) column with these moments."""
+    total = (s1.cast("decimal(22,0)") * F.lit(Decimal("0.000001"))).cast("decimal(22,6)")
+    return (total / n.cast("decimal(15,0)")).cast("decimal(16,10)").cast(DEC)
+
+
+def stddev_pop_exact(x: Column) -> Column:
+    """Population standard deviation of a decimal(12,6) column, in one pass."""
+    return deviation(*moments(x))
+
+
+def _std(std: Column) -> Column:
+    # IF(STDDEV(x), CAST(STDDEV(x) AS DECIMAL(12,6)), 0): zero or null -> 0
+    return F.when(std != 0, std.cast(DEC)).otherwise(F.lit(0).cast(DEC)).alias("box_office_std")
 
 
 def _stats(box_office: Column, movie: Column) -> dict[str, Column]:
@@ -68,8 +90,7 @@ def _stats(box_office: Column, movie: Column) -> dict[str, Column]:
         "box_office_max": F.max(box_office).alias("box_office_max"),
         "box_office_min": F.min(box_office).alias("box_office_min"),
         "box_office_avg": F.avg(box_office).cast(DEC).alias("box_office_avg"),
-        # IF(STDDEV(x), CAST(STDDEV(x) AS DECIMAL(12,6)), 0): zero or null -> 0
-        "box_office_std": F.when(std != 0, std.cast(DEC)).otherwise(F.lit(0).cast(DEC)).alias("box_office_std"),
+        "box_office_std": _std(std),
         "film_count": F.count(movie).alias("film_count"),
     }
 
@@ -142,3 +163,21 @@ def entity_year_rollup(bridge: DataFrame, movies: DataFrame, entities: DataFrame
         .otherwise(F.col("release_year").cast("string")).alias("release_year"),
         *ROLLUP_COLUMNS[1:],
     )
+
+
+def from_state(state: DataFrame, names: DataFrame, entity_col: str, all_label: str | None) -> DataFrame:
+    """R1/R2 (`all_label` None) or R3/R4 from mergeable state: entity_key,
+    release_year, n, s1, s2, most, least. `names`: entity_key, `entity_col`."""
+    merged = [F.sum(c).alias(c) for c in ("n", "s1", "s2")] + [F.max("most").alias("box_office_max"), F.min("least").alias("box_office_min")]
+    n, s1, s2 = (F.col(c) for c in ("n", "s1", "s2"))
+    final = {"box_office_max": F.col("box_office_max"), "box_office_min": F.col("box_office_min"), "film_count": n.alias("film_count"),
+             "box_office_avg": mean(n, s1).alias("box_office_avg"), "box_office_std": _std(deviation(n, s1, s2))}
+    if all_label is None:
+        return (state.groupBy("entity_key").agg(*merged).join(names, "entity_key")
+                .select(entity_col, *[final[c] for c in ENTITY_STATS_COLUMNS]))
+    agg = state.rollup("entity_key", "release_year").agg(*merged, F.grouping("entity_key").alias("_g_entity"),
+                                                         F.grouping("release_year").alias("_g_year"))
+    return agg.join(names, "entity_key", "left").where("n > 0").select(
+        F.when(F.col("_g_entity") == 1, F.lit(all_label)).otherwise(F.col(entity_col)).alias(entity_col),
+        F.when(F.col("_g_year") == 1, F.lit(ALL_YEARS)).otherwise(F.col("release_year").cast("string")).alias("release_year"),
+        *[final[c] for c in ROLLUP_COLUMNS[1:]])

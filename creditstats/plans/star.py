@@ -15,7 +15,7 @@ import os
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -25,9 +25,9 @@ from ..operators.partitioning import materialize
 from ..sinks import csv_report
 
 
-# kind -> dimension table, its id and name columns, bridge table
+# Kind -> dimension table, its id and name columns, bridge table.
 TABLES = {
-    ACTOR: ("castnames", "actor_id", "actor", "castlist"),
+    ACTOR: ("actors", "actor_id", "actor", "castlist"),
     DIRECTOR: ("directors", "director_id", "director", "filmdirectors"),
     DISTRIBUTOR: ("distributors", "distributor_id", "distributor", "filmdistributors"),
     PROD_CO: ("productionco", "prod_co_id", "prod_co", "filmprodco"),
@@ -81,22 +81,60 @@ def tables_of(star: Star) -> dict[str, DataFrame]:
     return out
 
 
+def stored(star: Star) -> Star:
+    """The star with films, dimensions and bridges written once."""
+    return Star(materialize(star.movies, "star-movies"), materialize(star.dimensions, "star-dimensions"),
+                materialize(star.bridges, "star-bridges"), star.rejects)
+
+
 def check_star(star: Star) -> DataFrame:
     """L12 on the built tables: check, n_bad. UNIQUE and FOREIGN KEY per
-    table, and surrogate ids shared by different keys."""
-    t = tables_of(star)
-    checks = [("movies.movie_id unique", model.dq_duplicates(t["movies"], "movie_id")),
-              ("movies.movie unique", model.dq_duplicates(t["movies"], "movie")),
-              ("movies.movie_id collisions", model.dq_id_collisions(star.movies, "movie_id", "movie_key")),
-              ("entity_id collisions", model.dq_id_collisions(star.dimensions, "entity_id", "entity_key"))]
+    table, and surrogate ids shared by different keys.
+
+    One pass: every row of a table gives one tagged key per check it takes
+    part in, and one aggregation of fixed-width state over (check, key)
+    decides all: a key held twice, a child without parent, an id with two
+    different key hashes."""
+    def tag(rule: str, name: Column, key: Column, parent: int = 0, child: int = 0, h: Column | None = None) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), name.alias("check"), key.cast("string").alias("key"), F.lit(parent).alias("parent"),
+                        F.lit(child).alias("child"), (F.lit(None).cast("bigint") if h is None else h).alias("h"))
+
+    def named(pattern: str) -> Column:
+        """The check's name by kind."""
+        out = F.lit(None).cast("string")
+        for kind, (dim, id_col, name_col, bridge) in TABLES.items():
+            out = F.when(F.col("kind") == kind, pattern.format(dim=dim, id=id_col, name=name_col, bridge=bridge)).otherwise(out)
+        return out
+
+    salt = F.lit("other hash than the id's")
+    movie_id, entity_id = F.col("movie_id"), F.col("entity_id")
+    bridges = [t[3] for t in TABLES.values()]
+    rows = [
+        star.movies.select(F.explode(F.array(
+            tag("unique", F.lit("movies.movie_id unique"), movie_id, 1), tag("unique", F.lit("movies.movie unique"), F.col("movie"), 1),
+            tag("collision", F.lit("movies.movie_id collisions"), movie_id, h=F.xxhash64(salt, "movie_key")),
+            *[tag("orphan", F.lit(f"{b} -> movies"), movie_id, parent=1) for b in bridges])).alias("t")),
+        star.dimensions.select(F.explode(F.array(
+            tag("unique", named("{dim}.{id} unique"), entity_id, 1), tag("unique", named("{dim}.{name} unique"), F.col("entity"), 1),
+            tag("collision", F.lit("entity_id collisions"), F.concat_ws(" ", "kind", entity_id.cast("string")), h=F.xxhash64(salt, "entity_key")),
+            tag("orphan", named("{bridge} -> {dim}"), entity_id, parent=1))).alias("t")),
+        star.bridges.select(F.explode(F.array(
+            tag("unique", named("{bridge} pairs unique"), F.concat_ws(" ", movie_id.cast("string"), entity_id.cast("string")), 1),
+            tag("orphan", named("{bridge} -> movies"), movie_id, child=1),
+            tag("orphan", named("{bridge} -> {dim}"), entity_id, child=1))).alias("t"))]
+    tags = reduce(DataFrame.unionByName, rows).select("t.*")
+    by_key = tags.groupBy("rule", "check", "key").agg(F.sum("parent").alias("parent"), F.sum("child").alias("child"),
+                                                      F.min("h").alias("low"), F.max("h").alias("high"))
+    bad = (F.when(F.col("rule") == "unique", F.col("parent") > 1).when(F.col("rule") == "collision", F.col("low") != F.col("high"))
+           .cast("bigint"))
+    orphans = F.when((F.col("rule") == "orphan") & (F.col("parent") == 0), F.col("child"))
+    counted = by_key.groupBy("check").agg(F.sum(F.coalesce(bad, orphans, F.lit(0).cast("bigint"))).alias("n_bad"))
+    # a check of an empty table has no keys: it is listed with none bad
+    listed = ["movies.movie_id unique", "movies.movie unique", "movies.movie_id collisions", "entity_id collisions"]
     for dim, id_col, name_col, bridge in TABLES.values():
-        checks += [(f"{dim}.{id_col} unique", model.dq_duplicates(t[dim], id_col)),
-                   (f"{dim}.{name_col} unique", model.dq_duplicates(t[dim], name_col)),
-                   (f"{bridge} pairs unique", model.dq_duplicates(t[bridge], "movie_id", id_col)),
-                   (f"{bridge} -> movies", model.dq_orphans(t[bridge], t["movies"], "movie_id")),
-                   (f"{bridge} -> {dim}", model.dq_orphans(t[bridge], t[dim], id_col))]
-    counted = [bad.agg(F.count("*").alias("n_bad")).select(F.lit(name).alias("check"), "n_bad") for name, bad in checks]
-    return reduce(DataFrame.unionByName, counted)
+        listed += [f"{dim}.{id_col} unique", f"{dim}.{name_col} unique", f"{bridge} pairs unique", f"{bridge} -> movies", f"{bridge} -> {dim}"]
+    checks = star.movies.sparkSession.createDataFrame([(c,) for c in listed], "check string")
+    return checks.join(counted, "check", "left").select("check", F.coalesce("n_bad", F.lit(0).cast("bigint")).alias("n_bad"))
 
 
 def actor_report(star: Star) -> DataFrame:
@@ -129,8 +167,18 @@ REPORTS = {
 }
 
 
+# report -> kind, entity column, label of the grand total (None: no rollup)
+REPORT_KINDS = {
+    "by_actor": (ACTOR, "actor", None),
+    "by_director": (DIRECTOR, "director", None),
+    "by_distributor": (DISTRIBUTOR, "distributor", reports.ALL_DISTRIBUTORS),
+    "by_production_company": (PROD_CO, "prod_co", reports.ALL_PRODUCTION_COMPANIES),
+}
+
+
 def write_star(star: Star, out_dir: str) -> None:
     """K3: persist the nine tables (parquet) and the rejects."""
+    star = stored(star)
     for name, df in tables_of(star).items():
         csv_report.write_table(df, os.path.join(out_dir, name))
     csv_report.write_table(star.rejects, os.path.join(out_dir, "rejects"), partition_by=["reason"])

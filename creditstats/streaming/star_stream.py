@@ -1,18 +1,18 @@
-"""The item flow on Structured Streaming.
-
-  T1  film and credit item streams are cleaned by the same column
-      functions as in batch (stateless, per micro-batch)
-  T2  films: first spelling and last-write-wins facts as a streaming
-      aggregation on movie_key (update mode)
-  T3  dimensions: first spelling per (kind, entity_key) (update mode);
-      bridges: streaming dropDuplicates on (kind, movie_key, entity_key)
-      (append mode). The source has no event time, so this state is kept
-      for every key, like the reference's tables (no watermark).
-  T4  each output is written by foreachBatch into its own folder per
-      micro-batch (overwritten if the batch is retried, so writes are
-      idempotent); `read_star` folds the per-batch updates into the
-      current tables (latest batch per key wins) and the reports run on
-      them exactly as in batch.
+"""The item flow on Structured Streaming (T1-T4): one query, one pass.
+
+  T1  film and credit items are one stream of tagged items; each micro-batch
+      is written once to the shared folder and cleaned from there by the same
+      column functions as in batch, so the source is scanned once a batch
+  T2  films, T3 dimensions and bridges: the batch is merged into the stored
+      star (`incremental.star_store`), which reads and writes only the
+      buckets of the batch's keys
+  T4  the four reports are refreshed with each batch, from state that takes
+      the batch's retractions and additions
+
+All of a batch's changes appear together by one manifest, which records the
+batch's number: a retried batch that was committed is skipped, one that was
+not is made again. The source has no event time, so a key's rows are kept,
+like the reference's tables (no watermark).
 
 Checkpoints go under the session's checkpoint folder (the shared folder a
 cluster names in spark.checkpoint.dir) unless a location is given.
@@ -25,79 +25,49 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
-from pyspark.errors import AnalysisException
 
-from ..operators import clean, model
-from ..plans.star import Star
-from ..schema import BRIDGE, DIMENSION, MOVIES, REJECTS
+from ..incremental import star_store
+from ..operators.partitioning import dropping
+from ..plans.star import REPORT_KINDS, Star
+from ..schema import CREDIT_ITEMS, FILM_ITEMS, MOVIE
 from ..session import ensure_checkpoint_dir
 
-KEYS = {
-    "movies": ["movie_key"],
-    "dimensions": ["kind", "entity_key"],
-}
-
-
-def stream_star(film_stream: DataFrame, credit_stream: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    """name -> (streaming DataFrame, output mode)."""
-    films = clean.clean_film_items(film_stream)
-    credits = clean.clean_credit_items(credit_stream)
-    accepted = credits.where(F.col("reason").isNull())
-    return {
-        "movies": (model.stream_movies(films, credits), "update"),
-        "dimensions": (model.stream_dimensions(credits), "update"),
-        "bridges": (accepted.select("kind", "movie_key", "entity_key")
-                    .dropDuplicates(["kind", "movie_key", "entity_key"]), "append"),
-        "rejects": (clean.rejects(films, credits), "append"),
-    }
-
-
-def _batch_writer(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
-    return write
-
-
-def start(film_stream: DataFrame, credit_stream: DataFrame, out_dir: str,
-          checkpoint_root: str | None = None, available_now: bool = True,
-          processing_time: str | None = None) -> list[StreamingQuery]:
-    spark = film_stream.sparkSession
-    root = checkpoint_root or os.path.join(ensure_checkpoint_dir(spark), "creditstats-streams")
-    queries = []
-    for name, (df, mode) in stream_star(film_stream, credit_stream).items():
-        w = (df.writeStream.outputMode(mode)
-             .foreachBatch(_batch_writer(os.path.join(out_dir, name)))
-             .option("checkpointLocation", os.path.join(root, name))
-             .queryName(f"creditstats_{name}"))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
-        queries.append(w.start())
-    return queries
-
-
-def _current(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Fold per-batch update rows: the row of the latest batch per key."""
-    values = [c for c in df.columns if c not in keys and c != "batch"]
-    return model.latest_by(df, keys, ["batch"], values)
-
-
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The batches written so far; an empty frame before the first one."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+SOURCE = "stream"
+
+
+def items(film_stream: DataFrame, credit_stream: DataFrame) -> DataFrame:
+    """Film and credit items as one stream: all columns of both, and kind."""
+    films = film_stream.select(*FILM_ITEMS.names, F.lit(MOVIE).alias("kind"))
+    return films.unionByName(credit_stream.select(*CREDIT_ITEMS.names), allowMissingColumns=True)
+
+
+def merge(out_dir: str, buckets: int = 32, refresh: bool = True):
+    """A foreachBatch function that merges tagged items into the store."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        store = star_store.open_store(batch.sparkSession, out_dir, buckets)
+        with dropping(batch.sparkSession) as keep:
+            tagged = keep(batch, "items")
+            star_store.apply(store, tagged.where(F.col("kind") == MOVIE).select(*FILM_ITEMS.names),
+                             tagged.where(F.col("kind") != MOVIE).select(*CREDIT_ITEMS.names), SOURCE, batch_id, refresh)
+    return step
+
+
+def start(film_stream: DataFrame, credit_stream: DataFrame, out_dir: str, checkpoint_root: str | None = None,
+          available_now: bool = True, processing_time: str | None = None, buckets: int = 32, refresh: bool = True) -> StreamingQuery:
+    """Start the query that keeps the star and the reports in `out_dir`."""
+    root = checkpoint_root or os.path.join(ensure_checkpoint_dir(film_stream.sparkSession), "creditstats-streams")
+    writer = (items(film_stream, credit_stream).writeStream.foreachBatch(merge(out_dir, buckets, refresh))
+              .option("checkpointLocation", os.path.join(root, "items")).queryName("creditstats_items"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 seconds")
+    return writer.start()
 
 
 def read_star(spark: SparkSession, out_dir: str) -> Star:
-    batch = StructField("batch", LongType())
-    movies, dims, bridges, rejects = (
-        _read(spark, os.path.join(out_dir, name), StructType([*schema.fields, batch]))
-        for name, schema in (("movies", MOVIES), ("dimensions", DIMENSION), ("bridges", BRIDGE), ("rejects", REJECTS)))
-    movies, dims = _current(movies, KEYS["movies"]), _current(dims, KEYS["dimensions"])
-    # a retried batch overwrote its own folder, so rejects need no dedup
-    return Star(movies.select("movie_id", "movie_key", "movie", "budget", "box_office", "release_date"),
-                dims.select("kind", "entity_id", "entity_key", "entity"),
-                model.with_ids(bridges.drop("batch").distinct()), rejects.drop("batch"))
+    """The tables as of the last batch; empty ones before the first."""
+    return star_store.read_star(star_store.open_store(spark, out_dir))
+
+
+def read_reports(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The four reports as the last batch refreshed them."""
+    store = star_store.open_store(spark, out_dir)
+    return {name: star_store.read_report(store, name) for name in REPORT_KINDS}

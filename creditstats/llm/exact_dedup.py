@@ -9,9 +9,11 @@
 3. The state is read back through the state data source.
 4. On hits (digests seen more than once) the full bytes are compared: all
    texts of a digest are equal exactly when their least and greatest are.
-   Each map task folds its copies before the shuffle, so a hot group of
-   copies sends one text per task. Digests with different texts are grouped
-   again by their bytes.
+   A bit filter of fixed size over the hits keeps texts without a copy out of
+   the shuffle (it lets some pass, never holds a hit back). Each map task
+   folds its copies before the shuffle, so a hot group of copies sends one
+   text per task. Digests with different texts are grouped again by their
+   bytes.
 
 DataFrame operations only.
 
@@ -39,7 +41,10 @@ STATE_CONF = {
     # all stores of an executor share this memory
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # no store stays open in an executor when its task has ended
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
+FILTER_WORDS = 1 << 17  # 64-bit words of the bit filter, at most so many rows are broadcast
 RESULT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256", "locator", "keep_locator")
 
 
@@ -70,7 +75,7 @@ def _exact_dedup(located: DataFrame, id_col: str, text_col: str, digest: Callabl
 
     key = ["digest", "n_bytes"]
     mixed = staged(
-        rows.select(*key, "text").groupBy(*key)
+        _maybe_hits(rows.select(*key, "text"), groups.where("group_size > 1"), key).groupBy(*key)
         .agg(F.min("text").alias("_least"), F.max("text").alias("_most"))
         .where(F.col("_least") != F.col("_most")).select(*key), "dedup-mixed")
     log = spark.read.schema(schema).parquet(log_path)
@@ -82,6 +87,17 @@ def _exact_dedup(located: DataFrame, id_col: str, text_col: str, digest: Callabl
     return _judged(log.join(mixed, key, "left_anti").join(groups, key)).unionByName(_judged(again.join(best, by_text)))
 
 
+def _maybe_hits(rows: DataFrame, hits: DataFrame, key: list[str]) -> DataFrame:
+    """The rows whose key the bit filter over the hits holds, with all of the
+    hits' own."""
+    place = F.xxhash64(*key)
+    word, bit = F.pmod(place, F.lit(FILTER_WORDS)), F.shiftright(place, 32).bitwiseAND(F.lit(63)).cast("int")
+    one = F.expr("shiftleft(1L, _bit)")
+    bits = hits.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or(one).alias("_bits"))
+    placed = rows.withColumns({"_word": word, "_bit": bit})
+    return placed.join(F.broadcast(bits), "_word").where(F.col("_bits").bitwiseAND(one) != 0).select(*rows.columns)
+
+
 def _fold(spark, log_path: str, schema, files_per_trigger: int) -> DataFrame:
     """The streaming fold of the log; returns its final state."""
     checkpoint = scratch(spark, "dedup-state")

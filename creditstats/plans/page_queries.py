@@ -8,10 +8,14 @@ the synthetic pages in tests/test_pages.py.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import ensure_checkpoint_dir
 from ..sources import pages as P
 from ..sources.tables import table
 
@@ -28,6 +32,20 @@ def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select("page_id", F.regexp_extract("url", P.URL_LANG, 1).alias("lang"), "url_number", "in_scope")
 
 
+def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages under film-list URLs of the years 1990 to 2039 (by page
+    number; one in eleven is no list page), laid out by year; the lists of
+    2003 to 2022 are read."""
+    pages = table(spark, sf_dir, "pages", "page_id", "html")
+    number = F.col("page_id") % 50 + 1990
+    url = F.when(F.col("page_id") % 11 != 0, F.concat(F.lit("https://en.wikipedia.org/wiki/List_of_American_films_of_"), number.cast("string"))).otherwise(
+        F.lit("https://en.wikipedia.org/wiki/Film"))
+    path = os.path.join(ensure_checkpoint_dir(spark), f"pages-by-year-{uuid.uuid4().hex}")
+    P.write_pages_by_year(pages.withColumn("url", url), path)
+    kept = P.list_pages(spark.read.parquet(path))
+    return kept.select("page_id", F.col("list_year").cast("long").alias("list_year"), F.length("html").cast("long").alias("html_chars"))
+
+
 def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first title rule that finds a text node."""
     ex = _extracted(spark, sf_dir)
@@ -55,6 +73,7 @@ def page_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "page_scan": page_scan,
+    "list_pages": list_pages,
     "page_title": page_title,
     "page_links": page_links,
     "page_links_distinct": page_links_distinct,
@@ -74,6 +93,9 @@ rows AS (
   FROM links, range(1, len(hrefs) + 1) AS g(i))"""
 
 ORACLES = {
+    "list_pages": """
+SELECT page_id, 1990 + page_id % 50 AS list_year, CAST(length(html) AS BIGINT) AS html_chars
+FROM pages WHERE page_id % 11 <> 0 AND 1990 + page_id % 50 BETWEEN 2003 AND 2022""",
     "page_scan": r"""
 SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z]{2})/', 1) AS lang,
        CAST(NULLIF(regexp_extract(url, '/(\d+)(?:[/?#.]|$)', 1), '') AS INTEGER) AS url_number,

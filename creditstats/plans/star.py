@@ -198,16 +198,18 @@ def read_star(spark: SparkSession, out_dir: str) -> Star:
     return Star(movies, reduce(DataFrame.unionByName, dims), reduce(DataFrame.unionByName, bridges))
 
 
-def write_reports(star: Star, out_dir: str) -> dict[str, str]:
-    """The four CSV reports, sorted; report -> path."""
+def write_reports(star: Star, out_dir: str, one_file: bool = True) -> dict[str, str]:
+    """The four CSV reports, sorted; report -> path. With `one_file` each is
+    one file (the file system must be a shared mount or HDFS), else a folder
+    of sorted parts."""
     paths = {}
     for name, (fn, headers, entity_col) in REPORTS.items():
         df = fn(star)
         order = ([F.desc("box_office_max"), F.desc("box_office_avg"), F.desc("film_count"), F.asc(entity_col)]
                  if "release_year" not in df.columns else [F.asc(entity_col), F.asc("release_year")])
-        path = os.path.join(out_dir, f"{name}.csv")
-        csv_report.write_report_csv(df, path, headers=headers, sort_cols=order)
-        paths[name] = path
+        paths[name] = os.path.join(out_dir, f"{name}.csv")
+        write = csv_report.write_one_csv if one_file else csv_report.write_report_csv
+        write(df, paths[name], headers=headers, sort_cols=order)
     return paths
 
 

@@ -258,6 +258,29 @@ def page_scan(pages: DataFrame, lo: int, hi: int, pattern: str = LIST_YEAR) -> D
                         (n.between(lo, hi)).alias("in_scope"))
 
 
+# Fixed value: the years whose film lists are read.
+LIST_YEARS = (2003, 2022)
+
+
+def write_pages_by_year(pages: DataFrame, path: str, pattern: str = LIST_YEAR) -> None:
+    """Lay pages out by the list year in their URL (list_year; pages that are
+    no film list have none), so that a read of some years reads their folders
+    alone. A year's pages may be many: Spark cuts them into several files."""
+    year = F.regexp_extract("url", pattern, 1)
+    tagged = pages.withColumn("list_year", F.when(year != "", year.cast("int")))
+    tagged.hint("rebalance", "list_year").write.partitionBy("list_year").parquet(path)
+
+
+def list_pages(pages: DataFrame, years: tuple[int, int] = LIST_YEARS, pattern: str = LIST_YEAR) -> DataFrame:
+    """The film list pages of the years, with list_year. On pages laid out
+    by `write_pages_by_year` the predicate prunes folders; on others it is a
+    filter on the URL, so html is read of the kept rows' row groups only."""
+    if "list_year" not in pages.columns:
+        year = F.regexp_extract("url", pattern, 1)
+        pages = pages.withColumn("list_year", F.when(year != "", year.cast("int")))
+    return pages.where(F.col("list_year").between(*years))
+
+
 def first_match(rules: Column, n: int) -> Column:
     """The first rule that found anything."""
     return F.coalesce(*[rules[i] for i in range(n)])

@@ -88,13 +88,28 @@ def test_csv_sink_bytes(spark):
     assert back[1:] == [[" lead", "", "1"], ["a,b", "1.500000", ""], ['say "hi"', "2.000000", "3"]]
 
 
+def test_one_csv_file(spark):
+    """Many parts become one file with the bytes of the excel dialect."""
+    values = [(f'{k:05d} "q", line\nend' if k % 7 == 0 else f"{k:05d} é", None if k % 3 == 0 else k, " pad ") for k in range(5000)]
+    df = spark.createDataFrame(values, "name string, n long, other string").repartition(11)
+    path = f"{tempfile.mkdtemp(prefix='cs-one-')}/report of all.csv"
+    for rows, wanted in ((df, values), (df.where("n < 10"), [v for v in values if v[1] is not None and v[1] < 10]), (df.limit(0), [])):
+        csv_report.write_one_csv(rows, path, ["name, quoted", "n", "other"], [F.asc("name")])
+        out = io.StringIO(newline="")
+        csv.writer(out, dialect="excel").writerows([("name, quoted", "n", "other"), *wanted])
+        assert open(path, "rb").read() == out.getvalue().encode("utf-8")
+    assert spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).count() == 0
+
+
 def test_run_reports_writes_four_csvs(spark):
     from creditstats.plans.driver_items import driver_items
     out = tempfile.mkdtemp(prefix="cs-run-")
     paths = S.run_reports(spark, *driver_items(spark, SF001), out)
     assert set(paths) == {"by_actor", "by_director", "by_distributor", "by_production_company"}
     for p in paths.values():
-        assert glob.glob(f"{p}/part-*.csv")
+        with open(p, encoding="utf-8", newline="") as f:
+            assert len(list(csv.reader(f))) > 1
+    assert not glob.glob(f"{out}/*.parts-*") and not glob.glob(f"{out}/*.draft-*")
     star = S.read_star(spark, f"{out}/tables")
     assert {r.check: r.n_bad for r in S.check_star(star).collect() if r.n_bad} == {}
     lazy = S.build_star(*driver_items(spark, SF001))

@@ -129,7 +129,7 @@ def test_run_from_pages_writes_reports(spark, pages):
     import tempfile
     out = tempfile.mkdtemp(prefix="cs-pages-")
     paths = S.run_from_pages(spark, pages, out)
-    text = open(glob.glob(f"{paths['by_actor']}/part-*.csv")[0], encoding="utf-8").read()
+    text = open(paths["by_actor"], encoding="utf-8").read()
     assert text.splitlines()[0].startswith("actor,box office max (in millions)")
     assert "Beyoncé,300.000000,0.045000" in text
 
@@ -146,3 +146,14 @@ def test_order_of_items_on_a_crowded_page(spark):
     assert len({r.seq for r in rows}) == len(rows) == 20_000
     assert [(r.page_id, r.kind) for r in rows[::5000]] == [(1, "actor"), (1, "director"), (2, "actor"), (2, "director")]
     assert [r.value for r in rows[:5000]] == [f"Name {i}" for i in range(5000)]
+
+
+def test_list_years_prune_folders(spark, tmp_path):
+    urls = [f"https://en.wikipedia.org/wiki/List_of_American_films_of_{y}" for y in (2002, 2003, 2003, 2022, 2023)] + ["https://x/y", None]
+    pages = spark.createDataFrame([(k, u, f"<p>{k}</p>") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    assert sorted(r.page_id for r in P.list_pages(pages).collect()) == [1, 2, 3]
+    P.write_pages_by_year(pages, f"{tmp_path}/pages")
+    kept = P.list_pages(spark.read.parquet(f"{tmp_path}/pages"))
+    assert sorted((r.page_id, r.list_year) for r in kept.collect()) == [(1, 2003), (2, 2003), (3, 2022)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(list_year" in plan and "Filter" not in plan.split("FileScan")[0]

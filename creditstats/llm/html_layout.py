@@ -9,17 +9,20 @@ recursion, so depth and length of a page cost memory only.
 Layout: blocks start new lines, and paragraphs, headings, lists, tables and
 quotes are set off by one blank line. List items get "- " or their number,
 with nested lists indented. Table cells are padded to the width of their
-column and parted by " | ". Preformatted text keeps its spaces. Line breaks
+column and parted by " | "; a cell over several rows leaves empty cells below. Preformatted text keeps its spaces. Line breaks
 and rules are kept.
 
 Visible is what a browser without scripts to run shows: not the head,
 scripts, styles, templates, embedded media, comments, hidden inputs and
-closed dialogs; not an element with the attribute hidden or the inline style
+closed dialogs; not an element with the attribute hidden or the style
 display:none, nor one with visibility:hidden, except for descendants made
-visible again; of closed details only the summary. Text of noscript and map
-is shown, formulas without their annotations, and of a drawing (svg) the text
-elements, a line each, and embedded HTML. Styles are read by exact property
-name; the last value of a property holds, an important one before others.
+visible again. Styles are inline or in the page's own style sheets, there by
+selectors of one element (name, classes, id; not by ancestors, states or
+attributes, nor in nested rules), for the screen. The cascade decides: an
+important value, then an inline one, then the more specific, then the later.
+Of closed details only the summary is shown. Text of noscript and map is
+shown, formulas without their annotations, and of a drawing (svg) the text
+elements, a line each, and embedded HTML.
 
 Scale: one narrow pass over the pages, one page at a time, no shuffle.
 
@@ -62,6 +65,8 @@ IMPLIED_END = {
     "th": ({"td", "th"}, {"tr", "table"}), "caption": ({"caption"}, {"table"}), "colgroup": ({"colgroup", "caption"}, {"table"}),
     **dict.fromkeys(("thead", "tbody", "tfoot"), ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"})),
 }
+SCREEN = ("", "all", "screen", "only screen")  # media that a browser shows
+MOST_ROWS = 65534  # that a cell spans
 SCOPE = frozenset("table td th caption button object template html foreignobject".split())
 # ---------------------------------------------------------------------------
 
@@ -71,6 +76,10 @@ ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*(=)\s*)?")
 BARE_VALUE = re.compile(r"[^\s>]*")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+STYLE_TAG = re.compile(r"<style[\s/>]", re.I)
+BRACE = re.compile(r"([{}])")
+SELECTOR_PART = re.compile(r"[.#]?-?[a-zA-Z_][\w-]*|\*")
+SELECTOR = re.compile(rf"(?:{SELECTOR_PART.pattern})(?:[.#]-?[a-zA-Z_][\w-]*)*")
 DECLARATION = re.compile(r"""(?:[^;"'(]+|"[^"]*"?|'[^']*'?|\([^)]*\)?)+""")
 
 
@@ -118,6 +127,8 @@ class Scanner:
                     lower = html.lower() if len(html.lower()) == n else html
                 end = n if name == "plaintext" else lower.find("</" + name, at)
                 end = n if end < 0 else end
+                if name == "style" and attributes.get("media", "").strip().lower() in SCREEN:
+                    yield "style", html[at:end]
                 if name in ("textarea", "xmp", "plaintext"):
                     yield "raw", html[at:end] if name != "textarea" else unescape(html[at:end])
                 at = end
@@ -210,10 +221,40 @@ class Grid:
 
     def __init__(self):
         self.caption: list[str] = []
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []  # cells: lines, columns, rows
+        self.parts: list[int] = []  # where a part of the table (head, body, foot) starts
+
+    def _placed(self) -> list[list[tuple[list[str], int]]]:
+        """Rows of (lines, columns), with empty cells where cells of rows
+        above reach down. No cell reaches beyond its part of the table."""
+        out, reach, parts = [], [], set(self.parts)  # reach: (first column, columns, last row), by column
+        for k, r in enumerate(self.rows):
+            if k in parts:
+                reach = []
+            row, after, at, above = [], [], 0, 0
+            for cell, span, down in r:
+                begin = at
+                while above < len(reach) and reach[above][0] < at + span:
+                    column, wide, last = reach[above]
+                    above += 1
+                    if last >= k:  # a cell too wide to stand before it stands behind it
+                        after.append(reach[above - 1])
+                        at = column + wide
+                if at > begin:
+                    row.append(([], at - begin))
+                row.append((cell, span))
+                if down > 1:
+                    if after and after[-1][2] == k + down - 1 and sum(after[-1][:2]) == at:
+                        after[-1] = (after[-1][0], after[-1][1] + span, after[-1][2])
+                    else:
+                        after.append((at, span, k + down - 1))
+                at += span
+            reach = after + reach[above:]
+            out.append(row)
+        return out
 
     def done(self) -> list[str]:
-        rows = [r for r in self.rows if any(cell for cell, _ in r)]
+        rows = [r for r in self._placed() if any(cell for cell, _ in r)]
         width: dict[int, int] = {}
         for r in rows:
             at = 0
@@ -233,10 +274,63 @@ class Grid:
         return out
 
 
+class Styles:
+    """What a page's own style sheets say of display and visibility."""
+
+    def __init__(self, sheets: list[str]):
+        # last part of a selector -> all its parts -> property -> (important, inline, specificity, order, value)
+        self.rules: dict[str, dict[frozenset, dict[str, tuple]]] = {}
+        order = 0
+        for sheet in sheets:
+            selectors, skipped = None, 0  # skipped: open braces of an at-rule that does not hold
+            pieces = BRACE.split(STYLE_COMMENT.sub("", sheet) + "}")  # an open rule ends with its sheet
+            for before, brace in zip(pieces[::2], pieces[1::2]):
+                if skipped:
+                    skipped += 1 if brace == "{" else -1
+                elif brace == "{" and selectors is not None:  # nested rules are not read
+                    skipped, selectors = 2, None
+                elif brace == "{":
+                    selectors = before.rpartition(";")[2].strip()
+                    if selectors.startswith("@"):
+                        kind, _, media = selectors.lower().partition(" ")
+                        skipped, selectors = int(kind != "@media" or media.strip() not in SCREEN), None
+                elif selectors is not None:
+                    said = _shown(before)
+                    for selector in selectors.split(",") if said else ():
+                        self._add(selector.strip(), order, said)
+                    order, selectors = order + 1, None
+
+    def _add(self, selector: str, order: int, said: dict) -> None:
+        if not SELECTOR.fullmatch(selector):
+            return
+        parts = [x if x[0] in ".#" else x.lower() for x in SELECTOR_PART.findall(selector)]
+        weight = (sum(x[0] == "#" for x in parts), sum(x[0] == "." for x in parts), sum(x[0] not in ".#*" for x in parts))
+        best = self.rules.setdefault(parts[-1], {}).setdefault(frozenset(parts), {})
+        for what, (value, first) in said.items():
+            best[what] = max(best.get(what, ()), (first, False, weight, order, value))
+
+    def of(self, name: str, attributes: dict[str, str]) -> dict[str, str]:
+        """Properties of an element: its own style before the sheets, an
+        important value before others, then the more specific, the later."""
+        best: dict[str, tuple] = {}
+        if self.rules:
+            mine = {"*", name, *("." + c for c in attributes.get("class", "").split())}
+            mine |= {"#" + attributes["id"]} if "id" in attributes else set()
+            for key in mine & self.rules.keys():
+                for parts, said in self.rules[key].items():
+                    if parts <= mine:
+                        for what, told in said.items():
+                            best[what] = max(best.get(what, ()), told)
+        for what, (value, first) in _shown(attributes["style"]).items() if "style" in attributes else ():
+            best[what] = max(best.get(what, ()), (first, True, (), 0, value))
+        return {what: x[-1] for what, x in best.items()}
+
+
 class Page:
     """Tree builder and layout of one page."""
 
-    def __init__(self):
+    def __init__(self, styles: Styles):
+        self.styles = styles
         self.flow = Flow()
         # open elements: [name, flow or grid to return to, hidden before, keep before, list counter or close data]
         self.open: list[list] = []
@@ -317,7 +411,7 @@ class Page:
         drawn = self._in_svg()
         if name == "svg" or self.svg and name in ("text", "foreignobject"):
             self.svg.append(entry)
-        shown = _shown(attributes["style"]) if "style" in attributes else {}
+        shown = self.styles.of(name, attributes) if self.styles.rules or "style" in attributes else {}
         if drawn:
             shown = {k: attributes[k].strip().lower() for k in ("display", "visibility") if k in attributes} | shown
         if (name in UNSEEN or drawn and name in UNDRAWN or name in ("annotation", "annotation-xml") and self.count["math"]
@@ -350,8 +444,12 @@ class Page:
             entry[4] = "table"
         elif name == "tr":
             self.grids[-1][0].rows.append([])
+        elif name in ("thead", "tbody", "tfoot"):
+            self.grids[-1][0].parts.append(len(self.grids[-1][0].rows))
         elif name in ("td", "th"):
-            entry[4], self.flow = ("cell", min(1000, max(1, _number(attributes.get("colspan"), 1)))), Flow()
+            span, down = _number(attributes.get("colspan"), 1), _number(attributes.get("rowspan"), 1)
+            # 0 rows: to the end of the part
+            entry[4], self.flow = ("cell", min(1000, max(1, span)), MOST_ROWS if down == 0 else min(MOST_ROWS, max(1, down))), Flow()
         elif name == "caption":
             entry[4], self.flow = ("caption",), Flow()
         elif name == "details" and "open" not in attributes:
@@ -381,7 +479,7 @@ class Page:
             lines = inner.done()
             if made[0] == "cell":
                 row = self.grids[-1][0].rows
-                (row[-1] if row else row.append([]) or row[-1]).append((lines, made[1]))
+                (row[-1] if row else row.append([]) or row[-1]).append((lines, made[1], made[2]))
             elif made[0] == "caption":
                 self.grids[-1][0].caption += lines
             elif lines:
@@ -416,9 +514,10 @@ class Page:
         self.flow.text(s, self.keep)
 
 
-def _shown(style: str) -> dict[str, str]:
-    """The properties display and visibility of an inline style."""
-    out, important = {}, set()
+def _shown(style: str) -> dict[str, tuple[str, bool]]:
+    """The properties display and visibility of a style, with whether they
+    are important."""
+    out: dict[str, tuple[str, bool]] = {}
     low = style.lower()
     if "display" not in low and "visibility" not in low:
         return out
@@ -429,10 +528,8 @@ def _shown(style: str) -> dict[str, str]:
         value = value.removesuffix("!important")
         known = value if name == "display" else name == "visibility" and value in (
             "hidden", "collapse", "visible", "initial", "inherit", "unset", "revert")
-        if known and (first or name not in important):
-            out[name] = value
-            if first:
-                important.add(name)
+        if known and (first or not out.get(name, ("", False))[1]):
+            out[name] = value, first
     return out
 
 
@@ -443,7 +540,8 @@ def _number(text: str | None, default: int) -> int:
 
 def render(html: str) -> str:
     """Visible text of a page."""
-    page = Page()
+    sheets = [rest[0] for event, *rest in Scanner(html) if event == "style"] if STYLE_TAG.search(html) else []
+    page = Page(Styles(sheets))
     for event, *rest in Scanner(html):
         if event == "text":
             page.text(unescape(rest[0]) if "&" in rest[0] else rest[0])
@@ -451,7 +549,7 @@ def render(html: str) -> str:
             page.text(rest[0])
         elif event == "open":
             page.start(*rest)
-        else:
+        elif event == "close":
             page.end(rest[0])
     while page.open:
         page._pop()

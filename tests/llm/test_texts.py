@@ -39,6 +39,29 @@ def test_bpe_fuzz(library):
     assert own.encode(long).tolist() == library.encode(long, add_special_tokens=False).ids
 
 
+def test_bpe_long_pieces(library):
+    """Pieces without a break, longer than those worked on in dicts, in several languages of letters."""
+    own, rng = bpe.Tokenizer(bpe.tokenizer_spec(PATH)), random.Random(3)
+    for letters in ("acgt", "aeinstrhé漢🙂", "x", "0123456789", "-=*"):
+        text = "".join(rng.choices(letters, k=3 * bpe.LONG_PIECE))
+        ids = own.encode(text)
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own.decode(ids) == text
+
+
+def test_bpe_long_piece_memory():
+    """Some bytes a character, whatever the length of the piece."""
+    import tracemalloc
+
+    own = bpe.Tokenizer(bpe.tokenizer_spec(PATH))
+    text = "".join(random.Random(4).choices("acgt", k=1_000_000))
+    tracemalloc.start()
+    own._piece(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(text)
+
+
 def test_bpe_memory_bound_changes_nothing(monkeypatch):
     own = bpe.Tokenizer(bpe.tokenizer_spec(PATH))
     texts = [f"some words number {i} and a few more{i % 3}" for i in range(50)]
@@ -80,6 +103,19 @@ def test_bpe_query(spark, library):
     ("<ol start=9><li>a<li value=20>b<li>c</ol>", "9. a\n20. b\n21. c"),
     ("<table><tr><td>a<td>bbb<tr><td>ccc<td>d</table>", "a   | bbb\nccc | d"),
     ("<table><td>x<tr><td colspan=2>wide</table>", "x\nwide"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+    ("<table><tr><td>x<td rowspan=0>long<td>y<tr><td>1<td>2<tr><td>3<td>4</table>",
+     "x | long | y\n1 |      | 2\n3 |      | 4"),
+    ("<table><thead><tr><th rowspan=3>h<th>i<tbody><tr><td>1<td>2</table>", "h | i\n1 | 2"),
+    ("<table><tr><td rowspan=2>a<td rowspan=2>bb<td>c<tr><td>d</table>", "a | bb | c\n       | d"),
+    ("<style>.a{display:none}</style><p class='b a'>x<p class=b>y", "y"),
+    ("<p class=a>x</p><p>y<style>.a{display:none}</style>", "y"),
+    ("<style>p{display:none} p.k{display:block} #z{visibility:hidden}</style><p>x<p class=k>y<p class=k id=z>z<div>w", "y\n\nw"),
+    ("<style>@media print{p{display:none}} @media screen{.q{display:none}} /*.w{display:none}*/ .w .v{display:none}"
+     "</style><p>x<p class=q>y<p class=w>w<b class=v>v", "x\n\nwv"),
+    ("<style>.a{display:none!important}</style><p class=a style='display:block'>x<p style='display:none'>y<p>z", "z"),
+    ("<style media=print>p{display:none}</style><p>x", "x"),
+    ("<style>@import 'x'; .a,.b{display:none</style><p class=a>x<p>y", "y"),
     ("<table>loose<tr><td>in</table>", "loose\n\nin"),
     ("<pre> a\n  b</pre>", " a\n  b"),
     ("<p hidden>x</p><p style='DISPLAY : none'>y</p>z", "z"),
@@ -205,6 +241,15 @@ def test_toxicity_without_labels(spark, edge, empty):
     assert toxicity.train(empty, none).share == 0.0
 
 
+def test_toxicity_held_out_recall_and_precision(spark):
+    """A model that calls nothing toxic fails here."""
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in read(spark, sf, "labels").collect()}
+    held = [r for r in queries.op4_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    toxic, called = ({r.doc_id for r in held if x(r)} for x in (lambda r: labels[r.doc_id] == 1, lambda r: r.predicted))
+    assert len(toxic) > 50 and len(toxic & called) / len(toxic) > 0.85 and len(toxic & called) / len(called) > 0.9
+
+
 def test_toxicity_query_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.toxic for r in read(spark, sf, "labels").collect()}

@@ -17,7 +17,7 @@ into byte ranges, gathered for a whole text at once.
 Texts are cut before encoding where white space follows something else; the
 tokenizer's own pattern never matches across such a place. Encoded chunks and
 pieces are remembered in two bounded generations per worker; this changes no
-result.
+result. A long piece without a break costs a few bytes of memory a character.
 
 The vocabulary file (the JSON of a byte-level BPE without normalizer) is read
 by the driver and broadcast: its size does not depend on the data.
@@ -47,7 +47,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 MEMORY = 350_000  # entries of each of two generations
 LONGEST_KEPT = 48
+LONG_PIECE = 4096  # characters from which on a piece is worked on in arrays
 BATCH_BYTES = 4 << 20
+DECODE_IDS = 1 << 18
 
 
 def byte_characters() -> list[str]:
@@ -100,6 +102,19 @@ class Pairs(dict):
         return found
 
 
+class Places:
+    """A set of places in a long text, one byte a place."""
+
+    def __init__(self, size: int):
+        self.held = bytearray(size)
+
+    def add(self, place: int) -> None:
+        self.held[place] = 1
+
+    def __contains__(self, place: int) -> bool:
+        return self.held[place] == 1
+
+
 class Tokenizer:
     def __init__(self, spec: str):
         import ahocorasick
@@ -168,21 +183,34 @@ class Tokenizer:
             else:  # of equal merges the left one goes first: the seam's would come before this one
                 until, b = self.rank[b] + 1, self.halves[b][0]
 
-    def _piece(self, piece: str) -> list[int]:
+    def _longest(self, text: str):
+        """Look-up of the longest token that starts at a place, by the place
+        counted from the end; no token gives None or 0. The first match that
+        the automaton reports at a place is the longest."""
+        if not len(self.automaton):
+            return {}.get
+        if len(text) <= LONG_PIECE:
+            return dict([*self.automaton.iter(text[::-1])][::-1]).get
+        found, last = array("I", bytes(4 * len(text))), -1
+        for place, token in self.automaton.iter(text[::-1]):
+            if place != last:
+                found[place], last = token, place
+        return found.__getitem__
+
+    def _piece(self, piece: str) -> array | list[int]:
         """Ids of one piece of the split pattern."""
         text = (piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self.table)
         n, single = len(text), self.single
         if n == 1:
             return [single[text]]
-        # by their place from the end; the first match reported at a place is the longest
-        longest = dict([*self.automaton.iter(text[::-1])][::-1]) if len(self.automaton) else {}
-        token = longest.get(n - 1) or single[text[0]]
+        longest = self._longest(text)
+        token = longest(n - 1) or single[text[0]]
         if token is not None and self.length[token] == n:
             return [token]
-        ids: list[int] = [token]
-        dead: set[int] = set()
+        ids = array("I", [token])
+        dead = set() if n <= LONG_PIECE else Places(n + 1)
         pairs, length, shorter, at = self.pairs, self.length, self.shorter, self.length[token]
-        token = longest.get(n - 1 - at) or single[text[at]]
+        token = longest(n - 1 - at) or single[text[at]]
         while True:
             seam = ids[-1] << 20 if ids else -1
             while token is not None:
@@ -195,7 +223,7 @@ class Tokenizer:
                 if end == n:
                     return ids
                 at = end
-                token = longest.get(n - 1 - at) or single[text[at]]
+                token = longest(n - 1 - at) or single[text[at]]
             elif ids:
                 dead.add(at)
                 token = ids.pop()
@@ -222,13 +250,14 @@ class Tokenizer:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, by the offset table."""
+        return b"".join(self._bytes(ids[at:at + DECODE_IDS]) for at in range(0, len(ids), DECODE_IDS)).decode("utf-8", "replace")
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
         start = self.offset[ids]
         size = self.offset[ids.astype(np.int64) + 1] - start
         ends = np.cumsum(size)
-        if not len(ends):
-            return ""
         at = np.repeat(start - (ends - size), size) + np.arange(ends[-1])
-        return self.bytes[at].tobytes().decode("utf-8", "replace")
+        return self.bytes[at].tobytes()
 
 
 def loaded(spec: str) -> Tokenizer:
@@ -240,14 +269,13 @@ def _outputs(batches: Iterator[pa.RecordBatch], work, schema: pa.Schema) -> Iter
     """Apply `work` (row tuple -> row tuple) in output batches of bounded size."""
     out, held = [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            for row in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
-                made, size = work(row)
-                out.append(made)
-                held += size
-                if held > BATCH_BYTES:
-                    yield _batch(out, schema)
-                    out, held = [], 0
+        for row in zip(*batch.columns):  # a row at a time: texts may be very long
+            made, size = work(tuple(x.as_py() for x in row))
+            out.append(made)
+            held += size
+            if held > BATCH_BYTES:
+                yield _batch(out, schema)
+                out, held = [], 0
     if out:
         yield _batch(out, schema)
 

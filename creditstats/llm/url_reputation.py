@@ -26,11 +26,12 @@ read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, staged
 
 # Public suffixes of two labels; any other suffix is one label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp",
@@ -84,12 +85,19 @@ def match_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, C
     return (text, verdict) if rules else (F.lit(None).cast("string"),) * 2
 
 
-def _strength(groups: DataFrame) -> float:
-    """Prior strength a + b of a beta-binomial level, by moments over groups (bad, n)."""
-    r = groups.where("n > 0").agg(
+def _moments(levels: dict[str, DataFrame]) -> dict[str, Row]:
+    """Sums over the groups (bad, n) of each level, all in one action."""
+    groups = reduce(lambda a, b: a.unionAll(b), (g.select(F.lit(x).alias("level"), "bad", "n") for x, g in levels.items()))
+    made = groups.where("n > 0").groupBy("level").agg(
         F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"),
-        F.sum("bad").alias("bad"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("b2")).first()
-    if not r.n or r.k < 2:
+        F.sum("bad").alias("bad"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("b2"))
+    none = Row(k=0, n=0, n2=0, bad=0, b2=0.0)
+    return {x: none for x in levels} | {r.level: r for r in made.collect()}
+
+
+def _strength(r: Row) -> float:
+    """Prior strength a + b of a beta-binomial level, by its moments."""
+    if r.k < 2:
         return 10.0
     m = r.bad / r.n
     within, room = m * (1 - m), r.n - r.n2 / r.n - (r.k - 1)
@@ -109,15 +117,17 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     hosts = (pages.join(labelled, "page_id", "left").groupBy("host")
              .agg(F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
              .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = staged(hosts, "url-hosts")  # all levels below read this
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     suffixes = domains.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    total = suffixes.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
-    rate = ((total.bad or 0) + 1) / ((total.n or 0) + 20)  # one bad page in twenty, before any label
+    moments = _moments({"suffix": suffixes, "domain": domains, "host": hosts})
+    total = moments["suffix"]
+    rate = (total.bad + 1) / (total.n + 20)  # one bad page in twenty, before any label
 
     def mean(prior: Column, s: float) -> Column:
         return (prior * s + F.col("bad")) / (F.lit(s) + F.col("n"))
 
-    s1, s2, s3 = _strength(suffixes), _strength(domains), _strength(hosts)
+    s1, s2, s3 = (_strength(moments[x]) for x in ("suffix", "domain", "host"))
     by_suffix = suffixes.select("suffix", mean(F.lit(rate), s1).alias("suffix_rate"))
     by_domain = domains.join(by_suffix, "suffix").select("domain", mean(F.col("suffix_rate"), s2).alias("domain_rate"))
     post = hosts.join(by_domain, "domain").withColumn("bad_rate", mean(F.col("domain_rate"), s3))

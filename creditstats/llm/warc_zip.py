@@ -44,6 +44,9 @@ from pyspark.sql import functions as F
 
 from .common import in_arrow, scratch, staged, with_locator
 
+INDEXES_A_TASK = 16
+BYTES_A_TASK = 32 << 20  # as stored, compressed
+
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 
 # Signatures and layouts of the ZIP format (little endian).
@@ -242,7 +245,9 @@ def list_records(packages: DataFrame) -> DataFrame:
                     {"package": [package] * len(refs), "base": [base] * len(refs), "offset": [x["offset"] for x in refs],
                      "length": [x["length"] for x in refs], "page_id": pa.array([x["page_id"] for x in refs], pa.int64())})
 
-    return in_arrow(packages.select("package").repartition("package"), look, REFS)
+    # the paths are small whatever the indexes hold, so their number sets the tasks
+    tasks = max(packages.sparkSession.sparkContext.defaultParallelism, -(-packages.count() // INDEXES_A_TASK))
+    return in_arrow(packages.select("package").repartition(tasks, "package"), look, REFS)
 
 
 def read_records(refs: DataFrame, payloads: bool = True) -> DataFrame:
@@ -273,7 +278,11 @@ def read_records(refs: DataFrame, payloads: bool = True) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    spread = refs.repartition(F.pmod(F.xxhash64("package", F.shiftright("offset", 24)), F.lit(1 << 20)))
+    # a reference is small whatever its record weighs, so the stored bytes set the tasks
+    refs = staged(refs, "warc-refs")
+    stored = refs.agg(F.sum("length")).first()[0] or 0
+    tasks = max(refs.sparkSession.sparkContext.defaultParallelism, -(-stored // BYTES_A_TASK))
+    spread = refs.repartition(tasks, "package", F.shiftright("offset", 22))
     return in_arrow(spread.sortWithinPartitions("package", "offset"), fetch, RECORDS)
 
 

@@ -203,6 +203,13 @@ def test_archives_round_trip(spark, pages, least):
     assert warc_zip.round_trip(spark, pages.where("false")).count() == 0
 
 
+def test_reading_tasks_grow_with_stored_bytes(spark, pages, monkeypatch):
+    monkeypatch.setattr(warc_zip, "BYTES_A_TASK", 16)
+    refs = warc_zip.list_records(warc_zip.write_packages(pages))
+    stored = sum(r.length for r in refs.collect())
+    assert warc_zip.read_records(refs).rdd.getNumPartitions() == -(-stored // 16)
+
+
 class Opened(io.BytesIO):
     pass
 

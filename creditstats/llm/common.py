@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,11 +96,22 @@ def session_conf(spark: SparkSession, values: dict[str, str]):
 _KEPT: dict = {}
 
 
+def _free_memory() -> None:
+    """Give freed memory back to the system where the C library can: what one
+    operator's tasks held does not add to the next one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def worker_state(owner: str, make):
     """The state kept for `owner` in this worker, made when another owner's
     was kept or none."""
     if owner not in _KEPT:
         _KEPT.clear()
+        _free_memory()
         _KEPT[owner] = make()
     return _KEPT[owner]
 

@@ -15,16 +15,22 @@ input.
 3. Extension: the marked windows, and only they, are hashed in full; the
    smallest doc_id of each hash keeps it, the others lose theirs.
 
-Both steps move pairs of a hash and a document, and nothing else: whoever
-gets a hash back finds its places in the text again.
+Both steps move triples of a hash, a document and its part, and nothing else:
+whoever gets a hash back finds its places in the text again. The part is a
+32-bit hash of the text and of a salt of the row's place in its file. Hashes
+come back to rows by document and part, so rows that share an identifier, or
+have none, do not receive each other's; the order of documents is by
+identifier alone. Two rows that agree in both would get more hashes than they
+need, which are right for either: a decision holds for the identifier.
 
 Hot passages: each task folds what it holds before the shuffle. An anchor
-that two documents of one task share is known to be shared, and a window that
+that two rows of one task share is known to be shared, and a window that
 a smaller document of the same task holds is known to go; of each hash only
 its smallest document is sent on. A passage in a third of all documents thus
 sends one pair a task and hash, and no step gathers a group: sorted
 partitions are read as streams. The texts are shuffled once and read by both
-joins (the exchange is reused).
+joins (the exchange is reused). A window that many different texts of one and
+the same smallest identifier hold is sent on for each of these texts.
 
 Word sequences are compared by 64-bit hashes of 64-bit word hashes.
 
@@ -45,16 +51,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow
+from .common import free_name, in_arrow, with_locator
 from .words import WordHashes, batches_of, word_hashes, runs, window_hashes, words
 
 # Perfect difference sets, period to elements.
 COVERS = {1: (0,), 3: (0, 1), 7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27)}
 NO_ID = -(1 << 63)
 HELD = 1_000_000
-# key: a hash, with the document sent on for it; or null, with the packed hashes settled for the document
-FOUND = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("keys", pa.binary())])
-FOUND_TYPE = "key long, doc long, keys binary"
+# Rows that are equal in identifier and text are dealt over so many parts.
+SALTS = 64
+# key: a hash, with the document and part sent on for it; or null, with the packed hashes settled for them
+FOUND = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("part", pa.int32()), ("keys", pa.binary())])
+FOUND_TYPE = "key long, doc long, part int, keys binary"
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray]:
@@ -78,41 +86,55 @@ class Texts:
         self.at = np.arange(len(self.hashes)) - self.begin[self.doc]
 
 
-def _packed(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-    """Settled pairs as one record a document."""
-    order = np.argsort(doc, kind="stable")
-    key, doc = key[order], doc[order]
-    begin, _ = runs(doc)
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _packed(key: np.ndarray, doc: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    """Settled triples as one record a document and part."""
+    order = np.lexsort((part, doc))
+    key, doc, part = key[order], doc[order], part[order]
+    begin = np.flatnonzero(_changes(doc, part))
     ends = np.concatenate([begin, [len(doc)]]).astype(np.int32) * 8
     keys = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(key))])
-    return pa.RecordBatch.from_arrays([pa.nulls(len(begin), pa.int64()), pa.array(doc[begin]), keys], schema=FOUND)
+    return pa.RecordBatch.from_arrays([pa.nulls(len(begin), pa.int64()), pa.array(doc[begin]), pa.array(part[begin]), keys],
+                                      schema=FOUND)
+
 
+def _folded(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], shared: bool) -> Iterator[pa.RecordBatch]:
+    """What a task sends on of the triples (hash, document, part) it holds.
 
-def _folded(held: list[tuple[np.ndarray, np.ndarray]], first_too: bool) -> Iterator[pa.RecordBatch]:
-    """What a task sends on of the pairs (hash, document) it holds: for each
-    hash its smallest document. The others are settled, and with `first_too`
-    so is the smallest if there are others."""
-    key, doc = map(np.concatenate, zip(*held))
+    With `shared`, a hash of several rows is settled for all of them, and its
+    first row stands for the others. Without, a hash is settled for those who
+    have a smaller document, and the smallest document's rows are sent on."""
+    key, doc, part = map(np.concatenate, zip(*held))
     if not len(key):
         return
-    order = np.lexsort((doc, key))
-    key, doc = key[order].view(np.int64), doc[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    key, doc = key[new], doc[new]
+    order = np.lexsort((part, doc, key))
+    key, doc, part = key[order].view(np.int64), doc[order], part[order]
+    new = _changes(key, doc, part)
+    key, doc, part = key[new], doc[new], part[new]
     begin, run = runs(key)
-    settled = np.ones(len(key), bool)
-    settled[begin] = first_too & (np.diff(np.concatenate([begin, [len(key)]])) > 1)
+    if shared:
+        settled = (np.diff(np.concatenate([begin, [len(key)]])) > 1)[run]
+        sent = begin
+    else:
+        settled = doc > doc[begin][run]
+        sent = np.flatnonzero(~settled)
     if settled.any():
-        yield _packed(key[settled], doc[settled])
-    yield pa.RecordBatch.from_arrays([pa.array(key[begin]), pa.array(doc[begin]), pa.nulls(len(begin), pa.binary())], schema=FOUND)
+        yield _packed(key[settled], doc[settled], part[settled])
+    yield pa.RecordBatch.from_arrays([pa.array(key[sent]), pa.array(doc[sent]), pa.array(part[sent]),
+                                      pa.nulls(len(sent), pa.binary())], schema=FOUND)
 
 
-def _settle(found: DataFrame, first_too: bool) -> DataFrame:
-    """(doc, keys): every pair of a hash and a document that has a smaller
-    document, and with `first_too` those of the smallest if it has others."""
+def _settle(found: DataFrame, shared: bool) -> DataFrame:
+    """(doc, part, keys): with `shared` every hash of a row that another row
+    holds too, without it every hash that a smaller document holds."""
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, least, told = None, 0, False  # of the run that may go on: its hash, smallest document, if that is out
+        last, least, told = None, (0, 0), False  # of the run that may go on: its hash, first row, if that is out
         for batch in batches:
             ready = pc.is_null(batch.column(0))
             if pc.any(ready).as_py():
@@ -120,44 +142,49 @@ def _settle(found: DataFrame, first_too: bool) -> DataFrame:
                 batch = batch.filter(pc.invert(ready))
             if not batch.num_rows:
                 continue
-            key, doc = (batch.column(i).to_numpy() for i in (0, 1))
+            key, doc, part = (batch.column(i).to_numpy() for i in range(3))
             begin, run = runs(key)
-            first = doc[begin].copy()
+            first, its_part = doc[begin].copy(), part[begin].copy()
             if key[0] == last:
-                first[0] = least
+                first[0], its_part[0] = least
             out = doc > first[run]
-            keys, docs = key[out], doc[out]
-            if first_too:
+            if shared:
+                out |= part != its_part[run]
+            out &= _changes(key, doc, part)
+            keys, docs, parts = key[out], doc[out], part[out]
+            if shared:
                 many = np.zeros(len(begin), bool)
                 many[run[out]] = True
                 say = many.copy()
                 if key[0] == last:
                     say[0] &= not told
                     told = told or many[0]
-                keys, docs = np.concatenate([keys, key[begin][say]]), np.concatenate([docs, first[say]])
+                keys, docs, parts = (np.concatenate([x, y[say]]) for x, y in
+                                     ((keys, key[begin]), (docs, first), (parts, its_part)))
                 told = bool(many[-1]) if len(begin) > 1 or key[0] != last else told
-            last, least = key[-1], first[-1]
+            last, least = key[-1], (first[-1], its_part[-1])
             if len(keys):
-                yield _packed(keys, docs)
+                yield _packed(keys, docs, parts)
 
-    spread = F.coalesce("key", F.xxhash64("doc"))  # settled pairs pass through the same exchange
-    dealt = found.withColumn("spread", spread).repartition("spread").drop("spread").sortWithinPartitions("key", "doc")
-    return in_arrow(dealt, judge, FOUND_TYPE).groupBy("doc").agg(F.collect_list("keys").alias("keys"))
+    spread = F.coalesce("key", F.xxhash64("doc", "part"))  # settled triples pass through the same exchange
+    dealt = found.withColumn("spread", spread).repartition("spread").drop("spread").sortWithinPartitions("key", "doc", "part")
+    return in_arrow(dealt, judge, FOUND_TYPE).groupBy("doc", "part").agg(F.collect_set("keys").alias("keys"))
 
 
-def _collect_pairs(batches: Iterator[pa.RecordBatch], hashed, first_too: bool) -> Iterator[pa.RecordBatch]:
-    """Fold the pairs that `hashed` finds in rows (doc, text, ...)."""
+def _collect_triples(batches: Iterator[pa.RecordBatch], hashed, shared: bool) -> Iterator[pa.RecordBatch]:
+    """Fold the triples that `hashed` finds in rows (doc, part, text, ...)."""
     known, held, count = word_hashes(), [], 0
-    for rows in batches_of(batches, 1):
-        t = Texts([r[1] for r in rows], known)
+    for rows in batches_of(batches, 2):
+        t = Texts([r[2] for r in rows], known)
         hashes, at = hashed(t, rows)
-        held.append((hashes, np.array([r[0] for r in rows], np.int64)[t.doc[at]]))
+        whose = t.doc[at]
+        held.append((hashes, np.array([r[0] for r in rows], np.int64)[whose], np.array([r[1] for r in rows], np.int32)[whose]))
         count += len(at)
         if count > HELD:
-            yield from _folded(held, first_too)
+            yield from _folded(held, shared)
             held, count = [], 0
     if held:
-        yield from _folded(held, first_too)
+        yield from _folded(held, shared)
 
 
 def _anchors_of(t: Texts, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,16 +198,16 @@ def _anchors_of(t: Texts, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared_anchors(rows: DataFrame, window: int) -> DataFrame:
-    """(doc, keys): anchors that two documents or more hold."""
+    """(doc, part, keys): anchors that two rows or more hold."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _collect_pairs(batches, lambda t, _: _anchors_of(t, window), first_too=True)
+        return _collect_triples(batches, lambda t, _: _anchors_of(t, window), shared=True)
 
-    return _settle(in_arrow(rows.select("doc", "text"), find, FOUND_TYPE), first_too=True)
+    return _settle(in_arrow(rows.select("doc", "part", "text"), find, FOUND_TYPE), shared=True)
 
 
 def _windows_to_remove(marked: DataFrame, window: int) -> DataFrame:
-    """(doc, keys): windows that a smaller document holds. marked: doc, text,
-    keys (packed anchors that it shares)."""
+    """(doc, part, keys): windows that a smaller document holds. marked: doc,
+    part, text, keys (packed anchors that it shares)."""
     period, _ = cover_for(window)
 
     def around(t: Texts, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +216,7 @@ def _windows_to_remove(marked: DataFrame, window: int) -> DataFrame:
         bounds = np.searchsorted(place, np.concatenate([t.begin, [len(t.hashes)]]))
         for d, r in enumerate(rows):
             mine = slice(bounds[d], bounds[d + 1])
-            shared = place[mine][np.isin(hashes[mine], np.frombuffer(b"".join(r[2]), np.uint64))]
+            shared = place[mine][np.isin(hashes[mine], np.frombuffer(b"".join(r[3]), np.uint64))]
             np.add.at(change, np.maximum(t.begin[d], shared - period + 1), 1)
             np.add.at(change, shared + 1, -1)
         whole = window_hashes(t.hashes, window)
@@ -198,19 +225,23 @@ def _windows_to_remove(marked: DataFrame, window: int) -> DataFrame:
         return whole[at], at
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _collect_pairs(batches, around, first_too=False)
+        return _collect_triples(batches, around, shared=False)
 
-    return _settle(in_arrow(marked.select("doc", "text", "keys"), find, FOUND_TYPE), first_too=False)
+    return _settle(in_arrow(marked.select("doc", "part", "text", "keys"), find, FOUND_TYPE), shared=False)
 
 
 def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by
     one space), removed (array of struct begin, end: half-open word ranges)."""
     id_ = F.col(id_col).cast("long")
-    # both joins read the same two columns, so they share one exchange
-    rows = docs.select(F.coalesce(id_, F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    at = free_name(docs, "_at")
+    salt = F.pmod(F.xxhash64(f"{at}.file", f"{at}.row"), F.lit(SALTS))
+    # both joins read the same three columns, so they share one exchange
+    rows = with_locator(docs.select(id_col, text_col), at).select(
+        F.coalesce(id_, F.lit(NO_ID)).alias("doc"), F.hash(F.col(text_col), salt).alias("part"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     anchors = _shared_anchors(rows, window)
-    removed = _windows_to_remove(rows.join(anchors, "doc"), window)
+    removed = _windows_to_remove(rows.join(anchors, ["doc", "part"]), window)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -236,6 +267,6 @@ def dedup_substrings(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), span))],
                 ["doc_id", "n_words", "n_removed", "kept_text", "removed"])
 
-    whole = rows.join(removed, "doc", "left").select("doc", "text", "keys")
+    whole = rows.join(removed, ["doc", "part"], "left").select("doc", "text", "keys")
     return in_arrow(whole, cut, "doc_id long, n_words long, n_removed long, kept_text string, "
                                 "removed array<struct<begin: long, end: long>>")

@@ -104,6 +104,27 @@ def test_substring_random(make_docs):
     assert collected(got, "doc_id", "n_words", "n_removed", "kept_text") == brute_substring(rows, 8)
 
 
+def test_substring_shared_identifiers(make_docs):
+    # a third of the rows has no identifier, a third the same one; a sixth is one and the same row
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(14))
+    text = lambda: " ".join([passage] * rng.randint(0, 1) + [f"w{rng.randrange(40)}" for _ in range(rng.randint(0, 12))])
+    rows = [(None, text(), "a") for _ in range(60)] + [(7, text(), "a") for _ in range(30)]
+    rows += [(7, passage + " x y z " + passage, "a")] * 30 + [(i, text(), "a") for i in range(60)]
+    got = substring_dedup.dedup_substrings(make_docs(rows), 8)
+    assert collected(got, "doc_id", "n_words", "n_removed", "kept_text") == brute_substring(rows, 8)
+
+
+def test_substring_rows_of_one_identifier_get_their_own_hashes(make_docs):
+    # 200 different texts in pairs of copies, all under one identifier, and again under larger ones
+    texts = [" ".join(f"t{k}w{j}" for j in range(12)) for k in range(200)]
+    docs = make_docs([(7, t, "a") for t in texts] + [(100 + k, t, "a") for k, t in enumerate(texts)])
+    rows = docs.selectExpr("doc_id as doc", "hash(text) as part", "text")
+    shared = substring_dedup._shared_anchors(rows, 12).collect()
+    assert {(r.doc, r.part) for r in shared} == {(r.doc, r.part) for r in rows.collect()}
+    assert max(len(r["keys"]) for r in shared) <= 2 and max(len(b"".join(map(bytes, r["keys"]))) for r in shared) <= 2 * 8 * 7
+
+
 def test_substring_query(spark):
     rows = [(r.doc_id, r.text, None) for r in read(spark, SF, "documents").collect()]
     want = [(i, n, m, hashlib.sha256(k.encode()).hexdigest()) for i, n, m, k in brute_substring(rows, 50)]

@@ -12,8 +12,10 @@ transducers read the symbols of a clause and are composed:
   score     gives what is left of it its weight
 
 A document's features sum the weights of its matched clauses by kind; a
-logistic model turns them into a score from 0 to 1. Isolated words have no
-score of their own.
+logistic model turns them into a score from 0 to 1. A learned insult that is
+aimed at no one still weighs two thirds of an aimed one, and the share of
+matched words is a feature too: a text that only mentions such words scores
+higher than one without them.
 
 The insult vocabulary, whole words and stems in any language, is learned: of
 the labelled rows outside the held-out fold, at most `sample_rows` by hash of
@@ -32,7 +34,8 @@ Defined results: a null or empty text has the features zero and the score the
 model gives them; with no labelled rows of both kinds every score is the
 labelled toxic share, 0 without any; a row without identifier is scored, not
 held out, and teaches nothing; of several labels of one identifier the
-largest counts; several rows of one labelled identifier all teach.
+largest counts; of several rows of one labelled identifier at most
+ROWS_PER_ID teach, so the fit reads at most that many times `sample_rows`.
 """
 
 from __future__ import annotations
@@ -45,7 +48,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_arrow, staged, worker_state
@@ -66,6 +69,8 @@ WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)*")
 CLAUSE_END = re.compile(r"[.!?;:\n]")
 PREFIXES = (4, 5, 6)
 HELD_OUT_FOLD, FOLDS = 0, 5
+# Rows of one identifier that teach.
+ROWS_PER_ID = 4
 
 
 @dataclass
@@ -212,14 +217,18 @@ def fold(doc_id) -> F.Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     """(text, toxic) of at most `sample_rows` labelled identifiers outside
-    the held-out fold, the first by a hash of the identifier."""
+    the held-out fold, the first by a hash of the identifier. Of rows that
+    share an identifier, the first ROWS_PER_ID by a hash of the text."""
     known = (labels.where("doc_id is not null and toxic is not null").where(fold("doc_id") != HELD_OUT_FOLD)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     known = staged(known.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")), "toxic-labels")
     # bounded by sample_rows, so safe to broadcast
-    return staged(docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
-                  .select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxic-sample")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    # each task keeps its own first ones before the shuffle
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("text"), "text"))
+    bounded = found.withColumn("_nth", nth).where(F.col("_nth") <= ROWS_PER_ID)
+    return staged(bounded.select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxic-sample")
 
 
 def pattern_counts(rows: DataFrame) -> DataFrame:
@@ -316,7 +325,7 @@ def _featured(rows: DataFrame, lexicon: Lexicon, keep: str, kinds: list[pa.DataT
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 30_000, max_patterns: int = 5_000) -> Model:
     rows = training_rows(docs, labels, sample_rows)
     lexicon = learn_lexicon(rows, max_patterns)
-    made = _featured(rows.select("text", "toxic"), lexicon, "toxic int", [pa.int32()]).collect()  # at most sample_rows
+    made = _featured(rows.select("text", "toxic"), lexicon, "toxic int", [pa.int32()]).collect()  # at most ROWS_PER_ID * sample_rows
     y = np.array([r.toxic for r in made], float)
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:

@@ -261,6 +261,17 @@ def test_toxicity_query_held_out_accuracy(spark):
 # ---- spot signatures
 
 
+def test_toxicity_sample_is_bounded_by_identifier(spark, make_docs):
+    rows = [(7, f"text {k}", "a") for k in range(50)] + [(7, "text 1", "a")] * 20 + [(8, "one", "a"), (None, "none", "a"), (9, None, "a")]
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 0)], "doc_id long, toxic int")
+    folds = {r.doc_id: r.f for r in labels.select("doc_id", toxicity.fold("doc_id").alias("f")).collect()}
+    got = [(r.text, r.toxic) for r in toxicity.training_rows(make_docs(rows), labels, 100).collect()]
+    by_id = {7: [g for g in got if g[1] == 1], 8: [g for g in got if g[0] == "one"], 9: [g for g in got if g[0] == ""]}
+    most = {7: toxicity.ROWS_PER_ID, 8: 1, 9: 1}
+    assert all(len(by_id[i]) == (most[i] if folds[i] != toxicity.HELD_OUT_FOLD else 0) for i in most)
+    assert len(got) == sum(map(len, by_id.values()))
+
+
 def test_spots_neighbours(edge, make_docs):
     for rows in (EDGE, [(i * 7, f"text {i} of the kind number {i} with a few words é🙂", "a") for i in range(40)]):
         got = spotsigs.neighbours(make_docs(rows), slice_rows=3).collect()

@@ -167,7 +167,7 @@ def _settle(found: DataFrame, shared: bool) -> DataFrame:
                 yield _packed(keys, docs, parts)
 
     spread = F.coalesce("key", F.xxhash64("doc", "part"))  # settled triples pass through the same exchange
-    dealt = found.withColumn("spread", spread).repartition("spread").drop("spread").sortWithinPartitions("key", "doc", "part")
+    dealt = found.repartition(spread).sortWithinPartitions("key", "doc", "part")
     return in_arrow(dealt, judge, FOUND_TYPE).groupBy("doc", "part").agg(F.collect_set("keys").alias("keys"))
 
 

@@ -87,8 +87,10 @@ def strip_accents(c: Column) -> Column:
 def name_key(c: Column) -> Column:
     """Canonical equality key: trailing spaces ignored, case-insensitive,
     accent-insensitive (the behaviour of the reference's default
-    collation). A plain string, so it also works as streaming state key."""
-    return strip_accents(F.lower(F.rtrim(c)))
+    collation). A plain string, so it also works as streaming state key.
+    ASCII text, which has as many bytes as characters, has no accents to look for."""
+    key = F.lower(F.rtrim(c))
+    return F.when(F.octet_length(c) == F.char_length(c), key).otherwise(strip_accents(key))
 
 
 def within_width(c: Column, width: int) -> Column:

@@ -77,8 +77,7 @@ def apply(store: Buckets, film_items: DataFrame, credit_items: DataFrame, source
         credits = keep(clean.clean_credit_items(credit_items), "credits-clean")
         changed = _merge_movies(store, old, new, films, credits, keep)
         _merge_dimensions(store, old, new, credits, keep)
-        changes = keep(_merge_bridges(store, old, new, credits, changed, keep), "credit-changes")
-        _maintain(store, old, new, changes, keep)
+        _maintain(store, old, new, _merge_bridges(store, old, new, credits, changed, keep), keep)
         store.append(new, "rejects", REJECTS, clean.rejects(films, credits))
         if refresh:
             new["reports"] = {}
@@ -155,32 +154,52 @@ def _merge_dimensions(store: Buckets, old: dict, new: dict, credits: DataFrame,
 
 
 def _merge_bridges(store: Buckets, old: dict, new: dict, credits: DataFrame, changed: DataFrame, keep) -> DataFrame:
-    """Writes bridges. Returns what entities lose and gain: kind, entity_key,
-    movie_key, release_year, box_office, sign."""
-    key = ["kind", "entity_key", "movie_key"]
-    pairs = keep(model.accepted_pairs(credits), "pairs")
-    buckets = store.touched("bridges", pairs)
-    held = store.read(old, "bridges", buckets)
-    added = keep(pairs.join(held, key, "left_anti"), "pairs-new")
-    store.write(new, "bridges", held.unionByName(added), buckets)
-    moved = keep(changed.where(~(F.col("box_office").eqNullSafe(F.col("old_box_office")) & F.col("year").eqNullSafe(F.col("old_year")))),
-                 "films-changed")
-    before = store.read(old, "bridges", store.touched("bridges", moved)).join(moved, "movie_key")
-    gains = before.unionByName(added.join(changed, "movie_key"))
-
-    def signed(rows: DataFrame, year: str, value: str, sign: int) -> DataFrame:
-        return rows.where(F.col(value).isNotNull()).select(*key, F.col(year).alias("release_year"), F.col(value).alias("box_office"),
-                                                           F.lit(sign).alias("sign"))
-
-    return signed(before, "old_year", "old_box_office", -1).unionByName(signed(gains, "year", "box_office", 1))
-
-
-def _maintain(store: Buckets, old: dict, new: dict, changes: DataFrame, keep) -> None:
+    """Writes bridges. Returns the pairs whose film's value changes for their
+    entity: kind, entity_key, movie_key, held (not a new pair), box_office and
+    year, old_box_office and old_year.
+
+    Held and credited pairs meet in one hash aggregation that says which are
+    held; it and the join with the films share one exchange by film. The films'
+    hash stands before the key, so that sorts compare numbers, not texts."""
+    pair, film = ["kind", "entity_key", "movie_key"], [F.xxhash64("movie_key").alias("h"), F.col("movie_key")]
+    moved = ~(F.col("box_office").eqNullSafe(F.col("old_box_office")) & F.col("year").eqNullSafe(F.col("old_year")))
+    films = keep(changed.withColumn("moved", moved), "films-changed")
+    credited = model.credited_pairs(credits)
+    buckets = store.touched("bridges", credited.select("movie_key").unionByName(films.where("moved").select("movie_key")))
+    tagged = (store.read(old, "bridges", buckets).select(*pair, F.lit(True).alias("held"))
+              .unionByName(credited.select(*pair, F.lit(False).alias("held"))))
+    met = (tagged.select(*film, "kind", "entity_key", "held").repartition("h", "movie_key")
+           .groupBy("h", "movie_key", "kind", "entity_key").agg(F.max("held").alias("held")))
+    facts = films.select(*film, "box_office", "year", "old_box_office", "old_year", "moved")
+    pairs = keep(met.join(facts, ["h", "movie_key"]).where("moved or not held").drop("h", "moved"), "pairs-changed")
+    added = pairs.where("not held").select(*pair)
+    buckets = store.touched("bridges", added)
+    if buckets:
+        store.write(new, "bridges", store.read(old, "bridges", buckets).unionByName(added), buckets)
+    return pairs
+
+
+def _maintain(store: Buckets, old: dict, new: dict, pairs: DataFrame, keep) -> None:
     """Writes credited and state."""
     entity, film = ["kind", "entity_key"], ["kind", "entity_key", "movie_key"]
-    buckets = store.touched("state", changes)
-    left = store.read(old, "credited", buckets).join(changes.where("sign < 0").select(*film), film, "left_anti")
-    store.write(new, "credited", left.unionByName(changes.where("sign > 0").drop("sign")), buckets)
+    lost = pairs.where("held and old_box_office is not null").select(
+        *entity, F.col("old_year").alias("release_year"), F.col("old_box_office").alias("box_office"), F.lit(-1).alias("sign"))
+    gained = pairs.where("box_office is not null").select(*entity, F.col("year").alias("release_year"), "box_office", F.lit(1).alias("sign"))
+    changes = lost.unionByName(gained)
+    buckets = store.touched("state", pairs.where("box_office is not null or (held and old_box_office is not null)"))
+    if not buckets:
+        return
+    # an entity's film has one held row and one changed pair at most: the pair stands, without a value it drops the row
+    stands = pairs.where("held or box_office is not null").select(*film, F.col("year").alias("release_year"), "box_office")
+    if {str(b) for b in buckets} & old["tables"].get("credited", {}).keys():
+        values, is_changed = ["release_year", "box_office"], F.col("changed")
+        rows = (store.read(old, "credited", buckets).select(*film, *values, F.lit(False).alias("changed"))
+                .unionByName(stands.select("*", F.lit(True).alias("changed"))))
+        stands = rows.groupBy(*film).agg(
+            F.max("changed").alias("changed"), *[F.max(F.when(~is_changed, F.col(c))).alias(f"held_{c}") for c in values],
+            *[F.max(F.when(is_changed, F.col(c))).alias(f"new_{c}") for c in values]).select(
+            *film, *[F.when(is_changed, F.col(f"new_{c}")).otherwise(F.col(f"held_{c}")).alias(c) for c in values])
+    store.write(new, "credited", stands.where("box_office is not null"), buckets)
 
     # a null year is a year of its own: groups are keyed by it with -1 in its place
     year = F.coalesce("release_year", F.lit(-1)).alias("year")

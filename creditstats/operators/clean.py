@@ -36,7 +36,8 @@ FILM_ROW_KEPT = (NAME_TOO_LONG, OUT_OF_DOMAIN)
 
 def clean_film_items(films: DataFrame) -> DataFrame:
     """schema.FILM_ITEMS -> seq, page_id, film, movie_key, budget,
-    box_office (decimal(12,6) millions), release_date (date), reason, raw."""
+    box_office (decimal(12,6) millions), release_date (date), reason, and of
+    items with a reason the raw texts as JSON."""
     staged = dates.with_release_date(films, "release_date", "__date_text", "__date_reason")
     staged = staged.withColumn("__date", dates.to_date_checked(F.col("__date_text")))
     staged = money.with_money(staged, "budget", "__budget", "__budget_bad")
@@ -50,14 +51,20 @@ def clean_film_items(films: DataFrame) -> DataFrame:
         .when(~text.within_width(film, text.NAME_WIDTH["movie"]), F.lit(FILM_TOO_LONG))
         .when(domain_bad, F.lit(OUT_OF_DOMAIN))
     )
-    return staged.select(
+    texts = ("budget", "box_office", "release_date")
+    cleaned = staged.select(
         "seq", "page_id", "film",
         text.name_key(film).alias("movie_key"),
+        F.col("__budget"), F.col("__box"), F.col("__date"), *texts,
+        reason.alias("reason"),
+    )
+    return cleaned.select(
+        "seq", "page_id", "film", "movie_key",
         F.col("__budget").alias("budget"),
         F.col("__box").alias("box_office"),
         F.col("__date").alias("release_date"),
-        reason.alias("reason"),
-        F.to_json(F.struct("film", "budget", "box_office", "release_date")).alias("raw"),
+        "reason",
+        F.when(F.col("reason").isNotNull(), F.to_json(F.struct("film", *texts))).alias("raw"),
     )
 
 
@@ -68,7 +75,7 @@ def _width(kind):
 
 def clean_credit_items(credits: DataFrame) -> DataFrame:
     """schema.CREDIT_ITEMS -> seq, page_id, kind, film, movie_key, value,
-    entity_key, reason, raw."""
+    entity_key, reason, and of items with a reason the raw texts as JSON."""
     staged = credits.withColumn("__value", text.strip_leading_punct(F.col("value")))
     film, raw_value, value, kind = F.col("film"), F.col("value"), F.col("__value"), F.col("kind")
     reason = (
@@ -77,13 +84,18 @@ def clean_credit_items(credits: DataFrame) -> DataFrame:
         .when(~text.within_width(film, text.NAME_WIDTH["movie"]), F.lit(FILM_TOO_LONG))
         .when(F.char_length(value) > _width(kind), F.lit(NAME_TOO_LONG))
     )
-    return staged.select(
+    cleaned = staged.select(
         "seq", "page_id", "kind", "film",
         text.name_key(film).alias("movie_key"),
-        value.alias("value"),
+        "__value", "value",
         text.name_key(value).alias("entity_key"),
         reason.alias("reason"),
-        F.to_json(F.struct("film", "value")).alias("raw"),
+    )
+    return cleaned.select(
+        "seq", "page_id", "kind", "film", "movie_key",
+        F.col("__value").alias("value"),
+        "entity_key", "reason",
+        F.when(F.col("reason").isNotNull(), F.to_json(F.struct("film", "value"))).alias("raw"),
     )
 
 

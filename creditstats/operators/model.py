@@ -97,9 +97,14 @@ def build_dimensions(credits_clean: DataFrame) -> DataFrame:
     return entity_names(credits_clean).select("kind", F.xxhash64("kind", "entity_key").alias("entity_id"), "entity_key", "entity")
 
 
+def credited_pairs(credits_clean: DataFrame) -> DataFrame:
+    """The pair of every accepted credit: kind, entity_key, movie_key."""
+    return _accepted(credits_clean).select("kind", "entity_key", "movie_key")
+
+
 def accepted_pairs(credits_clean: DataFrame) -> DataFrame:
     """Distinct credited pairs: kind, entity_key, movie_key."""
-    return _accepted(credits_clean).select("kind", "entity_key", "movie_key").distinct()
+    return credited_pairs(credits_clean).distinct()
 
 
 def with_ids(pairs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..incremental import star_store
 from ..incremental.buckets import Buckets
+from ..operators.partitioning import materialize
 from ..schema import CREDIT_ITEMS, FILM_ITEMS
 from ..session import ensure_checkpoint_dir
 from ..streaming import star_stream
@@ -28,8 +29,11 @@ def _loaded_in_parts(spark: SparkSession, sf_dir: str) -> Buckets:
     """All items of the driver tables, loaded as a log in two steps: first
     the older half of the orders' items, then the whole log again, of which
     only the rest is behind the recorded position. Before both, every film
-    came with other facts, which the later items replace."""
+    came with other facts, which the later items replace. The log is written
+    once; each load reads what it needs of it."""
     films, credits = driver_items(spark, sf_dir)
+    films = materialize(films.repartition(spark.sparkContext.defaultParallelism), "log-films")
+    credits = materialize(credits, "log-credits")
     store = star_store.open_store(spark, _folder(spark, "loaded-in-parts"), BUCKETS)
     before = (F.col("seq") - F.lit(str(10 ** 30)).cast("decimal(38,0)")).cast("decimal(38,0)")
     early = films.withColumns({"seq": before, "box_office": F.lit("$999,999 million"), "release_date": F.lit("1950")})

@@ -145,3 +145,22 @@ def test_reads_stay_flat_over_many_changes(spark):
     m = store.manifest()
     assert len(m["tables"]["bridges"]) <= 2 and store.read(m, "bridges").count() == 2
     assert len(m["logs"]["rejects"]) <= 5 and store.read_log(m, "rejects", schema).count() == 40
+
+
+def test_changed_facts_do_not_rewrite_bridges(spark):
+    """Loads that bring no new pair leave the bridges' files as they are; a
+    film that loses its box office leaves its entities' films and state."""
+    store = star_store.open_store(spark, _folder(), 4)
+    films = [(k, f"Film {k}", f"${k + 1} million", "2005") for k in range(12)]
+    credits = [(100 + k, f"Film {k}", kind, f"Name {k % 3}") for k in range(12) for kind in ("actor", "prod_co")]
+    credits = [(100 + i, *c[1:]) for i, c in enumerate(credits)]
+    assert star_store.load_new(store, *_items(spark, films, credits))
+    first = store.manifest()
+    changed = [(200 + k, f"Film {k}", None if k % 4 == 0 else f"${k + 5} million", "2006") for k in range(12)]
+    again = [(300 + i, *c[1:]) for i, c in enumerate(credits)]
+    assert star_store.load_new(store, *_items(spark, films + changed, credits + again))
+    second = store.manifest()
+    assert second["tables"]["bridges"] == first["tables"]["bridges"]
+    assert second["tables"]["credited"] != first["tables"]["credited"]
+    _same(spark, store, films + changed, credits + again)
+    assert store.read(second, "credited").count() == 18

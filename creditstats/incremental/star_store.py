@@ -171,7 +171,8 @@ def _merge_bridges(store: Buckets, old: dict, new: dict, credits: DataFrame, cha
     met = (tagged.select(*film, "kind", "entity_key", "held").repartition("h", "movie_key")
            .groupBy("h", "movie_key", "kind", "entity_key").agg(F.max("held").alias("held")))
     facts = films.select(*film, "box_office", "year", "old_box_office", "old_year", "moved")
-    pairs = keep(met.join(facts, ["h", "movie_key"]).where("moved or not held").drop("h", "moved"), "pairs-changed")
+    # left: a new pair is kept whose film has no row yet (its credit had no seq)
+    pairs = keep(met.join(facts, ["h", "movie_key"], "left").where("moved or not held").drop("h", "moved"), "pairs-changed")
     added = pairs.where("not held").select(*pair)
     buckets = store.touched("bridges", added)
     if buckets:

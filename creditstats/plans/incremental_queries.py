@@ -3,11 +3,13 @@ over whole driver tables, with their DuckDB oracles."""
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..incremental import star_store
 from ..incremental.buckets import Buckets
@@ -19,6 +21,8 @@ from . import oracle_sql
 from .driver_items import driver_items
 
 BUCKETS = 8
+STREAM_BATCHES = 2
+ITEMS_PER_FILE = 2_000_000  # the most on average; a task writes one file
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -64,15 +68,20 @@ def dense_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(store.manifest(), "movies").select("movie_id", "movie", "box_office", "release_date")
 
 
+def _streamed(items: DataFrame, schema: StructType, path: str) -> DataFrame:
+    """The items as a stream of files in STREAM_BATCHES micro-batches. The
+    files of a batch grow in number with the items, not in size."""
+    files = max(1, math.ceil(items.count() / STREAM_BATCHES / ITEMS_PER_FILE))
+    items.repartition(STREAM_BATCHES * files).write.parquet(path)
+    return items.sparkSession.readStream.option("maxFilesPerTrigger", files).schema(schema).parquet(path)
+
+
 def stream_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items as files, streamed in several micro-batches; the
     directors' report and the production companies' rollup after the last."""
     films, credits = driver_items(spark, sf_dir)
     root = _folder(spark, "streamed")
-    films.repartition(2).write.parquet(f"{root}/films")
-    credits.repartition(2).write.parquet(f"{root}/credits")
-    read = spark.readStream.option("maxFilesPerTrigger", 1)
-    query = star_stream.start(read.schema(FILM_ITEMS).parquet(f"{root}/films"), read.schema(CREDIT_ITEMS).parquet(f"{root}/credits"),
+    query = star_stream.start(_streamed(films, FILM_ITEMS, f"{root}/films"), _streamed(credits, CREDIT_ITEMS, f"{root}/credits"),
                               f"{root}/star", f"{root}/checkpoint", buckets=BUCKETS)
     query.awaitTermination()
     found = star_stream.read_reports(spark, f"{root}/star")

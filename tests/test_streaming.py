@@ -50,3 +50,19 @@ def test_stream_equals_batch(spark):
 def test_empty_before_the_first_batch(spark):
     star = star_stream.read_star(spark, tempfile.mkdtemp(prefix="cs-none-"))
     assert [df.count() for df in (star.movies, star.dimensions, star.bridges, star.rejects)] == [0, 0, 0, 0]
+
+
+def test_files_of_a_batch_grow_in_number(spark, monkeypatch):
+    """A task writes and reads a bounded share of the items, however many."""
+    import glob
+    import math
+
+    from creditstats.plans import incremental_queries as Q
+
+    films, _ = driver_items(spark, SF001)
+    monkeypatch.setattr(Q, "ITEMS_PER_FILE", 200)
+    path = tempfile.mkdtemp(prefix="cs-files-") + "/films"
+    Q._streamed(films, FILM_ITEMS, path)
+    files = glob.glob(f"{path}/*.parquet")
+    assert len(files) == Q.STREAM_BATCHES * math.ceil(films.count() / Q.STREAM_BATCHES / 200) > Q.STREAM_BATCHES
+    assert max(spark.read.parquet(f).count() for f in files) <= 250

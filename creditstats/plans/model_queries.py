@@ -136,7 +136,7 @@ def film_latest_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_cast_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cast as names, through the ids of the built tables."""
-    tables = star.tables_of(star.build_star(*driver_items(spark, sf_dir)))
+    tables = star.tables_of(star.build_star(*driver_items(spark, sf_dir), materialize_cleaned=True))
     return (tables["castlist"].join(tables["movies"], "movie_id").join(tables["actors"], "actor_id").select("movie", "actor"))
 
 

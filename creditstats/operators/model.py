@@ -80,9 +80,13 @@ def _accepted(credits_clean: DataFrame) -> DataFrame:
 
 def build_spellings(credits_clean: DataFrame) -> DataFrame:
     """Credited pairs by spelling: kind, movie_key, entity_key, value, and
-    the smallest seq."""
-    return (_accepted(credits_clean).groupBy("kind", "movie_key", "entity_key", "value")
-            .agg(F.min("seq").alias("seq")))
+    the smallest seq. They are dealt by film once, for this aggregation, that
+    of the pairs and the join with the films. An accepted credit has both keys:
+    the filter says so, as a join on one would say it in its own branch only,
+    which then could not share the exchange."""
+    kept = _accepted(credits_clean).where("movie_key is not null and entity_key is not null")
+    return (kept.select("kind", "movie_key", "entity_key", "value", "seq").repartition("movie_key")
+            .groupBy("kind", "movie_key", "entity_key", "value").agg(F.min("seq").alias("seq")))
 
 
 def entity_names(credits_clean: DataFrame) -> DataFrame:

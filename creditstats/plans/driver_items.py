@@ -20,10 +20,12 @@ credits in line order.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, MOVIE, PROD_CO, item_seq
+from ..schema import ACTOR, CHILD_KINDS, DIRECTOR, DISTRIBUTOR, MOVIE, PROD_CO, item_seq
 from ..sources.tables import table
 
 KIND_INDEX = {MOVIE: 0, ACTOR: 1, DIRECTOR: 2, DISTRIBUTOR: 3, PROD_CO: 4}
@@ -88,9 +90,10 @@ def _credit(seq: Column, film: Column, kind: str, value: Column) -> list[Column]
     ]
 
 
-def driver_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def driver_items(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = CHILD_KINDS) -> tuple[DataFrame, DataFrame]:
     """(film items, credit items) (schema.FILM_ITEMS, schema.CREDIT_ITEMS)
-    over whole driver tables."""
+    over whole driver tables. Of other kinds than `kinds` no credit item is
+    rendered: a filter on kind would come after the rendering of all."""
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                           "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer", "c_custkey", "c_name")
@@ -125,10 +128,10 @@ def driver_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     prod = (F.when(p_size <= 3, F.concat(F.lit("("), p_name, F.lit(")")))
             .when(p_size <= 6, F.concat(F.lit(", "), p_name))
             .otherwise(p_name))
-    credit_rows = F.array(
-        F.struct(*_credit(order_seq(key, line, ACTOR), lfilm, ACTOR, _varied_case(F.col("s_name"), line))),
-        F.struct(*_credit(order_seq(key, line, DISTRIBUTOR), lfilm, DISTRIBUTOR, _varied_case(F.col("n_name"), line))),
-        F.struct(*_credit(order_seq(key, line, PROD_CO), lfilm, PROD_CO, prod)),
-    )
-    credits = lines.select(F.explode(credit_rows).alias("i")).select("i.*")
-    return films, directors.unionByName(credits)
+    values = {ACTOR: _varied_case(F.col("s_name"), line), DISTRIBUTOR: _varied_case(F.col("n_name"), line), PROD_CO: prod}
+    of_line = [_credit(order_seq(key, line, kind), lfilm, kind, value) for kind, value in values.items() if kind in kinds]
+    if len(of_line) == 1:
+        credits = [lines.select(*of_line[0])]
+    else:
+        credits = [lines.select(F.explode(F.array(*[F.struct(*c) for c in of_line])).alias("i")).select("i.*")] if of_line else []
+    return films, reduce(DataFrame.unionByName, [directors] * (DIRECTOR in kinds) + credits)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import reports
 from ..operators.ordering import row_number_global
+from ..schema import ACTOR, DIRECTOR, DISTRIBUTOR, PROD_CO
 from ..sinks.csv_report import ENTITY_HEADERS
 from ..sources.tables import table
 from . import roles, star
@@ -96,24 +97,25 @@ def bridge_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- end to end: driver items -> cleaning -> star schema -> R1..R4 ---------
 
-def _star(spark: SparkSession, sf_dir: str) -> star.Star:
-    return star.build_star(*driver_items(spark, sf_dir))
+def _star(spark: SparkSession, sf_dir: str, kind: str) -> star.Star:
+    """The lazy star whose credits are those a report reads, of one kind."""
+    return star.build_star(*driver_items(spark, sf_dir, (kind,)))
 
 
 def film_actor_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.actor_report(_star(spark, sf_dir))
+    return star.actor_report(_star(spark, sf_dir, ACTOR))
 
 
 def film_director_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.director_report(_star(spark, sf_dir))
+    return star.director_report(_star(spark, sf_dir, DIRECTOR))
 
 
 def film_distributor_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.distributor_report(_star(spark, sf_dir))
+    return star.distributor_report(_star(spark, sf_dir, DISTRIBUTOR))
 
 
 def film_prodco_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.prodco_report(_star(spark, sf_dir))
+    return star.prodco_report(_star(spark, sf_dir, PROD_CO))
 
 
 REGISTRY = {

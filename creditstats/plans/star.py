@@ -82,22 +82,28 @@ def tables_of(star: Star) -> dict[str, DataFrame]:
 
 
 def stored(star: Star) -> Star:
-    """The star with films, dimensions and bridges written once."""
+    """The star with films, dimensions and bridges (their kind and ids) written once."""
     return Star(materialize(star.movies, "star-movies"), materialize(star.dimensions, "star-dimensions"),
-                materialize(star.bridges, "star-bridges"), star.rejects)
+                materialize(star.bridges.select("kind", "movie_id", "entity_id"), "star-bridges"), star.rejects)
 
 
 def check_star(star: Star) -> DataFrame:
     """L12 on the built tables: check, n_bad. UNIQUE and FOREIGN KEY per
     table, and surrogate ids shared by different keys.
 
-    One pass: every row of a table gives one tagged key per check it takes
-    part in, and one aggregation of fixed-width state over (check, key)
-    decides all: a key held twice, a child without parent, an id with two
-    different key hashes."""
-    def tag(rule: str, name: Column, key: Column, parent: int = 0, child: int = 0, h: Column | None = None) -> Column:
-        return F.struct(F.lit(rule).alias("rule"), name.alias("check"), key.cast("string").alias("key"), F.lit(parent).alias("parent"),
-                        F.lit(child).alias("child"), (F.lit(None).cast("bigint") if h is None else h).alias("h"))
+    Bridges and films meet by film id, dealt once: pairs held twice, ids held
+    twice, ids with two different key hashes, and children without a film.
+    Bridges, counted by entity id before they move, meet the dimensions alike.
+    What moves of a bridge row is its kind and its ids."""
+    salt = F.lit("other hash than the id's")
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+
+    def n(cond: Column, value: Column | None = None) -> Column:
+        """How many rows meet the condition, or the sum of their values."""
+        return F.coalesce(F.sum(F.when(cond, F.lit(1) if value is None else value)), zero).cast("bigint")
+
+    def listed_as(rows: DataFrame, *checks: tuple[Column, str]) -> DataFrame:
+        return rows.select(F.explode(F.array(*[F.struct(name.alias("check"), F.col(c).alias("n_bad")) for name, c in checks])).alias("c")).select("c.*")
 
     def named(pattern: str) -> Column:
         """The check's name by kind."""
@@ -106,29 +112,34 @@ def check_star(star: Star) -> DataFrame:
             out = F.when(F.col("kind") == kind, pattern.format(dim=dim, id=id_col, name=name_col, bridge=bridge)).otherwise(out)
         return out
 
-    salt = F.lit("other hash than the id's")
-    movie_id, entity_id = F.col("movie_id"), F.col("entity_id")
+    collides = F.col("low") != F.col("high")
+    hashes = [F.min("h").alias("low"), F.max("h").alias("high")]
+    by_film = star.movies.select("movie_id", F.lit(None).cast("string").alias("kind"), none.alias("entity_id"), F.xxhash64(salt, "movie_key").alias("h"))
+    by_film = by_film.unionByName(star.bridges.select("movie_id", "kind", "entity_id", none.alias("h"))).repartition("movie_id")
+    pairs = by_film.groupBy("movie_id", "kind", "entity_id").agg(F.count("*").alias("n"), *hashes)
+    of_kind = [(k, F.col("kind") == kind) for k, kind in enumerate(TABLES)]
+    films = pairs.groupBy("movie_id").agg(
+        n(F.col("kind").isNull(), F.col("n")).alias("parents"), F.min("low").alias("low"), F.max("high").alias("high"),
+        *[n(held, F.col("n")).alias(f"children_{k}") for k, held in of_kind], *[n(held & (F.col("n") > 1)).alias(f"twice_{k}") for k, held in of_kind])
+    films = films.agg(n(F.col("parents") > 1).alias("ids"), n(collides).alias("collisions"),
+                      *[n(F.col("parents") == 0, F.col(f"children_{k}")).alias(f"orphans_{k}") for k, _ in of_kind],
+                      *[F.coalesce(F.sum(f"twice_{k}"), zero).alias(f"twice_{k}") for k, _ in of_kind])
     bridges = [t[3] for t in TABLES.values()]
-    rows = [
-        star.movies.select(F.explode(F.array(
-            tag("unique", F.lit("movies.movie_id unique"), movie_id, 1), tag("unique", F.lit("movies.movie unique"), F.col("movie"), 1),
-            tag("collision", F.lit("movies.movie_id collisions"), movie_id, h=F.xxhash64(salt, "movie_key")),
-            *[tag("orphan", F.lit(f"{b} -> movies"), movie_id, parent=1) for b in bridges])).alias("t")),
-        star.dimensions.select(F.explode(F.array(
-            tag("unique", named("{dim}.{id} unique"), entity_id, 1), tag("unique", named("{dim}.{name} unique"), F.col("entity"), 1),
-            tag("collision", F.lit("entity_id collisions"), F.concat_ws(" ", "kind", entity_id.cast("string")), h=F.xxhash64(salt, "entity_key")),
-            tag("orphan", named("{bridge} -> {dim}"), entity_id, parent=1))).alias("t")),
-        star.bridges.select(F.explode(F.array(
-            tag("unique", named("{bridge} pairs unique"), F.concat_ws(" ", movie_id.cast("string"), entity_id.cast("string")), 1),
-            tag("orphan", named("{bridge} -> movies"), movie_id, child=1),
-            tag("orphan", named("{bridge} -> {dim}"), entity_id, child=1))).alias("t"))]
-    tags = reduce(DataFrame.unionByName, rows).select("t.*")
-    by_key = tags.groupBy("rule", "check", "key").agg(F.sum("parent").alias("parent"), F.sum("child").alias("child"),
-                                                      F.min("h").alias("low"), F.max("h").alias("high"))
-    bad = (F.when(F.col("rule") == "unique", F.col("parent") > 1).when(F.col("rule") == "collision", F.col("low") != F.col("high"))
-           .cast("bigint"))
-    orphans = F.when((F.col("rule") == "orphan") & (F.col("parent") == 0), F.col("child"))
-    counted = by_key.groupBy("check").agg(F.sum(F.coalesce(bad, orphans, F.lit(0).cast("bigint"))).alias("n_bad"))
+    titles = star.movies.groupBy("movie").count().agg(n(F.col("count") > 1).alias("titles"))
+
+    by_entity = star.dimensions.select("kind", "entity_id", F.lit(1).alias("parent"), F.lit(0).alias("child"), F.xxhash64(salt, "entity_key").alias("h"))
+    by_entity = by_entity.unionByName(star.bridges.select("kind", "entity_id", F.lit(0).alias("parent"), F.lit(1).alias("child"), none.alias("h")))
+    entities = by_entity.groupBy("kind", "entity_id").agg(F.sum("parent").alias("parents"), F.sum("child").alias("children"), *hashes)
+    entities = entities.groupBy("kind").agg(n(F.col("parents") > 1).alias("ids"), n(collides).alias("collisions"),
+                                            n(F.col("parents") == 0, F.col("children")).alias("orphans"))
+    names = star.dimensions.groupBy("kind", "entity").count().groupBy("kind").agg(n(F.col("count") > 1).alias("names"))
+    counted = reduce(DataFrame.unionByName, [
+        listed_as(films, (F.lit("movies.movie_id unique"), "ids"), (F.lit("movies.movie_id collisions"), "collisions"),
+                  *[(F.lit(f"{b} -> movies"), f"orphans_{k}") for k, b in enumerate(bridges)],
+                  *[(F.lit(f"{b} pairs unique"), f"twice_{k}") for k, b in enumerate(bridges)]),
+        listed_as(titles, (F.lit("movies.movie unique"), "titles")),
+        listed_as(entities, (named("{dim}.{id} unique"), "ids"), (F.lit("entity_id collisions"), "collisions"), (named("{bridge} -> {dim}"), "orphans")),
+        listed_as(names, (named("{dim}.{name} unique"), "names"))]).groupBy("check").agg(F.sum("n_bad").alias("n_bad"))
     # a check of an empty table has no keys: it is listed with none bad
     listed = ["movies.movie_id unique", "movies.movie unique", "movies.movie_id collisions", "entity_id collisions"]
     for dim, id_col, name_col, bridge in TABLES.values():

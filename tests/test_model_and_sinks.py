@@ -168,3 +168,37 @@ def test_plan_guard_rails(spark):
     phys = qs["entity_stats"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in phys
     assert "IsNotNull(o_totalprice)" in phys
+
+
+def test_checks_find_planted_faults(spark):
+    """One fault of every rule; of a bridge row only its kind and ids are stored."""
+    from creditstats.plans import star as S
+
+    movies = spark.createDataFrame([(1, "a", "A"), (1, "b", "B"), (2, "c", "C"), (3, "d", "C")], "movie_id long, movie_key string, movie string")
+    dims = spark.createDataFrame([("actor", 1, "x", "X"), ("actor", 1, "y", "Y"), ("actor", 2, "z", "X"), ("director", 1, "x", "X")],
+                                 "kind string, entity_id long, entity_key string, entity string")
+    bridges = spark.createDataFrame([("actor", 1, 1, "a", "x"), ("actor", 1, 1, "a", "x"), ("actor", 9, 2, "n", "z"), ("actor", 9, 1, "n", "x"),
+                                     ("director", 2, 7, "c", "q")], "kind string, movie_id long, entity_id long, movie_key string, entity_key string")
+    stored = S.stored(S.Star(movies.withColumns({c: F.lit(None) for c in ("budget", "box_office", "release_date")}).select(
+        "movie_id", "movie_key", "movie", *[F.col(c).cast("string") for c in ("budget", "box_office", "release_date")]), dims, bridges))
+    assert sorted(stored.bridges.columns) == ["entity_id", "kind", "movie_id"]
+    bad = {r.check: r.n_bad for r in S.check_star(stored).collect()}
+    assert len(bad) == 24
+    assert {c: n for c, n in bad.items() if n} == {
+        "movies.movie_id unique": 1, "movies.movie_id collisions": 1, "movies.movie unique": 1, "actors.actor_id unique": 1,
+        "actors.actor unique": 1, "entity_id collisions": 1, "castlist pairs unique": 1, "castlist -> movies": 2,
+        "filmdirectors -> directors": 1}
+
+
+def test_reports_of_one_kind_render_and_clean_it_once(spark):
+    """No other kind's items are rendered, and the credits are read by one
+    exchange that serves statistics and names; the cast reads cleaned items."""
+    from creditstats.plans import model_queries, queries
+
+    df = queries.film_prodco_rollup(spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" not in plan
+    assert "ReusedExchange" in plan
+    cast = model_queries.star_cast_by_id(spark, SF001)
+    assert "lineitem" not in "".join(cast.inputFiles())

@@ -18,15 +18,20 @@ tokens into groups; the two tokens that end at a cut are linked.
    white space follows something else, B at a single space between others. The
    two places may differ, which leaves tokens open. Chunks of one text are
    composed by a tree of FAN neighbours a round; only open tokens travel.
-   Shorter texts are one fragment.
+   Shorter texts are composed of units: a unit runs from one single space
+   between others to the next, and both tokenizers cut there, so its groups,
+   digits and links are closed. Of the units of a block of texts each distinct
+   one is aligned once.
 4. The digits of all groups of a text are hashed in their order by a stream
    over its closed parts and seams, so no task holds a long text's groups.
 5. Links are counted over the corpus by id pair. The HOT most common pairs (a
    fixed number) are sent to the tasks, which add them up by text without a
    shuffle; the others are joined by pair. So common pairs crowd no task.
 
-Encoded pieces (a word with the space before it) are remembered in two bounded
-generations per worker; that changes no result.
+Tokens of units are remembered in two bounded generations per worker, and new
+units are encoded RUN at a time as one text, whose tokens must give back its
+bytes and end where the units end; else each is encoded alone. Neither changes
+a result.
 
 Defined results: null and empty texts, and texts whose joined token bytes of A
 or B are not space + text, have no tokens: all counts 0, digest ''; their
@@ -41,8 +46,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import count as counter
 
@@ -54,17 +58,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .bpe import SPACE, Memory, byte_characters
+from .bpe import LONGEST_KEPT, MEMORY, SPACE, byte_characters
 from .common import in_arrow, staged, worker_state
 
 SPLIT = 1 << 15        # characters of a chunk, about
 FAN = 8                # neighbours composed at once
 HOT = 1 << 16          # id pairs sent to all tasks
 OUT_BYTES = 4 << 20
-WRONG = 0xFFFFFFFF     # stands for the tokens of a piece that do not give its bytes back
-A_PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+BLOCK = 1 << 21        # characters of texts aligned together, about
+RUN = 128              # new units encoded as one text
+B_MARK = 1 << 31       # added to packed B ids
 A_CUT = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 B_CUT = re.compile(r"(?<=\S) (?=\S)")
+WHITE = np.array([chr(i).isspace() and i < 128 for i in range(256)])
+WIDE = re.compile(b"|".join(re.escape(c.encode()) for c in map(chr, range(128, 0x3001)) if c.isspace()))  # the other white space
 
 
 # ---- the monoid
@@ -142,13 +149,11 @@ class Digits:
 
     def __init__(self, size: int):
         self.size = size
-        self.text = [b"%d%s" % (i, end) for end in (b",", b"|", b";") for i in range(size)]
+        self.text = pa.array([b"%d%s" % (i, end) for end in (b",", b"|", b";") for i in range(size)], pa.large_binary())
 
-    def of(self, closed: Tokens) -> bytes:
-        """`a1,a2|b1;a3|b2,b3` of tokens that end with a cut."""
+    def parts(self, closed: Tokens) -> pa.LargeBinaryArray:
+        """A token each of `a1,a2|b1;a3|b2,b3;`, of tokens that end with a cut."""
         a_at, b_at = closed.cuts()
-        if not len(a_at):
-            return b""
         a, b = closed.a.copy(), closed.b.copy()
         a[a_at] += self.size
         b[b_at] += 2 * self.size
@@ -159,7 +164,17 @@ class Digits:
         out = np.empty(len(a) + len(b), np.int64)
         out[np.arange(len(a)) + np.concatenate([[0], b_at + 1])[a_group]] = a
         out[np.arange(len(b)) + (a_at + 1)[b_group]] = b
-        return b"".join(map(self.text.__getitem__, out.tolist()))[:-1]
+        return self.text.take(pa.array(out))
+
+    def of(self, closed: Tokens) -> bytes:
+        """`a1,a2|b1;a3|b2,b3` of tokens that end with a cut."""
+        return _content(self.parts(closed))[1][:-1].tobytes() if len(closed.a) else b""
+
+
+def _content(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, memoryview]:
+    """Offsets and bytes of an array that was just made."""
+    _, offsets, data = texts.buffers()
+    return np.frombuffer(offsets, np.int64)[:len(texts) + 1], memoryview(data or b"").cast("B")
 
 
 def linked(closed: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -171,6 +186,71 @@ def linked(closed: Tokens) -> tuple[np.ndarray, np.ndarray]:
 # ---- tokenizers
 
 
+def unit_offsets(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Byte offsets where units begin, those of the texts among them, and the end."""
+    byte = np.frombuffer(data, np.uint8)
+    white = WHITE[byte]
+    for m in WIDE.finditer(data):
+        white[m.start():m.end()] = True
+    at = np.flatnonzero(byte[1:-1] == 32) + 1
+    begins = np.zeros(len(byte) + 1, bool)
+    begins[at[~(white[at - 1] | white[at + 1])]] = True
+    begins[starts] = begins[-1] = True
+    return np.flatnonzero(begins)
+
+
+def distinct(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The number of each unit's text, and the texts."""
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    coded = units.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def places(size: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Where the items of lists `number` are among those of all lists, which have `size` items."""
+    n = size[number]
+    return np.repeat((np.cumsum(size) - size)[number] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+class Side:
+    """One tokenizer. `encode` gives ids of a text that begins with white space; `mark` is put on them."""
+
+    def __init__(self, encode: Callable[[str], list[int]], token_bytes: list[bytes], mark: int):
+        self.encode, self.bytes, self.mark = encode, token_bytes, mark
+        self.length = np.array([len(t) for t in token_bytes], np.int64)
+
+    def ids(self, units: list[bytes]) -> list[bytes]:
+        """Packed ids of units; none for a unit whose tokens do not give its bytes back."""
+        return [x for at in range(0, len(units), RUN) for x in self._run(units[at:at + RUN])]
+
+    def _run(self, units: list[bytes]) -> list[bytes]:
+        """All as one text: merges never cross a place that no token crosses
+        in the end, so a unit between two such places has its own tokens."""
+        data = b"".join(units)
+        ids = self.encode(data.decode())
+        if b"".join(map(self.bytes.__getitem__, ids)) == data:
+            ids = np.array(ids, np.uint32)
+            ends, unit_ends = np.cumsum(self.length[ids]), np.cumsum(list(map(len, units)))
+            last = np.searchsorted(ends, unit_ends)
+            if (ends[last] == unit_ends).all():
+                packed, to = (ids | np.uint32(self.mark)).tobytes(), (4 * (last + 1)).tolist()
+                return [packed[x:y] for x, y in zip([0, *to], to)]
+        return [x for u in units for x in self._run([u])] if len(units) > 1 else [b""]
+
+
+@dataclass
+class Aligned:
+    """What is known of whole texts; `pairs` are the linked id pairs text after
+    text, `times` how often each is linked in its text."""
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    sha: list[str]
+    n_pairs: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+
+
 class Pair:
     """Both tokenizers of a worker."""
 
@@ -179,46 +259,103 @@ class Pair:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_spec)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        a = Tokenizer.from_str(a_spec)
+        a.encode_special_tokens = True
+        a.no_truncation()
+        a.no_padding()
+        b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         byte_of = {c: b for b, c in enumerate(byte_characters())}
-        a_size, b_size = self.a.get_vocab_size(), self.b.get_piece_size()
-        self.a_bytes = [b""] * a_size
-        for t, i in self.a.get_vocab().items():
-            self.a_bytes[i] = bytes(map(byte_of.__getitem__, t)) if all(c in byte_of for c in t) else t.encode()
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(map(self.b.id_to_piece, range(b_size)))]
-        self.a_length, self.b_length = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
+        a_size, b_size = a.get_vocab_size(), b.get_piece_size()
+        a_bytes = [b""] * a_size
+        for t, i in a.get_vocab().items():
+            a_bytes[i] = bytes(map(byte_of.__getitem__, t)) if all(c in byte_of for c in t) else t.encode()
+        b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+                   for i, p in enumerate(map(b.id_to_piece, range(b_size)))]
         self.digits = Digits(max(a_size, b_size))
-        self.a_known, self.b_known = Memory(self._a_piece), Memory(self._b_piece)
-
-    def _a_piece(self, piece: str) -> bytes:
-        ids = self.a.encode(piece, add_special_tokens=False).ids
-        same = b"".join(map(self.a_bytes.__getitem__, ids)) == piece.encode()
-        return array("I", ids if same else [WRONG]).tobytes()
-
-    def _b_piece(self, piece: str) -> bytes:
-        """Ids of a space and the piece."""
-        ids = self.b.encode(piece)
-        same = b"".join(map(self.b_bytes.__getitem__, ids)) == b" " + piece.encode()
-        return array("I", ids if same else [WRONG]).tobytes()
+        self.a = Side(lambda text: a.encode_batch_fast([text], add_special_tokens=False)[0].ids, a_bytes, 0)
+        self.b = Side(lambda text: b.encode(text[1:]), b_bytes, B_MARK)  # which adds a space
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct units -> their A ids one after the other and how many each
+        has, the same of B. A unit that a side loses bytes of has no ids there."""
+        got = list(map(self.new.get, units))
+        asked = [i for i, x in enumerate(got) if x is None]
+        for i in asked:
+            got[i] = self.old.get(units[i])
+        fresh = [i for i in asked if got[i] is None]
+        made = [units[i] for i in fresh]
+        for i, a, b in zip(fresh, self.a.ids(made), self.b.ids(made)):
+            got[i] = a + b
+        if len(self.new) >= MEMORY:
+            self.old, self.new = self.new, {}
+        self.new |= {units[i]: got[i] for i in asked if len(units[i]) <= LONGEST_KEPT}
+        ids, size = np.frombuffer(b"".join(got), np.uint32), np.array(list(map(len, got)), np.int64) // 4
+        of_b = ids >= B_MARK
+        n_b = np.bincount(np.repeat(np.arange(len(units)), size)[of_b], minlength=len(units))
+        return ids[~of_b].astype(np.int64), size - n_b, (ids[of_b] - np.uint32(B_MARK)).astype(np.int64), n_b
+
+    def _part(self, part: str) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """A ids and B ids of a part of a text; None for a side that loses bytes."""
+        data = part.encode()
+        number, units = distinct(data, unit_offsets(data, np.zeros(min(len(data), 1), np.int64)))
+        a, n_a, b, n_b = self.ids(units)
+        return tuple(ids[places(n, number)] if n.all() else None for ids, n in ((a, n_a), (b, n_b)))
 
     def tokens(self, a_part: str, a_from: int, b_part: str, b_from: int) -> Tokens | None:
         """Tokens of the A part and of the B part (which begins with a space),
         from their byte offsets on; None if bytes are lost."""
-        a = np.frombuffer(b"".join(map(self.a_known.__getitem__, A_PIECES.findall(a_part))), np.uint32).astype(np.int64)
-        pieces = B_CUT.split(b_part[1:]) if b_part else []
-        b = np.frombuffer(b"".join(map(self.b_known.__getitem__, pieces)), np.uint32).astype(np.int64)
-        if (a == WRONG).any() or (b == WRONG).any():
+        a, b = self._part(a_part)
+        if a_part != b_part:
+            _, b = self._part(b_part)
+        if a is None or b is None:
             return None
-        return Tokens(a, a_from + np.cumsum(self.a_length[a]), b, b_from + np.cumsum(self.b_length[b]))
+        return Tokens(a, a_from + np.cumsum(self.a.length[a]), b, b_from + np.cumsum(self.b.length[b]))
+
+    def texts(self, texts: list[str | None]) -> Aligned:
+        """Whole texts, by their units."""
+        data = [(" " + t).encode() if t else b"" for t in texts]
+        end = np.cumsum([len(x) for x in data])
+        start = np.concatenate([[0], end[:-1]])
+        data = b"".join(data)
+        offsets = unit_offsets(data, start[start < end])
+        number, units = distinct(data, offsets)
+        first, last = np.searchsorted(offsets, start), np.searchsorted(offsets, end)
+
+        def summed(of_unit: np.ndarray) -> np.ndarray:
+            upto = np.concatenate([[0], np.cumsum(of_unit[number])])
+            return upto[last] - upto[first]
+
+        # the distinct units, as if they were one text
+        a, n_a, b, n_b = self.ids(units)
+        lost = (n_a == 0) | (n_b == 0)
+        if lost.any():
+            a, b = (ids[np.repeat(~lost, n)] for ids, n in ((a, n_a), (b, n_b)))
+            n_a, n_b = np.where(lost, 0, n_a), np.where(lost, 0, n_b)
+        tokens = Tokens(a, np.cumsum(self.a.length[a]), b, np.cumsum(self.b.length[b]))
+        a_at, b_at = tokens.cuts()
+        n_groups = np.bincount(np.repeat(np.arange(len(units)), n_a)[a_at], minlength=len(units))
+        pair, of_group = np.unique(tokens.b[b_at] << 32 | tokens.a[a_at], return_inverse=True)
+        good = (start < end) & (summed(lost.astype(np.int64)) == 0)
+
+        ends, digits = _content(self.digits.parts(tokens))
+        ends = ends[np.concatenate([[0], np.cumsum(n_a + n_b)])]
+        ends, digits = _content(pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(units), [None, pa.py_buffer(ends), pa.py_buffer(digits)]).take(pa.array(number)))
+        sha = [hashlib.sha256(digits[ends[x]:ends[y] - 1]).hexdigest() if ok else "" for x, y, ok in zip(first, last, good)]
+
+        link = np.repeat(np.arange(len(texts)), summed(n_groups)) << 32 | of_group[places(n_groups, number)]
+        link = link[good[link >> 32]]
+        link.sort()
+        at = np.flatnonzero(np.diff(link, prepend=-1))
+        return Aligned(*(np.where(good, summed(x), 0) for x in (n_a, n_b, n_groups)), sha,
+                       np.bincount(link[at] >> 32, minlength=len(texts)), pair[link[at] & 0xFFFFFFFF], np.diff(at, append=len(link)))
 
     def rest(self) -> None:
-        self.a_known.rest()
-        self.b_known.rest()
+        """Free the old generation; what a worker keeps between tasks is the
+        newer one."""
+        self.old = {}
 
 
 # ---- in tasks
@@ -256,6 +393,19 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)))
 
 
+def _blocks(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows of about BLOCK characters."""
+    held, size = [], 0
+    for row in texts:
+        held.append(row)
+        size += len(row[1] or "")
+        if size >= BLOCK or len(held) >= 4000:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Aligner:
     """The two tokenizers' files, sent to the tasks: their sizes do not depend on the data."""
 
@@ -272,20 +422,17 @@ class Aligner:
 
     def whole(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """doc_id, text -> WHOLE."""
-        pair, numbers = self.loaded(), _numbers()
-
-        def made() -> Iterator[tuple[tuple, int]]:
-            for doc_id, text in _texts(batches):
-                full = " " + (text or "")
-                tokens = pair.tokens(full, 0, full, 0) if text else None
-                if tokens is None:
-                    yield (2 * next(numbers), doc_id, True, 0, 0, 0, "", [], []), 100
-                    continue
-                digits, (pairs, times) = pair.digits.of(tokens), linked(tokens)
-                yield (2 * next(numbers), doc_id, True, len(tokens.a), len(tokens.b), int(times.sum()),
-                       hashlib.sha256(digits).hexdigest(), pairs, times), 16 * len(pairs) + 100
-
-        yield from _batches(made(), self.schemas[WHOLE])
+        pair, numbers, schema = self.loaded(), _numbers(), self.schemas[WHOLE]
+        for rows in _blocks(_texts(batches)):
+            doc_ids, texts = zip(*rows)
+            made = pair.texts(texts)
+            ends = np.concatenate([[0], np.cumsum(made.n_pairs)]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (made.pairs, made.times)]
+            columns = [[2 * next(numbers) for _ in rows], doc_ids, [True] * len(rows), made.n_a, made.n_b, made.n_groups, made.sha]
+            block = pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(columns, schema)),
+                                                *(x.cast(f.type) for x, f in zip(lists, list(schema)[-2:]))], schema=schema)
+            for at in range(0, len(rows), 250):
+                yield block.slice(at, 250)
         pair.rest()
 
     def cut(self, batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:

@@ -335,6 +335,46 @@ def test_alignment_query(spark, plain):
     assert collected(queries.op11_token_alignment(spark, SF), *ALIGNED) == brute_alignment(plain, rows)
 
 
+def alignment_pair(plain):
+    with open(plain.paths[0], encoding="utf-8") as a, open(plain.paths[1], "rb") as b:
+        return token_alignment.Pair(a.read(), b.read())
+
+
+def test_alignment_encodes_new_words_together(plain, monkeypatch):
+    import sentencepiece
+
+    calls, encode = [], sentencepiece.SentencePieceProcessor.encode
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "encode", lambda *x, **k: calls.append(1) or encode(*x, **k))
+    text = " " + " ".join(f"w{i}ord" for i in range(1000)) + " and" * 500
+    tokens = alignment_pair(plain).tokens(text, 0, text, 0)
+    assert tokens.a_end[-1] == tokens.b_end[-1] == len(text)
+    assert len(calls) < 100  # not one a word
+
+
+ODD = ["a", "word", "é", "don't", "12", "漢字", "Ａ", "ﬁ", "é", "…", "<unk>", "<s>", "<|endoftext|>", "▁", "x▁y", "\x1c", "\x85", "\xa0",
+       "\u2003", "\u3000", "\u2028", "\n", "\t", "\r\n", "´", "\u0301", "\u200b", "🙂", "\x00", "", ".", "ACGT"]
+
+
+def test_alignment_of_units(plain, monkeypatch):
+    """Texts aligned together by their units against each alone as a whole."""
+    monkeypatch.setattr(token_alignment, "RUN", 5)
+    monkeypatch.setattr(token_alignment, "MEMORY", 40)
+    rng, pair = random.Random(8), alignment_pair(plain)
+    for _ in range(15):
+        texts = [None, ""] + ["".join(rng.choice(ODD) + rng.choice([" ", " ", " ", " ", "  ", ""]) for _ in range(rng.randint(1, 8))) for _ in range(60)]
+        made = pair.texts(texts)
+        at = np.cumsum(made.n_pairs)[:-1]
+        got = list(zip(made.n_a, made.n_b, made.n_groups, made.sha, *(np.split(x, at) for x in (made.pairs, made.times))))
+        for text, (n_a, n_b, n_groups, sha, pairs, times) in zip(texts, got, strict=True):
+            (_, *counts, digest), = brute_alignment(plain, [(0, text)])
+            assert ([n_a, n_b, n_groups], sha) == (counts[:3], digest), repr(text)
+            links = Counter()
+            if both := plain.spans(text):
+                b_at = {e: i for i, e in both[1]}
+                links.update(b_at[e] << 32 | i for i, e in both[0] if e in b_at)
+            assert dict(zip(pairs.tolist(), times.tolist())) == links and len(pairs) == len(links)
+
+
 def test_composition_is_associative():
     """Random tokens cut at random places, composed in random order."""
     rng = random.Random(4)

@@ -51,40 +51,42 @@ REASON_BAD_WORD_OR_DAY = "release_date_month_or_day_invalid"
 REASON_BAD_DATE = "release_date_out_of_domain"
 
 
-def _x(c: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(c, pattern, idx)
-
-
 def _pad2(c: Column) -> Column:
     return F.lpad(c, 2, "0")
 
 
+_ANY = r"[\s\S]*"
+
+
+def _first_of(*patterns: str) -> str:
+    """A pattern over the whole text that takes the first match of the first
+    of `patterns` that has one; of texts with none it takes no group. (One
+    pass and little code: a test and an extraction a pattern and group made a
+    generated method too large to be compiled.)"""
+    return rf"\A(?:{'|'.join(f'{_ANY}?{p}{_ANY}' for p in patterns)}|{_ANY})\z"
+
+
+# The groups of each pattern, in its order, as year|month|day.
+_ALPHA, _ALPHA_PARTS = _first_of(ALPHA_MDY, ALPHA_DMY, ALPHA_YMD_LITERAL, ALPHA_YM, ALPHA_MY), "$3$6$7$10|$1$5$8$9|$2$4"
+_NUM, _NUM_PARTS = _first_of(NUM_YMD, NUM_YM, NUM_MY, NUM_Y), "$1$4$7$8|$2$5$6|$3"
+
+
 def _pick(s: Column) -> Column:
-    """struct(alpha, y, m, d) from the first matching pattern of the branch
-    chosen by the lowercase test; y is null when nothing matched (or when
-    the literal-'P<Year>' pattern matched, which loses the item too)."""
-    one = F.lit("01")
-    none = F.lit(None).cast("string")
-
-    def parts(alpha: bool, y, m, d):
-        return F.struct(F.lit(alpha).alias("alpha"), y.alias("y"), m.alias("m"), d.alias("d"))
-
-    alpha = (
-        F.when(s.rlike(ALPHA_MDY), parts(True, _x(s, ALPHA_MDY, 3), _x(s, ALPHA_MDY, 1), _x(s, ALPHA_MDY, 2)))
-        .when(s.rlike(ALPHA_DMY), parts(True, _x(s, ALPHA_DMY, 3), _x(s, ALPHA_DMY, 2), _x(s, ALPHA_DMY, 1)))
-        .when(s.rlike(ALPHA_YMD_LITERAL), parts(True, none, none, none))
-        .when(s.rlike(ALPHA_YM), parts(True, _x(s, ALPHA_YM, 1), _x(s, ALPHA_YM, 2), one))
-        .when(s.rlike(ALPHA_MY), parts(True, _x(s, ALPHA_MY, 2), _x(s, ALPHA_MY, 1), one))
-        .otherwise(parts(True, none, none, none))
-    )
-    numeric = (
-        F.when(s.rlike(NUM_YMD), parts(False, _x(s, NUM_YMD, 1), _x(s, NUM_YMD, 2), _x(s, NUM_YMD, 3)))
-        .when(s.rlike(NUM_YM), parts(False, _x(s, NUM_YM, 1), _x(s, NUM_YM, 2), one))
-        .when(s.rlike(NUM_MY), parts(False, _x(s, NUM_MY, 2), _x(s, NUM_MY, 1), one))
-        .when(s.rlike(NUM_Y), parts(False, _x(s, NUM_Y, 1), one, one))
-        .otherwise(parts(False, none, none, none))
-    )
-    return F.when(s.rlike("[a-z]"), alpha).otherwise(numeric)
+    """struct(alpha, parts): the branch chosen by the lowercase test, and
+    year, month and day of the first matching pattern, empty where it has
+    none."""
+    alpha = s.rlike("[a-z]")
+    parts = F.when(alpha, F.regexp_replace(s, _ALPHA, _ALPHA_PARTS)).otherwise(F.regexp_replace(s, _NUM, _NUM_PARTS))
+    return F.struct(F.coalesce(alpha, F.lit(False)).alias("alpha"), F.split(parts, r"\|").alias("parts"))
+
+
+def _picked(p: Column) -> Column:
+    """struct(alpha, y, m, d) of what `_pick` found; y is null when nothing
+    matched (or when the literal-'P<Year>' pattern matched, which loses the
+    item too)."""
+    y, m, d = (F.get(p["parts"], k) for k in range(3))
+    return F.struct(p["alpha"].alias("alpha"), F.when(y != "", y).alias("y"), F.when(m != "", m).otherwise("01").alias("m"),
+                    F.when(d != "", d).otherwise("01").alias("d"))
 
 
 def _month_number(word: Column) -> Column:
@@ -130,6 +132,7 @@ def with_release_date(df: DataFrame, raw: str, text_col: str, reason_col: str) -
     s, p, a = "__rd_s", "__rd_p", "__rd_a"
     out = df.withColumn(s, F.regexp_replace(F.col(raw), PAREN_PATTERN, ""))
     out = out.withColumn(p, _pick(F.col(s)))
+    out = out.withColumn(p, _picked(F.col(p)))
     out = out.withColumn(a, _alpha_date(F.col(p)))
     text, reason = _outcome(F.col(raw), F.col(p), F.col(a))
     return out.withColumn(text_col, text).withColumn(reason_col, reason).drop(s, p, a)

@@ -81,14 +81,24 @@ class Buckets:
         schema, held = self.tables[table][0], manifest["tables"].get(table, {})
         wanted = held if buckets is None else {str(b) for b in buckets} & held.keys()
         paths = [f"{self.path}/{held[b]}/bucket={b}" for b in sorted(wanted, key=int)]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self._empty(schema)
 
-    def write(self, manifest: dict, table: str, rows: DataFrame, buckets: Iterable[int]) -> None:
+    def _empty(self, schema: StructType) -> DataFrame:
+        """No rows, which the optimizer knows: joins and unions with them go."""
+        return self.spark.createDataFrame([], schema).where(F.lit(False))
+
+    def holds(self, manifest: dict, table: str, buckets: Iterable[int]) -> bool:
+        """Whether the table has any of the buckets."""
+        return bool({str(b) for b in buckets} & manifest["tables"].get(table, {}).keys())
+
+    def write(self, manifest: dict, table: str, rows: DataFrame, buckets: Iterable[int], dealt: bool = False) -> None:
         """Replace `buckets` of the table by `rows` in a manifest not yet
-        committed. Spark cuts a large bucket into several files."""
+        committed. Spark cuts a large bucket into several files. Rows that are
+        `dealt` lie in partitions of a good size already; they are not moved
+        again, and a bucket gets a file from each of these."""
         folder = f"data/{table}/{manifest['version']}-{uuid.uuid4().hex[:8]}"
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.tables[table][0]], self.bucket(table).alias("bucket"))
-        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        (rows if dealt else rows.hint("rebalance", "bucket")).write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
         made = {n[7:] for n in self._children(f"{self.path}/{folder}") if n.startswith("bucket=")}
         held = {b: f for b, f in manifest["tables"].get(table, {}).items() if int(b) not in set(buckets)}
         manifest["tables"] = {**manifest["tables"], table: {**held, **{b: folder for b in made}}}
@@ -114,7 +124,7 @@ class Buckets:
 
     def read_log(self, manifest: dict, log: str, schema: StructType) -> DataFrame:
         paths = [f"{self.path}/{f}" for _, f in manifest["logs"].get(log, [])]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self._empty(schema)
 
     # -- cleaning up
 

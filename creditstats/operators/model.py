@@ -10,10 +10,11 @@ operations over the whole item log:
   dimensions  first spelling per (kind, entity_key) (L3)
   bridges     distinct (kind, movie_key, entity_key), with ids (L5)
 
-Spellings are found in two steps: the smallest seq per key and spelling (a
-hash aggregation of fixed-width state, combined on the map side), then the
-spelling that has the smallest seq per key (a semi-join), over distinct
-spellings only. seq is unique, so one spelling has it.
+Spellings are found in two steps: the smallest seq per spelling (a hash
+aggregation of fixed-width state, combined on the map side; a key follows from
+its spelling, so it is made after this step, once a spelling), then the
+spelling that has the smallest seq per key, over distinct spellings only. seq
+is unique, so one spelling has it.
 
 Replaying the log gives the same tables (L9): minima, max_by over a total
 order and distinct are idempotent under duplication. Surrogate ids here are
@@ -23,17 +24,18 @@ xxhash64 of the key (L4), found without a look at other rows; the stored star
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
 from .clean import FILM_ROW_KEPT
 
 
 def _first(spelled: DataFrame, keys: list[str]) -> DataFrame:
-    """Of rows with a unique seq, those with the least one per key, as
-    first_seq."""
-    least = spelled.groupBy(*keys).agg(F.min("seq").alias("first_seq"))
-    return spelled.withColumnRenamed("seq", "first_seq").join(least, [*keys, "first_seq"], "left_semi")
+    """Of distinct spellings with a seq, those with the least one per key, as
+    first_seq. One exchange; the rows it sorts are spellings, not items."""
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy("seq"))
+    return spelled.where("seq is not null").withColumn("_rank", rank).where("_rank = 1").drop("_rank").withColumnRenamed("seq", "first_seq")
 
 
 def film_titles(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
@@ -43,8 +45,8 @@ def film_titles(films_clean: DataFrame, credits_clean: DataFrame) -> DataFrame:
     # A filter on `reason` would be pushed through the cleaning stages and
     # repeat every rule in it: null sequence numbers drop the rows instead.
     seq = F.when(r.isNull() | r.isin(*FILM_ROW_KEPT), F.col("seq")).alias("seq")
-    named = films_clean.select("movie_key", "film", seq).unionByName(credits_clean.select("movie_key", "film", seq))
-    spelled = named.groupBy("movie_key", "film").agg(F.min("seq").alias("seq")).where("seq is not null")
+    named = films_clean.select("film", seq).unionByName(credits_clean.select("film", seq))
+    spelled = named.groupBy("film").agg(F.min("seq").alias("seq")).select(text.name_key(F.col("film")).alias("movie_key"), "film", "seq")
     return _first(spelled, ["movie_key"]).select("movie_key", F.col("film").alias("movie"), "first_seq")
 
 
@@ -91,7 +93,8 @@ def build_spellings(credits_clean: DataFrame) -> DataFrame:
 
 def entity_names(credits_clean: DataFrame) -> DataFrame:
     """kind, entity_key, entity (first spelling), first_seq."""
-    spelled = _accepted(credits_clean).groupBy("kind", "entity_key", "value").agg(F.min("seq").alias("seq"))
+    spelled = (_accepted(credits_clean).groupBy("kind", "value").agg(F.min("seq").alias("seq"))
+               .select("kind", text.name_key(F.col("value")).alias("entity_key"), "value", "seq"))
     return _first(spelled, ["kind", "entity_key"]).select("kind", "entity_key", F.col("value").alias("entity"), "first_seq")
 
 

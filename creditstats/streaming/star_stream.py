@@ -47,8 +47,9 @@ def merge(out_dir: str, buckets: int = 32, refresh: bool = True):
         store = star_store.open_store(batch.sparkSession, out_dir, buckets)
         with dropping(batch.sparkSession) as keep:
             tagged = keep(batch, "items")
-            star_store.apply(store, tagged.where(F.col("kind") == MOVIE).select(*FILM_ITEMS.names),
-                             tagged.where(F.col("kind") != MOVIE).select(*CREDIT_ITEMS.names), SOURCE, batch_id, refresh)
+            # few files hold all films, whose cleaning is dear: they are dealt to all cores
+            films = tagged.where(F.col("kind") == MOVIE).select(*FILM_ITEMS.names).repartition(batch.sparkSession.sparkContext.defaultParallelism)
+            star_store.apply(store, films, tagged.where(F.col("kind") != MOVIE).select(*CREDIT_ITEMS.names), SOURCE, batch_id, refresh)
     return step
 
 
